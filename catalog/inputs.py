@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lotwise import configure
 from lotwise.functions import geometry as G
+from lotwise.functions.once import with_computed
 from lotwise.functions.projection import OHIO_SOUTH
 from lotwise.schema import with_srid
 
@@ -118,13 +119,14 @@ def ring_of_lot() -> list:
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, PARCELS, "customer")
-    df = df.withColumn("geometry", G.polygon(G.ring(*ring_of_lot())))
+    df = with_computed(df, geometry=G.polygon(G.ring(*ring_of_lot())))
     return with_srid(df, OHIO_SOUTH)
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, ADDRESSES, "orders")
-    return with_srid(df.withColumn("point", G.point("x", "y")).drop("x", "y"), OHIO_SOUTH, "point")
+    df = with_computed(df, point=G.point("x", "y")).drop("x", "y")
+    return with_srid(df, OHIO_SOUTH, "point")
 
 
 def dwelling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,8 +141,7 @@ def jurisdictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, JURISDICTIONS, "supplier")
     corners = [("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax")]
     ring = G.ring(*[G.point(x, y) for x, y in [*corners, corners[0]]])
-    df = df.withColumn("geometry", G.polygon(ring))
-    df = df.select(
+    df = with_computed(df, geometry=G.polygon(ring)).select(
         "juris_id",
         F.col("placecombo").alias("PLACECOMBO"),
         F.col("county").alias("COUNTY"),

@@ -16,6 +16,7 @@ from catalog import inputs as I
 from catalog import sources as S
 from lotwise.functions import geometry as G
 from lotwise.functions import values as V
+from lotwise.functions.once import with_computed
 from lotwise.functions.projection import (
     EQUAL_AREA,
     GEOGRAPHIC,
@@ -46,9 +47,8 @@ def lower(df: DataFrame) -> DataFrame:
 
 def measured(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Geometry replaced by area and centroid, which an oracle can state."""
-    c = G.centroid(geometry)
     return (
-        df.withColumn("_c", c)
+        with_computed(df, _c=G.centroid(geometry))
         .withColumn("area", F.round(G.area(geometry), 2))
         .withColumn("cx", feet(F.col("_c.x")))
         .withColumn("cy", feet(F.col("_c.y")))
@@ -79,8 +79,8 @@ def units_left_join(spark, sf_dir):
 
 def jurisdiction_of_parcel(spark, sf_dir):
     parcels = I.parcels(spark, sf_dir)
-    points = parcels.select("row_id", G.centroid("geometry").alias("centroid"))
-    points = with_srid(points, OHIO_SOUTH, "centroid")
+    points = with_computed(parcels.select("row_id", "geometry"), centroid=G.centroid("geometry"))
+    points = with_srid(points.drop("geometry"), OHIO_SOUTH, "centroid")
     out = spatial.assign_region(points, I.jurisdictions(spark, sf_dir), "PLACECOMBO")
     return lower(out.drop("centroid"))
 
@@ -257,8 +257,8 @@ def parcel_area_acres(spark, sf_dir):
 
 def centroids(spark, sf_dir):
     df = I.parcels(spark, sf_dir).select("row_id", "geometry")
-    df = df.withColumn("centroid", G.centroid("geometry"))
-    box = G.bounding_box("geometry")
+    df = with_computed(df, centroid=G.centroid("geometry"), _box=G.bounding_box("geometry"))
+    box = F.col("_box")
     return df.select(
         "row_id",
         feet(G.x_of("centroid")).alias("cx"),

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.once import with_computed
 from lotwise.schema import srid_of, with_srid
 
 # GRS80, the US survey foot and acres per square metre / foot.
@@ -212,6 +213,9 @@ def reproject_point(p: Column | str, source: int, target: int) -> Column:
 def to_srid(df: DataFrame, target: str | int, column: str = "geometry") -> DataFrame:
     """Reproject a point or shape column from its declared system and declare the new one."""
     source, goal = srid_of(df, column), srid_from_name(target)
+    if not _steps(source, goal):
+        return with_srid(df, goal, column)
     is_point = df.schema[column].dataType.typeName() == "struct"
     change = reproject_point if is_point else reproject_shape
-    return with_srid(df.withColumn(column, change(column, source, goal)), goal, column)
+    changed = with_computed(df, **{column: change(column, source, goal)})
+    return with_srid(changed.select(*df.columns), goal, column)

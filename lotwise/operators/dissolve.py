@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
+from lotwise.functions.once import with_computed
 from lotwise.operators.collapse import first_value
 from lotwise.operators.spatial import points_in_polygons
 from lotwise.session import durable
@@ -167,46 +168,36 @@ def trace_rings(edges: DataFrame, key: str) -> DataFrame:
 
 def assemble_parts(rings: DataFrame, key: str) -> DataFrame:
     """(key, part): each outer ring with its holes, a hole going to the smallest outer
-    ring of its key around it."""
-    sized = rings.withColumn("_size", G.ring_area(F.col("ring")))
-    outers = sized.where(F.col("_size") > 0).select(
-        key, F.array("ring").alias("part"), F.col("_size").alias("_outer_size")
-    )
+    ring of its key around it. ``rings`` is read more than once: pass a written table."""
+    sized = with_computed(rings, _size=G.ring_area(F.col("ring")))
+    outers = sized.where(F.col("_size") > 0).select(key, "ring", "_size")
+    inner = sized.where(F.col("_size") < 0)
+    if inner.isEmpty():
+        return outers.select(key, F.array("ring").alias("part"))
     # the middle of the hole's first edge: unlike a vertex, not on two outer rings
     a, b = F.col("ring")[0], F.col("ring")[1]
-    holes = sized.where(F.col("_size") < 0).select(
+    holes = inner.select(
         key,
         F.col("ring").alias("hole"),
         G.point((a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2).alias("_middle"),
     )
-    candidates = outers.select(
-        key,
-        F.array("part").alias("_shape"),
-        "_outer_size",
-        G.fingerprint(F.array("part")).alias("_outer"),
-    )
+    named = outers.withColumn("_outer", G.fingerprint("ring"))
+    candidates = named.select(key, "_size", "_outer", G.polygon(F.col("ring")).alias("_shape"))
     placed = (
         points_in_polygons(holes, candidates, "_middle", "_shape", same=(key,))
         .groupBy(key, "hole")
-        .agg(F.min_by("_outer", F.struct("_outer_size", "_outer")).alias("_outer"))
+        .agg(F.min_by("_outer", F.struct("_size", "_outer")).alias("_outer"))
         .groupBy(key, "_outer")
         .agg(F.sort_array(F.collect_list("hole")).alias("_holes"))
     )
-    return (
-        outers.withColumn("_outer", G.fingerprint(F.array("part")))
-        .join(placed, [key, "_outer"], "left")
-        .select(
-            key,
-            F.concat(F.col("part"), F.coalesce("_holes", F.array())).alias("part"),
-            "_outer",
-        )
-    )
+    part = F.concat(F.array("ring"), F.coalesce("_holes", F.array()))
+    return named.join(placed, [key, "_outer"], "left").select(key, part.alias("part"))
 
 
 def dissolve_parts(df: DataFrame, key: str, shape: str = "geometry") -> DataFrame:
     """(key, part): the connected pieces of each key, one row each."""
     edges = border_edges(df.where(F.col(key).isNotNull()), key, shape)
-    return assemble_parts(durable(trace_rings(edges, key), "rings"), key).select(key, "part")
+    return assemble_parts(durable(trace_rings(edges, key), "rings"), key)
 
 
 def dissolve(

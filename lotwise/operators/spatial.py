@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
+from lotwise.functions.once import with_computed
 from lotwise.functions.projection import to_srid
 from lotwise.operators import skew
 from lotwise.schema import SRID_KEY, srid_of
@@ -62,12 +63,9 @@ def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
     )
     many = F.size(G.points_of(shape)).cast("double") / EDGES_PER_CELL
     flatter = F.ceil(F.log(4.0, F.greatest(many, F.lit(1.0))))
-    return (
-        polygons.where(F.size(shape) > 0)
-        .withColumn("_boxes", boxes)
-        .withColumn("_width", _level_of(side))
-        .withColumn("_height", _bounded(F.col("_width") - flatter))
-    )
+    boxed = with_computed(polygons.where(F.size(shape) > 0), _boxes=boxes)
+    wide = with_computed(boxed, _width=_level_of(side))
+    return with_computed(wide, _height=_bounded(F.col("_width") - flatter))
 
 
 def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
@@ -95,13 +93,9 @@ def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
 
     all_cells = F.array_distinct(F.flatten(F.transform(F.col("_boxes"), cells)))
     near = F.when(height == width, F.col("_all")).otherwise(F.filter("_all", reaches))
-    return leveled.select(
-        *kept,
-        *LEVEL,
-        G.edges_of(shape).alias("_all"),
-        G.bounding_box(shape).alias("_box"),
-        F.inline(all_cells),
-    ).select(*kept, *CELL, "_box", near.alias("_edges"))
+    bounded = with_computed(leveled, _all=G.edges_of(shape), _box=G.bounding_box(shape))
+    celled = bounded.select(*kept, *LEVEL, "_all", "_box", F.inline(all_cells))
+    return celled.select(*kept, *CELL, "_box", near.alias("_edges"))
 
 
 def _levels_in_use(leveled: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
 from lotwise.functions import values as V
+from lotwise.functions.once import with_computed
 from lotwise.functions.projection import OHIO_SOUTH, to_srid
 from lotwise.operators.cards import all_cards, latest_effective_year, latest_year, rows_per_key
 from lotwise.operators.collapse import collapse, distinct_rows
@@ -290,10 +291,8 @@ def knox(
 
 def as_points(df: DataFrame) -> DataFrame:
     """Shapes replaced by their centroids; rows without one are dropped."""
-    metadata = df.schema["geometry"].metadata
     return (
-        df.withColumn("geometry", G.centroid("geometry"))
-        .withMetadata("geometry", metadata)
+        with_computed(df, geometry=G.centroid("geometry"))
         .where(F.col("geometry").isNotNull())
         .withColumn("x", G.x_of("geometry"))
         .withColumn("y", G.y_of("geometry"))

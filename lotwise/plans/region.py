@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
 from lotwise.functions import values as V
+from lotwise.functions.once import with_computed
 from lotwise.functions.projection import (
     ACRES_PER_SQ_METRE,
     EQUAL_AREA,
@@ -15,7 +16,7 @@ from lotwise.functions.projection import (
     to_srid,
 )
 from lotwise.operators.spatial import assign_region
-from lotwise.schema import srid_of
+from lotwise.schema import srid_of, with_srid
 
 # The counties of the region.
 COUNTIES = ("franklin", "delaware", "licking", "union", "madison", "pickaway", "fairfield")
@@ -24,7 +25,7 @@ COUNTIES = ("franklin", "delaware", "licking", "union", "madison", "pickaway", "
 def with_acres(df: DataFrame, shape: str = "geometry", out: str = "CALCACRES") -> DataFrame:
     """Acres measured on an equal-area projection."""
     flat = reproject_shape(shape, srid_of(df, shape), EQUAL_AREA)
-    return df.withColumn(out, G.area(flat) * ACRES_PER_SQ_METRE)
+    return with_computed(df, **{out: G.area(flat) * ACRES_PER_SQ_METRE})
 
 
 def one_unit_per_house(df: DataFrame) -> DataFrame:
@@ -37,8 +38,8 @@ def located_parcels(parcels: DataFrame) -> DataFrame:
     """All that needs only the parcel itself: size, type, centroid, numbers."""
     df = to_srid(parcels, OHIO_SOUTH)
     df = with_acres(df).withColumn("TYPE", V.housing_type("CALCACRES", "CLASS"))
-    df = df.where(F.col("geometry").isNotNull()).withColumn("centroid", G.centroid("geometry"))
-    df = df.withMetadata("centroid", df.schema["geometry"].metadata)
+    df = df.where(F.col("geometry").isNotNull())
+    df = with_srid(with_computed(df, centroid=G.centroid("geometry")), OHIO_SOUTH, "centroid")
     df = df.withColumn("x", G.x_of("centroid")).withColumn("y", G.y_of("centroid"))
     return one_unit_per_house(df.withColumn("YRBUILT", V.to_number("YRBUILT")))
 
