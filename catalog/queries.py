@@ -354,6 +354,12 @@ def region_rows(spark, sf_dir):
     return region.region_table(standard_parcels(spark, sf_dir), I.jurisdictions(spark, sf_dir))
 
 
+def mapped_rows(spark, sf_dir):
+    """Rows of the density map, written: what follows reads them more than once."""
+    rows = summary.choropleth_rows(summary.analysis(region_rows(spark, sf_dir)))
+    return durable(rows.select("COUNTY", "UNITS_PER_ACRE"), "mapped")
+
+
 def region_union(spark, sf_dir):
     lots = S.lots(spark, sf_dir)
     per_county = {}
@@ -417,14 +423,13 @@ def choropleth_rows(spark, sf_dir):
 
 
 def choropleth_jurisdictions(spark, sf_dir):
-    rows = summary.choropleth_rows(summary.analysis(region_rows(spark, sf_dir)))
+    rows = mapped_rows(spark, sf_dir)
     out = summary.choropleth_jurisdictions(I.jurisdictions(spark, sf_dir), rows)
     return lower(out.drop("geometry"))
 
 
 def units_per_acre_histogram(spark, sf_dir):
-    rows = summary.choropleth_rows(summary.analysis(region_rows(spark, sf_dir)))
-    out = summary.density_histogram(rows)
+    out = summary.density_histogram(mapped_rows(spark, sf_dir))
     return out.withColumn("bin_start", F.round("bin_start", 5))
 
 

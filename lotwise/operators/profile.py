@@ -17,11 +17,18 @@ def value_counts(df: DataFrame) -> DataFrame:
     Rows turn into (column, value) pairs that are counted in the map tasks, so what
     is shuffled is distinct values, and a frequent value costs nothing extra.
     """
+
+    def text(f: T.StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0)  # -0.0 is 0.0
+        return value.cast("string")
+
     cells = F.array(
         *[
             F.struct(
                 F.lit(f.name).alias("column_name"),
-                F.col(f"`{f.name}`").cast("string").alias("value"),
+                text(f).alias("value"),
                 F.lit(isinstance(f.dataType, T.NumericType)).alias("is_number"),
             )
             for f in df.schema.fields

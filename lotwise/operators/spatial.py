@@ -53,7 +53,10 @@ def _level_of(side: Column) -> Column:
 
 
 def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
-    """Adds the box of each part and the level: width and height of the cells."""
+    """Adds the box of each part and the level: width and height of the cells.
+
+    Shapes that are empty or have a coordinate that is no number cover no point.
+    """
     boxes = F.transform(F.col(shape), lambda part: G.box_of_points(F.flatten(part)))
     side = F.array_max(
         F.transform(
@@ -64,6 +67,15 @@ def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
     many = F.size(G.points_of(shape)).cast("double") / EDGES_PER_CELL
     flatter = F.ceil(F.log(4.0, F.greatest(many, F.lit(1.0))))
     boxed = with_computed(polygons.where(F.size(shape) > 0), _boxes=boxes)
+    boxed = boxed.where(
+        F.forall(
+            "_boxes",
+            lambda b: G.is_finite(b["xmin"])
+            & G.is_finite(b["ymin"])
+            & G.is_finite(b["xmax"])
+            & G.is_finite(b["ymax"]),
+        )
+    )
     wide = with_computed(boxed, _width=_level_of(side))
     return with_computed(wide, _height=_bounded(F.col("_width") - flatter))
 

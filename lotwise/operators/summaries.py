@@ -49,10 +49,13 @@ def count_by_year_wide(
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Counts in ``bins`` equal intervals from the smallest to the largest value."""
+    """Counts in ``bins`` equal intervals from the smallest to the largest value.
+
+    Reads ``df`` twice: pass a written table where it is costly to compute.
+    """
     values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    low = values.agg(F.min("v").alias("v")).scalar()
-    high = values.agg(F.max("v").alias("v")).scalar()
+    ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")).alias("ends"))
+    low, high = ends.scalar()["low"], ends.scalar()["high"]
     width = (high - low) / F.lit(float(bins))
     # the largest value belongs to the last bin
     bin_no = F.least(

@@ -108,8 +108,10 @@ class FeaturePagesReader(DataSourceReader):
             raise ValueError("the count reply holds no number")
         return [Page(o) for o in range(0, int(digits.group()), self.page_size)]
 
-    def read(self, partition: Page) -> Iterator[tuple[int, str]]:
-        yield partition.offset, self.replies.page(partition.offset)
+    def read(self, partition: Page | None) -> Iterator[tuple[int, str]]:
+        # a service without records has no pages; Spark then reads once without one
+        if partition is not None:
+            yield partition.offset, self.replies.page(partition.offset)
 
 
 class FeaturePages(DataSource):

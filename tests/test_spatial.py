@@ -98,6 +98,15 @@ def test_points_that_are_nowhere_are_ignored(spark):
     assert found(pairs) == [(3, 1)]
 
 
+def test_shapes_that_are_nowhere_cover_nothing(spark):
+    nowhere = [[closed([(0, 0), (float("nan"), 0), (4, 4)])]]
+    endless = [[closed([(0, 0), (float("inf"), 0), (4, 4)])]]
+    shapes = [(1, nowhere), (2, endless), (3, [[]]), (4, rectangle(0, 0, 4, 4))]
+    polygons = shape_table(spark, shapes, ("id", LONG))
+    pairs = spatial.points_in_polygons(point_table(spark, [(1.0, 1.0)]), polygons)
+    assert found(pairs) == [(0, 4)]
+
+
 def test_counts_by_key_with_stacked_shapes(spark):
     square, other = rectangle(0, 0, 4, 4), rectangle(10, 0, 14, 4)
     rows = [("a", square), ("a", square), ("b", square), ("c", other), (None, square), ("d", None)]
