@@ -117,7 +117,11 @@ chis as (select row_id, corner,
   {_num(math.pi / 2)} - 2 * atan(pow(sqrt(dx * dx + dy * dy) / {_num(P.SEMI_MAJOR * k.scale)},
     {_num(1.0 / k.n)})) as chi,
   degrees(atan2(dx, dy) / {_num(k.n)}) + {_num(south.lon0)} as lon from offsets),
-latitudes as (select row_id, corner, lon, degrees(chi + {series}) as lat from chis),
+series as (select row_id, corner, lon, chi, sin(chi + {series}) as s from chis),
+latitudes as (select row_id, corner, lon,
+  degrees(2 * atan(tan({_num(math.pi / 4)} + chi / 2)
+    * pow((1 + {e} * s) / (1 - {e} * s), {_num(P.E1 / 2)})) - {_num(math.pi / 2)}) as lat
+  from series),
 radian as (select row_id, corner, lon, lat, radians(lat) as phi from latitudes),
 polar as (select row_id, corner, lon, lat,
   {_num(P.SEMI_MAJOR * k.scale)} * pow(tan({_num(math.pi / 4)} - phi / 2)
@@ -390,6 +394,14 @@ ORACLE: dict[str, str] = {
     + "select row_id, n as units from lots join shape_units using (g)",
     "address_parcel_pairs": with_tables()
     + "select row_id, addr_id, lsn from lots join hits using (g)",
+    "units_across_systems": with_tables(
+        """moved as (select s.g, count(a.lsn) as n from shapes s join fx_addr a
+          on floor((a.x - 1800000) / 200) = floor((s.x0 - 1800000) / 200)
+          and floor((a.y - 700000) / 200) = floor((s.y0 - 700000) / 200)
+          and a.x + 0.123 >= s.x0 and a.y >= s.y0 and a.y <= s.y0 + s.h
+          and (a.x + 0.123 - s.x0 - s.w) * s.h + s.cut * (a.y - s.y0) <= 0 group by s.g)"""
+    )
+    + "select row_id, n as units from lots join moved using (g)",
     "units_left_join": with_tables(per_id("lots", "parcelid"))
     + "select row_id, parcelid, units from lots left join id_units on id = parcelid",
     "jurisdiction_of_parcel": with_tables()
@@ -528,7 +540,8 @@ ORACLE: dict[str, str] = {
       list_filter(links, lambda l: contains(l, 'a'))[-1] as last_with_a
       from (select page_id, regexp_extract_all(html, '{LINK}', 1) as links from pages) q""",
     "page_plan": with_tables()
-    + """select county, unnest(generate_series(0, n - 1, 50)) as "offset"
+    + """select county, 3735 as srid, 'id,' || county as fields,
+      unnest(generate_series(0, n - 1, 50)) as "offset"
       from (select county, count(*) as n from lots group by county) q""",
     "service_pages": with_tables() + "select addr_id, lsn, x, y from fx_addr",
     "esri_pages": with_tables()
@@ -536,10 +549,11 @@ ORACLE: dict[str, str] = {
       union all select 'point', addr_id, null, x, y from fx_addr""",
     "archive_tables": with_tables()
     + """select kind, parcel_id, cast(card as string) as card, yrblt, count(*) as n
-      from fx_dwelling, (values ('txt'), ('csv'), ('xml')) k(kind)
+      from fx_dwelling, (values ('txt'), ('csv'), ('xml'), ('xlsx')) k(kind)
       group by kind, parcel_id, card, yrblt""",
     "archive_entries": """select * from (values ('cards.txt', 'cards.txt', 'txt'),
-      ('tables/cards.csv', 'cards.csv', 'csv'), ('cards.xml', 'cards.xml', 'xml'))
+      ('tables/cards.csv', 'cards.csv', 'csv'), ('cards.xml', 'cards.xml', 'xml'),
+      ('cards.xlsx', 'cards.xlsx', 'xlsx'))
       t(entry, name, extension) where exists (select 1 from orders)""",
     "text_tables": with_tables()
     + """select kind, parcel_id, cast(card as string) as card, yrblt, yreff, count(*) as n

@@ -71,6 +71,15 @@ def address_parcel_pairs(spark, sf_dir):
     return pairs.select("row_id", "addr_id", "lsn")
 
 
+def units_across_systems(spark, sf_dir):
+    """Addresses in degrees against parcels in feet. Points are moved off the places
+    where one could sit exactly on a lot line, which no round trip would keep."""
+    points = I.addresses(spark, sf_dir)
+    points = with_computed(points, point=G.point(F.col("point.x") + 0.123, "point.y"))
+    degrees = to_srid(points, "NAD83", "point")
+    return spatial.count_points(I.parcels(spark, sf_dir), degrees, "row_id", "lsn", "units")
+
+
 def units_left_join(spark, sf_dir):
     parcels = I.parcels(spark, sf_dir)
     units = spatial.count_points(parcels, I.addresses(spark, sf_dir), "parcelid", "lsn", "units")
@@ -467,11 +476,29 @@ def listing_links(spark, sf_dir):
 
 
 def page_plan(spark, sf_dir):
-    """Pages of a service per county, from the text of a count reply."""
+    """Pages of a service per county, from the texts of its replies."""
     counts = I.parcels(spark, sf_dir).groupBy("county").agg(F.count(F.lit(1)).alias("n"))
-    replies = counts.select("county", F.to_json(F.struct(F.col("n").alias("count"))).alias("reply"))
-    offsets = service.page_offsets(service.record_count("reply"), 50)
-    return replies.select("county", F.explode(offsets).alias("offset"))
+    description = F.struct(
+        F.lit(50).alias("maxRecordCount"),
+        F.struct(F.struct(F.lit(OHIO_SOUTH).alias("latestWkid")).alias("spatialReference")).alias(
+            "extent"
+        ),
+        F.array(
+            F.struct(F.lit("id").alias("name")), F.struct(F.col("county").alias("name"))
+        ).alias("fields"),
+    )
+    replies = counts.select(
+        "county",
+        F.to_json(F.struct(F.col("n").alias("count"))).alias("reply"),
+        service.service_metadata(F.to_json(description)).alias("meta"),
+    )
+    offsets = service.page_offsets(service.record_count("reply"), F.col("meta.page_size"))
+    return replies.select(
+        "county",
+        F.col("meta.srid").alias("srid"),
+        V.joined_text(",", F.col("meta.fields")).alias("fields"),
+        F.explode(offsets).alias("offset"),
+    )
 
 
 PAGE = 1000
@@ -549,7 +576,7 @@ def esri_pages(spark, sf_dir):
 
 
 def _zipped_cards(spark, sf_dir):
-    """One archive per batch of cards: pipe text, comma text and XML of one table."""
+    """One archive per batch of cards: one table as pipe text, comma text, XML and sheet."""
 
     def zipped(batches):
         import io
@@ -560,6 +587,20 @@ def _zipped_cards(spark, sf_dir):
 
         for batch in batches:
             plain = batch.astype(object).where(batch.notna(), None)
+            space = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+            cells = [[f'<c r="{c}1" t="inlineStr"><is><t>{n}</t></is></c>'
+                      for c, n in zip("ABC", batch.columns)]]
+            for r, row in enumerate(plain.itertuples(index=False), 2):
+                cells.append(
+                    [f'<c r="{c}{r}"><v>{v}</v></c>' for c, v in zip("ABC", row) if v is not None]
+                )
+            rows = "".join(f"<row>{''.join(row)}</row>" for row in cells)
+            book = io.BytesIO()
+            with zipfile.ZipFile(book, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(
+                    "xl/worksheets/sheet1.xml",
+                    f'<worksheet xmlns="{space}"><sheetData>{rows}</sheetData></worksheet>',
+                )
             records = "".join(
                 "<Card "
                 + " ".join(f"{k}={quoteattr(str(v))}" for k, v in row.items() if v is not None)
@@ -573,6 +614,7 @@ def _zipped_cards(spark, sf_dir):
                 z.writestr("cards.txt", batch.to_csv(sep="|", index=False))
                 z.writestr("tables/cards.csv", batch.to_csv(index=False))
                 z.writestr("cards.xml", f"<Cards>{records}</Cards>")
+                z.writestr("cards.xlsx", book.getvalue())
             yield pd.DataFrame({"path": ["cards.zip"], "content": [held.getvalue()]})
 
     cards = I.dwelling(spark, sf_dir).select("parcel_id", "card", "yrblt")
@@ -580,11 +622,11 @@ def _zipped_cards(spark, sf_dir):
 
 
 def archive_tables(spark, sf_dir):
-    """Cards zipped by the tasks, read back from three kinds of entries."""
+    """Cards zipped by the tasks, read back from four kinds of entries."""
     zips = _zipped_cards(spark, sf_dir)
     columns = ["parcel_id", "card", "yrblt"]
     out = None
-    for entry in ("cards.txt", "tables/cards.csv", "cards.xml"):
+    for entry in ("cards.txt", "tables/cards.csv", "cards.xml", "cards.xlsx"):
         kind = entry.rsplit(".", 1)[-1]
         table = archives.read_entry(zips, entry, columns).select(
             F.lit(kind).alias("kind"), *columns
@@ -729,6 +771,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         units_per_parcel,
         address_parcel_pairs,
+        units_across_systems,
         units_left_join,
         jurisdiction_of_parcel,
         jurisdiction_subset,

@@ -215,31 +215,18 @@ def dissolve(
     """
     metadata = df.schema[shape].metadata
     keyed = df.where(F.col(key).isNotNull())
-    shapes = (
+    # read three times below: written, so that the shapes are shuffled once
+    shapes = durable(
         keyed.where(F.col(shape).isNotNull())
         .select(key, F.col(shape).alias("_shape"), G.fingerprint(shape).alias("_print"))
         .dropDuplicates([key, "_print"])
+        .drop("_print"),
+        "shapes",
     )
-    several = (
-        keyed.where(F.col(shape).isNotNull())
-        .select(key, G.fingerprint(shape).alias("_print"))
-        .groupBy(key)
-        .agg((F.min("_print") != F.max("_print")).alias("_several"))
-        .where("_several")
-        .select(key)
-    )
-    alone = shapes.join(several, key, "left_anti").select(key, F.col("_shape").alias(shape))
-    merged = _blocks(
-        durable(
-            dissolve_parts(
-                shapes.join(several, key, "left_semi").select(key, "_shape"), key, "_shape"
-            ),
-            "parts",
-        ),
-        key,
-        shape,
-    )
-    out = alone.unionByName(merged)
+    several = shapes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+    alone = shapes.join(several, key, "left_anti").withColumnRenamed("_shape", shape)
+    parts = dissolve_parts(shapes.join(several, key, "left_semi"), key, "_shape")
+    out = alone.unionByName(_blocks(durable(parts, "parts"), key, shape))
     firsts = [first_value(c, order).alias(c) for c in first]
     values = keyed.groupBy(key).agg(*firsts) if firsts else keyed.select(key).distinct()
     # outer to the shapes: a key without any shape keeps its row

@@ -26,6 +26,7 @@ from lotwise.operators.collapse import collapse, distinct_rows
 from lotwise.operators.dissolve import dissolve
 from lotwise.operators.joins import inner_complete, left_join, left_join_many
 from lotwise.operators.spatial import count_points
+from lotwise.schema import with_srid
 
 ID = "OBJECTID"
 
@@ -262,31 +263,39 @@ def knox(
         "mpropertyNumber", V.digits_only("mpropertyNumber")
     )
     units = count_points(parcels, addresses.select("GlobalID", "point"), "PIN", "GlobalID")
-    df = left_join(parcels.select("row_id", "PIN", "geometry"), cama, "PIN", "mpropertyNumber")
+    # the result is points: shapes stay out of the joins, their fingerprints tell
+    # lots apart
+    lots = as_points(
+        parcels.select("row_id", "PIN", "geometry", G.fingerprint("geometry").alias("_print"))
+    )
+    df = left_join(lots, cama, "PIN", "mpropertyNumber")
     df = left_join(df.where(F.col("mClassificationId").isNotNull()), units, "PIN")
     numbers = df.select(
-        "row_id",
-        "PIN",
+        F.struct("row_id", "PIN").alias("_first"),
+        "_print",
         "geometry",
         F.col("mClassificationId").alias("CLASS"),
         V.to_number_strict("macres").alias("ACRES"),
         V.to_number_strict("YearBuilt").alias("YRBUILT"),
         "UNITS",
+        "x",
+        "y",
     )
-    # pins of one row id are equal: the first row's pin stays
-    one = distinct_rows(
-        numbers.withColumn("_first", F.struct("row_id", "PIN")).drop("row_id", "PIN"), "_first"
+    return (
+        distinct_rows(numbers, "_first")
+        .select(
+            F.col("_first.PIN").alias(ID),
+            "CLASS",
+            "ACRES",
+            "YRBUILT",
+            "UNITS",
+            V.housing_type("ACRES", "CLASS").alias("TYPE"),
+            "geometry",
+            "x",
+            "y",
+        )
+        .where(V.differs("TYPE", "nan"))
     )
-    typed = one.select(
-        F.col("_first.PIN").alias(ID),
-        "CLASS",
-        "ACRES",
-        "YRBUILT",
-        "UNITS",
-        V.housing_type("ACRES", "CLASS").alias("TYPE"),
-        "geometry",
-    ).where(V.differs("TYPE", "nan"))
-    return as_points(typed)
 
 
 def as_points(df: DataFrame) -> DataFrame:
@@ -313,11 +322,15 @@ def logan(
     )
     years = latest_year(cards, "Parcel Number U", "Year Effective")
     units = count_points(parcels, addresses.select("LSN", "point"), "Parcel_N_1", "LSN", "units")
-    df = parcels.select("Parcel_N_1", "Land_Use_C", "Acres", "geometry")
-    df = left_join(df, units, "Parcel_N_1").where(V.differs("Parcel_N_1", " "))
-    df = df.withColumn("Parcel_N_1", V.to_text("Parcel_N_1"))
-    df = left_join(df, years, "Parcel_N_1", "Parcel Number U")
-    typed = as_points(df).withColumn("TYPE", V.housing_type("Acres", "Land_Use_C"))
+    named = parcels.where(V.differs("Parcel_N_1", " ")).select(
+        V.to_text("Parcel_N_1").alias("Parcel_N_1"), "Land_Use_C", "Acres", "geometry"
+    )
+    df = left_join_many(
+        as_points(named),
+        [units, years.withColumnRenamed("Parcel Number U", "Parcel_N_1")],
+        "Parcel_N_1",
+    )
+    typed = df.withColumn("TYPE", V.housing_type("Acres", "Land_Use_C"))
     return typed.withColumnsRenamed(
         {"Parcel_N_1": ID, "Land_Use_C": "CLASS", "Acres": "ACRES", "units": "UNITS"}
     )
@@ -328,7 +341,8 @@ def logan(
 
 def morrow(parcels: DataFrame, building: DataFrame, dwelling: DataFrame) -> DataFrame:
     """Cards with their parcel's shape and acreage; cards with anything missing drop out."""
-    lots = parcels.select("Name", "geometry", "A_Acreage")
+    # a parcel is reprojected once, not once per card
+    lots = to_srid(parcels.select("Name", "geometry", "A_Acreage"), OHIO_SOUTH)
     columns = ["PropertyNumber", "UseCode", "YearBuilt"]
     parts = [
         inner_complete(cards.select(*columns), lots, "PropertyNumber", "Name")
@@ -341,8 +355,7 @@ def morrow(parcels: DataFrame, building: DataFrame, dwelling: DataFrame) -> Data
         F.col("YearBuilt").alias("year_built"),
         "geometry",
     )
-    df = df.withMetadata("geometry", parcels.schema["geometry"].metadata)
-    return to_srid(df, OHIO_SOUTH).withColumn("county", F.lit("Morrow"))
+    return with_srid(df, OHIO_SOUTH).withColumn("county", F.lit("Morrow"))
 
 
 # Fixed value: land-use prefix of buildings with several dwellings.

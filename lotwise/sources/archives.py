@@ -66,6 +66,33 @@ def list_entries(archives: DataFrame) -> DataFrame:
     )
 
 
+def extract(archives: DataFrame) -> DataFrame:
+    """(path, entry, name, extension, content): the files in the archives, one row each.
+
+    Entries come one at a time, so a task holds one archive and one entry. The same
+    entries are left out as in ``list_entries``.
+    """
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in z.namelist():
+                        if not name.startswith("_") and not name.endswith("/"):
+                            yield pd.DataFrame(
+                                {"path": [path], "entry": [name], "content": [z.read(name)]}
+                            )
+
+    files = archives.mapInPandas(contents, "path string, entry string, content binary")
+    return files.select(
+        "path",
+        "entry",
+        base_name("entry").alias("name"),
+        extension("entry").alias("extension"),
+        "content",
+    )
+
+
 # --- tables -------------------------------------------------------------------
 
 

@@ -47,7 +47,7 @@ def test_round_trips(spark, points):
         there = at(spark, points, GEOGRAPHIC, srid)
         back = at(spark, there, srid, GEOGRAPHIC)
         for (a, b), (c, d) in zip(points, back):
-            assert abs(a - c) < 1e-8 and abs(b - d) < 2e-8
+            assert abs(a - c) < 1e-11 and abs(b - d) < 1e-11
 
 
 def test_equal_area_of_a_square(spark):

@@ -80,6 +80,12 @@ def test_entries(zips):
     assert archives.list_entries(zips).count() == 10
 
 
+def test_extract(zips):
+    got = archives.extract(zips).where("extension = 'txt'").select("name", "content").collect()
+    assert [(r["name"], bytes(r["content"]).decode()) for r in got] == [("cards.txt", TXT)] * 2
+    assert archives.extract(zips).count() == 10
+
+
 def test_xml_records_whatever_their_tag(zips):
     df = archives.read_entry(zips, "folder/cards.xml")
     assert df.columns == ["path", "row_no", "Parcel_Number", "Card", "Year_Built"]
