@@ -504,6 +504,10 @@ ORACLE: dict[str, str] = {
         """select county, yrbuilt, cast(coalesce(sum(units), 0) as bigint) as units
         from region_rows where yrbuilt >= 1965 group by county, yrbuilt"""
     ),
+    "summary_from_files": region(
+        """select county, yrbuilt, cast(coalesce(sum(units), 0) as bigint) as units
+        from region_rows where yrbuilt >= 1965 group by county, yrbuilt"""
+    ),
     "units_by_type_year": region(
         """select type, yrbuilt, cast(coalesce(sum(units), 0) as bigint) as units
         from region_rows where yrbuilt >= 1965 and type is not null group by type, yrbuilt"""

@@ -29,8 +29,8 @@ from lotwise.operators import collapse as D
 from lotwise.operators import dissolve as M
 from lotwise.operators import joins as J
 from lotwise.operators import profile, spatial, summaries
-from lotwise.plans import counties, region, summary
-from lotwise.schema import srid_of, with_srid
+from lotwise.plans import counties, jobs, region, summary
+from lotwise.schema import srid_of, to_parcel_schema, with_srid
 from lotwise.session import durable, new_folder
 from lotwise.sources import archives, geojson, listing, service, sinks, tables
 
@@ -442,6 +442,15 @@ def units_per_acre_histogram(spark, sf_dir):
     return out.withColumn("bin_start", F.round("bin_start", 5))
 
 
+def summary_from_files(spark, sf_dir):
+    """Counties written, region built from their folders, summed from its GeoJSON."""
+    root = new_folder(spark, "region")
+    standard = to_parcel_schema(standard_parcels(spark, sf_dir), "COUNTY")
+    sinks.write_counties(standard, f"{root}/counties")
+    jobs.build_region(spark, I.jurisdictions(spark, sf_dir), root)
+    return lower(summary.units_by_county_year(jobs.read_region(spark, root)))
+
+
 # --- profile ----------------------------------------------------------------------
 
 
@@ -809,6 +818,7 @@ QUERIES: dict[str, Query] = {
         choropleth_rows,
         choropleth_jurisdictions,
         units_per_acre_histogram,
+        summary_from_files,
         column_samples,
         listing_links,
         page_plan,

@@ -30,7 +30,8 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(n > rows_per_task)
-        .orderBy(n.desc())
+        # keys break ties: every use of the list must see the same keys
+        .orderBy(n.desc(), *keys)
         .limit(MOST_KEYS)
         .select(
             *keys,
@@ -39,30 +40,44 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     )
 
 
-def _with_salts(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot), keys, "left")
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's own values; maps, which have no hash, are left out."""
+    columns = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
+    return F.xxhash64(*columns)
 
 
-def spread(df: DataFrame, keys: list[str], hot: DataFrame, by: list[Column]) -> DataFrame:
-    """Give each row one salt. The salt is a hash of the row's own values: a task
-    that runs again gives the same row the same salt."""
-    salts = F.coalesce(F.col(SALTS), F.lit(1))
-    salt = F.pmod(F.xxhash64(*by), salts.cast("bigint")).cast("int")
-    return _with_salts(df, keys, hot).withColumn(SALT, salt).drop(SALTS)
+def spread(
+    df: DataFrame, keys: list[str], hot: DataFrame, by: Column, salt: str = SALT
+) -> DataFrame:
+    """Give each row one salt, from a hash of its own values: a task that runs again
+    gives the same row the same salt."""
+    salts = F.coalesce(F.col(SALTS), F.lit(1)).cast("bigint")
+    return (
+        df.withColumn("_hash", by)
+        .join(F.broadcast(hot), keys, "left")
+        .withColumn(salt, F.pmod(F.col("_hash"), salts).cast("int"))
+        .drop(SALTS, "_hash")
+    )
 
 
-def replicate(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def replicate(df: DataFrame, keys: list[str], hot: DataFrame, salt: str = SALT) -> DataFrame:
     """Give each row every salt of its key: one copy for keys that are not hot."""
     salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-    return _with_salts(df, keys, hot).withColumn(SALT, F.explode(salts)).drop(SALTS)
+    return df.join(F.broadcast(hot), keys, "left").withColumn(salt, F.explode(salts)).drop(SALTS)
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):
-    """Equi-join whose left side may have hot keys; ``right`` is small per key."""
-    hot = hot_keys(left.select(*keys), keys)
-    by = [F.col(c) for c in left.columns]
-    return (
-        spread(left, keys, hot, by)
-        .join(replicate(right, keys, hot), [*keys, SALT], how)
-        .drop(SALT)
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join whose keys may be hot on either side.
+
+    Rows of a key that is hot on the left are spread over the left salts and meet
+    copies of its right rows, and the other way round.
+    """
+    left_hot = hot_keys(left.select(*keys), keys)
+    right_hot = hot_keys(right.select(*keys), keys)
+    lefts = replicate(
+        spread(left, keys, left_hot, row_hash(left)), keys, right_hot, "_salt_right"
+    )
+    rights = replicate(
+        spread(right, keys, right_hot, row_hash(right), "_salt_right"), keys, left_hot
     )
+    return lefts.join(rights, [*keys, SALT, "_salt_right"]).drop(SALT, "_salt_right")

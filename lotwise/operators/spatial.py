@@ -6,7 +6,7 @@ shapes that do not overlap: there is no cell size to tune, and a lot and a count
 can sit in one table. A shape of many edges has flatter cells, so that each holds a
 short list of edges: only edges at a point's height matter to the test. A point has
 one cell at each level in use, and a shape one level, so no pair is found twice.
-Cells that hold a large share of the points are salted.
+Cells that hold a large share of the points, or of the shapes, are salted.
 """
 
 from __future__ import annotations
@@ -169,14 +169,8 @@ def points_in_polygons(
     if broadcast:
         pairs = located.join(F.broadcast(celled), keys)
     else:
-        hot = skew.hot_keys(located.select(*keys), keys)
-        by = [F.col(c) for c in points.columns]
-        pairs = skew.spread(located, keys, hot, by).join(
-            skew.replicate(celled, keys, hot), [*keys, skew.SALT]
-        )
-    return pairs.where(in_box & G.edges_cover("_edges", x, y)).drop(
-        *CELL, skew.SALT, "_box", "_edges"
-    )
+        pairs = skew.spread_join(located, celled, keys)
+    return pairs.where(in_box & G.edges_cover("_edges", x, y)).drop(*CELL, "_box", "_edges")
 
 
 def count_points(

@@ -39,10 +39,10 @@ def srid_of(df: DataFrame, column: str = "geometry") -> int:
     return int(metadata[SRID_KEY])
 
 
-def to_parcel_schema(df: DataFrame) -> DataFrame:
+def to_parcel_schema(df: DataFrame, *more: str) -> DataFrame:
     """Cast to the standard columns, junk to null; columns a county lacks become null.
 
-    The SRID of the geometry column is kept.
+    ``more`` names further columns to keep. The SRID of the geometry column is kept.
     """
     from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ def to_parcel_schema(df: DataFrame) -> DataFrame:
             columns.append(to_number(field.name).alias(field.name))
         else:
             columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *more)
 
 
 def require_columns(available: list[str], wanted: list[str]) -> None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise import session
-from lotwise.plans import counties, region, summary
+from lotwise.plans import counties, jobs, region, summary
 from lotwise.schema import PARCEL_SCHEMA, srid_of, to_parcel_schema, with_srid
 from lotwise.sources import tables
 from tests.shapes import LONG, STRING, point_table, rectangle, shape_table
@@ -120,6 +120,40 @@ def test_region_from_county_tables(spark):
     assert table(summary.choropleth_jurisdictions(juris, rows), "PLACECOMBO") == [("PLACE",)]
 
 
+def test_jobs_from_files_to_files(spark, tmp_path):
+    root = str(tmp_path)
+    names = ("Parcel", "PPYearBuilt", "PPClassNumber", "PPAcres", "PPTotalValue")
+    near, far = rectangle(1828000, 714000, 1828100, 714100), rectangle(1, 1, 2, 2)
+    raw = parcels(spark, [(1, "a", "1900|1970", "510", "1", "20", near),
+                          (2, "b", "1980", "401", "1", "30", far)], *names)
+    points = addresses(spark, [(1828050.0, 714050.0), (1828051.0, 714050.0)])
+    jobs.build_county("pickaway", raw, points, root)
+    lots = parcels(spark, [(1, "u", "520", "1999", near)], "OBJECTID", "CLASS", "YRBUILT")
+    jobs.save_county(lots.withColumn("UNITS", F.lit(4)), "franklin", root)
+    jobs.save_county(lots, "elsewhere", root)
+    juris = with_srid(
+        shape_table(spark, [("PLACE", "Franklin", rectangle(1820000, 710000, 1830000, 720000))],
+                    ("PLACECOMBO", STRING), ("COUNTY", STRING)), 3735,
+    )
+    jobs.build_region(spark, juris, root)
+    jobs.build_region(spark, juris, root)
+    rows = jobs.read_region(spark, root)
+    stored = spark.read.parquet(f"{root}/region")
+    assert table(rows, *sorted(stored.columns)) == table(stored, *sorted(stored.columns))
+    got = table(rows, "COUNTY", "OBJECTID", "YRBUILT", "TYPE", "UNITS", "APPRTOT", "PLACECOMBO")
+    assert got == [
+        ("franklin", "u", 1999.0, "SF-A", 4, None, "PLACE"),
+        ("pickaway", "a", 1970.0, "SF-SL", 1, 20.0, "PLACE"),
+    ]
+    out = jobs.summaries(rows, juris)
+    assert table(out["units_by_county_year"], "COUNTY", "UNITS") == [("franklin", 4), ("pickaway", 1)]
+    assert out["density_map"].count() == 1
+    assert out["density_map_jurisdictions"].count() == 1
+    assert table(out["density_histogram"], "bin", "n") == [(0, 1)]
+    assert out["parcels_by_county_year"].count() == 0
+    assert out["type_map"].count() == 0
+
+
 def test_shared_folder(spark, monkeypatch):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == named.rstrip("/")

@@ -12,7 +12,9 @@ from tests.shapes import LONG, STRING, closed, covers, point_table, rectangle, s
 
 
 def brute(points, shapes):
-    return sorted((i, j) for i, p in enumerate(points) for j, s in shapes if s and covers(s, p))
+    return sorted(
+        (i, j) for i, p in enumerate(points) for j, s in enumerate(shapes) if s and covers(s, p)
+    )
 
 
 def found(pairs):
@@ -57,25 +59,26 @@ def test_pairs_equal_brute_force(spark, broadcast):
     shapes, points = mixed_shapes(), many_points()
     polygons = shape_table(spark, shapes, ("id", LONG))
     pairs = spatial.points_in_polygons(point_table(spark, points), polygons, broadcast=broadcast)
-    assert found(pairs) == brute(points, shapes)
+    assert found(pairs) == brute(points, [s for _, s in shapes])
 
 
 def test_hot_cells_are_salted_and_the_result_is_whole(spark, monkeypatch):
-    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
     original = skew.hot_keys
     monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 5))
-    shapes = [(j, s) for j, s in mixed_shapes() if s]
+    shapes = [s for _, s in mixed_shapes() if s]
+    shapes = list(enumerate(shapes + [rectangle(0, 0, 4, 3 + j / 100) for j in range(40)]))
     points = [(1.0, 1.0)] * 40 + many_points()
     polygons = shape_table(spark, shapes, ("id", LONG))
     pairs = spatial.points_in_polygons(point_table(spark, points), polygons)
-    assert found(pairs) == brute(points, shapes)
+    assert found(pairs) == brute(points, [s for _, s in shapes])
 
 
 def test_hot_keys_lists_and_salts(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
+    key = F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k")
+    df = spark.range(1000).select(key, F.col("id").alias("n"))
     hot = skew.hot_keys(df, ["k"], rows_per_task=100)
     assert [tuple(r) for r in hot.collect()] == [(0, 4)]
-    spread = skew.spread(df, ["k"], hot, [F.col("k"), F.monotonically_increasing_id()])
+    spread = skew.spread(df, ["k"], hot, F.xxhash64("n"))
     assert spread.where("k = 0").select("_salt").distinct().count() == 4
     assert spread.where("k <> 0 and _salt <> 0").count() == 0
 
@@ -84,7 +87,11 @@ def test_spread_join_with_hot_keys(spark, monkeypatch):
     original = skew.hot_keys
     monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 10))
     left = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), "id")
-    right = spark.range(250).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    right = spark.range(250).select(
+        F.when(F.col("id") > 230, 7).otherwise(F.col("id")).alias("k"),
+        (F.col("id") * 2).alias("v"),
+        F.create_map(F.lit("m"), F.col("id")).alias("m"),
+    ).unionByName(spark.range(15).selectExpr("0l as k", "id as v", "map('m', id) as m"))
     got = skew.spread_join(left, right, ["k"])
     want = left.join(right, "k")
     assert got.select("id", "v").exceptAll(want.select("id", "v")).count() == 0
