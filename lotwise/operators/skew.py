@@ -66,18 +66,35 @@ def replicate(df: DataFrame, keys: list[str], hot: DataFrame, salt: str = SALT)
     return df.join(F.broadcast(hot), keys, "left").withColumn(salt, F.explode(salts)).drop(SALTS)
 
 
-def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def find_hot(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The hot keys of ``df``, or None where there are none.
+
+    Counted in a job of its own: both sides of a join must work from one list, and
+    without hot keys the join stays a plain one.
+    """
+    hot = hot_keys(df.select(*keys), keys)
+    rows = hot.collect()  # at most MOST_KEYS
+    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, keys: list[str], right_unique: bool = False
+) -> DataFrame:
     """Inner equi-join whose keys may be hot on either side.
 
     Rows of a key that is hot on the left are spread over the left salts and meet
-    copies of its right rows, and the other way round.
+    copies of its right rows, and the other way round. ``right_unique`` says that the
+    right side has one row per key, so that only the left is looked at.
     """
-    left_hot = hot_keys(left.select(*keys), keys)
-    right_hot = hot_keys(right.select(*keys), keys)
-    lefts = replicate(
-        spread(left, keys, left_hot, row_hash(left)), keys, right_hot, "_salt_right"
-    )
-    rights = replicate(
-        spread(right, keys, right_hot, row_hash(right), "_salt_right"), keys, left_hot
-    )
-    return lefts.join(rights, [*keys, SALT, "_salt_right"]).drop(SALT, "_salt_right")
+    left_hot = find_hot(left, keys)
+    right_hot = None if right_unique else find_hot(right, keys)
+    on = list(keys)
+    if left_hot is not None:
+        left = spread(left, keys, left_hot, row_hash(left))
+        right = replicate(right, keys, left_hot)
+        on.append(SALT)
+    if right_hot is not None:
+        right = spread(right, keys, right_hot, row_hash(right), "_salt_right")
+        left = replicate(left, keys, right_hot, "_salt_right")
+        on.append("_salt_right")
+    return left.join(right, on).drop(SALT, "_salt_right")

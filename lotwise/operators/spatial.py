@@ -19,6 +19,7 @@ from lotwise.functions.once import with_computed
 from lotwise.functions.projection import to_srid
 from lotwise.operators import skew
 from lotwise.schema import SRID_KEY, srid_of
+from lotwise.session import durable
 
 # Levels -16 .. 16 take cell edges from 4^-16 to 4^16 units (2e-10 to 4e9). Levels in
 # use are pairs (width, height), of which there are at most 33 * 33.
@@ -110,8 +111,15 @@ def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
     return celled.select(*kept, *CELL, "_box", near.alias("_edges"))
 
 
-def _levels_in_use(leveled: DataFrame) -> DataFrame:
-    return leveled.agg(F.array_sort(F.collect_set(F.struct(*LEVEL))).alias("levels"))
+def _levels_in_use(leveled: DataFrame) -> Column:
+    """The levels, as an array. A job of its own over the polygons' boxes: the points'
+    side then needs nothing from the polygons."""
+    rows = leveled.select(*LEVEL).distinct().collect()  # at most 33 * 33
+    levels = [
+        F.struct(F.lit(r["_width"]).alias("_width"), F.lit(r["_height"]).alias("_height"))
+        for r in sorted(rows)
+    ]
+    return F.array(*levels).cast("array<struct<_width:int,_height:int>>")
 
 
 def is_small(polygons: DataFrame, shape: str = "geometry") -> bool:
@@ -140,7 +148,8 @@ def points_in_polygons(
     """All (point, polygon) pairs where the polygon covers the point, border included.
 
     Columns of both sides are kept, the shape excepted; ``same`` names columns both
-    sides have that must also be equal. ``broadcast`` is for polygons that passed
+    sides have that must also be equal. Polygons are read three times and points twice,
+    mostly for few columns: pass written tables where they are costly to compute. ``broadcast`` is for polygons that passed
     ``is_small``: the points are then not shuffled at all.
     """
     points = aligned(points, polygons, point, shape)
@@ -155,7 +164,7 @@ def points_in_polygons(
     x, y, box = F.col(point)["x"], F.col(point)["y"], F.col("_box")
     located = (
         points.where(G.is_valid_point(point))
-        .select("*", F.inline(_levels_in_use(leveled).scalar()))
+        .select("*", F.inline(_levels_in_use(leveled)))
         .select(
             *points.columns,
             *LEVEL,
@@ -206,15 +215,18 @@ def count_points(
         return pairs.groupBy(key).agg(F.sum("_n").alias(out))
 
     printed = polygons.withColumn("_print", G.fingerprint("_shape"))
-    shapes = printed.select("_print", "_shape").dropDuplicates(["_print"])
+    # written: the shapes serve three jobs, the narrow owners two
+    shapes = durable(printed.select("_print", "_shape").dropDuplicates(["_print"]), "shapes")
+    owners = durable(
+        printed.groupBy(key, "_print").agg(F.count(F.lit(1)).alias("_copies")), "owners"
+    )
     counts = (
         points_in_polygons(places, shapes, "_point", "_shape")
         .groupBy("_print")
         .agg(F.sum("_n").alias("_n"))
     )
-    owners = printed.groupBy(key, "_print").agg(F.count(F.lit(1)).alias("_copies"))
     return (
-        skew.spread_join(owners, counts, ["_print"])
+        skew.spread_join(owners, counts, ["_print"], right_unique=True)
         .groupBy(key)
         .agg(F.sum(F.col("_n") * F.col("_copies")).alias(out))
     )

@@ -27,6 +27,7 @@ from lotwise.operators.dissolve import dissolve
 from lotwise.operators.joins import inner_complete, left_join, left_join_many
 from lotwise.operators.spatial import count_points
 from lotwise.schema import with_srid
+from lotwise.session import durable
 
 ID = "OBJECTID"
 
@@ -195,7 +196,8 @@ def standard_table(
     """Standard county table from raw parcels (``row_id``, source columns, ``geometry``),
     addresses (``point`` and the county's address id) and cards (``OBJECTID``, ``YRBLT``)."""
     raw = select_columns(parcels, county)
-    df = collapse_parcels(raw, county)
+    # written where it took shuffles to make: what follows reads it several times
+    df = durable(collapse_parcels(raw, county), "parcels") if county.collapse else raw.drop("row_id")
     addresses = addresses.select(county.address_id, "point")
     counted = raw if county.units_first else df
     # a collapse by geometry as the last step leaves no two rows with one shape
@@ -220,7 +222,8 @@ def madison(
 ) -> DataFrame:
     """Years and acres stay text, as the XML has them: the latest year is the largest
     text. Rows that agree in all but the id are one row."""
-    shapes = dissolve(to_srid(parcels.select("row_id", "TAXPIN", "geometry"), OHIO_SOUTH), "TAXPIN")
+    lots = to_srid(parcels.select("row_id", "TAXPIN", "geometry"), OHIO_SOUTH)
+    shapes = durable(dissolve(lots, "TAXPIN"), "parcels")
     units = count_points(
         shapes, to_srid(addresses.select("LSN", "point"), OHIO_SOUTH, "point"), "TAXPIN", "LSN"
     )

@@ -98,6 +98,23 @@ def test_spread_join_with_hot_keys(spark, monkeypatch):
     assert got.count() == want.count()
 
 
+def test_join_without_hot_keys_stays_plain(spark):
+    left, right = spark.range(50), spark.range(50).withColumn("v", F.lit(1))
+    assert skew.find_hot(left, ["id"]) is None
+    joined = skew.spread_join(left, right, ["id"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and joined.count() == 50
+
+
+def test_no_polygons(spark):
+    polygons = shape_table(spark, [(1, None)], ("id", LONG))
+    for broadcast in (False, True):
+        pairs = spatial.points_in_polygons(
+            point_table(spark, [(1.0, 1.0)]), polygons, broadcast=broadcast
+        )
+        assert pairs.count() == 0 and pairs.columns == ["pid", "point", "id"]
+
+
 def test_points_that_are_nowhere_are_ignored(spark):
     polygons = shape_table(spark, [(1, rectangle(0, 0, 4, 4))], ("id", LONG))
     points = [(float("nan"), 1.0), (1.0, float("inf")), None, (1.0, 1.0)]
