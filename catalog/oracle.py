@@ -540,7 +540,7 @@ ORACLE: dict[str, str] = {
     ),
     "column_profile": _profile_lineitem(),
     "column_profile_documents": profile("documents", DOCUMENTS),
-    "listing_links": f"""select page_id, len(links) as n_links, links[-1] as last_link,
+    "listing_links": f"""select page_id, cast(len(links) as integer) as n_links, links[-1] as last_link,
       list_filter(links, lambda l: contains(l, 'a'))[-1] as last_with_a
       from (select page_id, regexp_extract_all(html, '{LINK}', 1) as links from pages) q""",
     "page_plan": with_tables()
@@ -566,7 +566,8 @@ ORACLE: dict[str, str] = {
     "geojson_roundtrip": with_tables()
     + f"select row_id, parcelid, class, {measures()} from lots",
     "table_write_append": with_tables()
-    + """select row_id, parcelid, county, 1 as n from lots where county in ('franklin', 'union')
+    + """select row_id, parcelid, county, cast(1 as bigint) as n from lots
+      where county in ('franklin', 'union')
       union all select row_id, parcelid, 'appended', 2 from lots""",
     "county_franklin": _franklin(),
     "county_delaware": _delaware(),

@@ -28,7 +28,7 @@ from lotwise.operators import cards as C
 from lotwise.operators import collapse as D
 from lotwise.operators import dissolve as M
 from lotwise.operators import joins as J
-from lotwise.operators import profile, spatial, summaries
+from lotwise.operators import profile, spatial
 from lotwise.plans import counties, jobs, region, summary
 from lotwise.schema import srid_of, to_parcel_schema, with_srid
 from lotwise.session import durable, new_folder

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from lotwise.functions import geometry as G
 from lotwise.functions.once import with_computed
 from lotwise.operators.collapse import first_value
+from lotwise.operators.joins import left_join
+from lotwise.operators.skew import salted_left
 from lotwise.operators.spatial import points_in_polygons
 from lotwise.session import durable
 
@@ -148,9 +150,12 @@ def trace_rings(edges: DataFrame, key: str) -> DataFrame:
             ),
             "rings",
         )
-        if state.where("moved").isEmpty():
-            break
+        settled = state.where("moved").isEmpty()
         state = state.drop("moved")
+        if settled:
+            break
+    else:
+        raise RuntimeError(f"rings not closed after {MAX_ROUNDS} rounds")
 
     # the lowest edge first, then from the farthest to the nearest before it
     order = F.when(F.col("off") == 0, F.lit(-(2**62))).otherwise(-F.col("off"))
@@ -224,8 +229,10 @@ def dissolve(
         "shapes",
     )
     several = shapes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
-    alone = shapes.join(several, key, "left_anti").withColumnRenamed("_shape", shape)
-    parts = dissolve_parts(shapes.join(several, key, "left_semi"), key, "_shape")
+    salted, (several,), on = salted_left(shapes, [several], [key])
+    alone = salted.join(several, on, "left_anti").select(key, F.col("_shape").alias(shape))
+    together = salted.join(several, on, "left_semi").select(key, "_shape")
+    parts = dissolve_parts(together, key, "_shape")
     out = alone.unionByName(_blocks(durable(parts, "parts"), key, shape))
     firsts = [first_value(c, order).alias(c) for c in first]
     values = keyed.groupBy(key).agg(*firsts) if firsts else keyed.select(key).distinct()
@@ -242,7 +249,7 @@ def _blocks(parts: DataFrame, key: str, shape: str) -> DataFrame:
     )
     block = F.pmod(F.xxhash64("part"), F.coalesce("_blocks", F.lit(1)))
     return (
-        parts.join(blocks, key, "left")
+        left_join(parts, blocks, key)
         .withColumn("_block", block)
         .groupBy(key, "_block")
         .agg(F.sort_array(F.collect_list("part")).alias(shape))

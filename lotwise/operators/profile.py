@@ -72,6 +72,8 @@ def column_samples(df: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     order = Window.partitionBy("column_name").orderBy(F.xxhash64("value"), F.col("value"))
     return (
         value_counts(df)
+        # always true; with the count in use, a profile shuffles the pairs once
+        .where(F.col("n") > 0)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= size)
         .groupBy("column_name")

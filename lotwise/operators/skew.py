@@ -8,6 +8,9 @@ whatever the data, and is safe to broadcast.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,11 +53,10 @@ def spread(
     df: DataFrame, keys: list[str], hot: DataFrame, by: Column, salt: str = SALT
 ) -> DataFrame:
     """Give each row one salt, from a hash of its own values: a task that runs again
-    gives the same row the same salt."""
+    gives the same row the same salt. A missing key may be hot as well."""
     salts = F.coalesce(F.col(SALTS), F.lit(1)).cast("bigint")
     return (
-        df.withColumn("_hash", by)
-        .join(F.broadcast(hot), keys, "left")
+        _with_salts(df.withColumn("_hash", by), keys, hot)
         .withColumn(salt, F.pmod(F.col("_hash"), salts).cast("int"))
         .drop(SALTS, "_hash")
     )
@@ -63,7 +65,13 @@ def spread(
 def replicate(df: DataFrame, keys: list[str], hot: DataFrame, salt: str = SALT) -> DataFrame:
     """Give each row every salt of its key: one copy for keys that are not hot."""
     salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
-    return df.join(F.broadcast(hot), keys, "left").withColumn(salt, F.explode(salts)).drop(SALTS)
+    return _with_salts(df, keys, hot).withColumn(salt, F.explode(salts)).drop(SALTS)
+
+
+def _with_salts(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    listed = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_hot_{k}`")) for k in keys])
+    return df.join(F.broadcast(listed), same, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 def find_hot(df: DataFrame, keys: list[str]) -> DataFrame | None:
@@ -72,11 +80,28 @@ def find_hot(df: DataFrame, keys: list[str]) -> DataFrame | None:
     Counted in a job of its own: both sides of a join must work from one list, and
     without hot keys the join stays a plain one.
     """
-    hot = hot_keys(df.select(*keys), keys)
+    hot = hot_keys(df.select(*[F.col(f"`{k}`") for k in keys]), keys)
     rows = hot.collect()  # at most MOST_KEYS
     return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
+def salted_left(
+    left: DataFrame, rights: list[DataFrame], keys: list[str]
+) -> tuple[DataFrame, list[DataFrame], list[str]]:
+    """Both sides of joins whose left keys may be hot, and the columns to join on.
+
+    A hot left key's rows are spread over its salts and each of its right rows is
+    copied to all of them, so inner, left, semi and anti joins on the returned columns
+    give what they give on the keys alone. Adaptive execution cannot do this where the
+    right side comes straight from a grouping by the key.
+    """
+    hot = find_hot(left, keys)
+    if hot is None:
+        return left, rights, keys
+    spread_left = spread(left, keys, hot, row_hash(left))
+    return spread_left, [replicate(r, keys, hot) for r in rights], [*keys, SALT]
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, keys: list[str], right_unique: bool = False
 ) -> DataFrame:
@@ -86,15 +111,10 @@ def spread_join(
     copies of its right rows, and the other way round. ``right_unique`` says that the
     right side has one row per key, so that only the left is looked at.
     """
-    left_hot = find_hot(left, keys)
     right_hot = None if right_unique else find_hot(right, keys)
-    on = list(keys)
-    if left_hot is not None:
-        left = spread(left, keys, left_hot, row_hash(left))
-        right = replicate(right, keys, left_hot)
-        on.append(SALT)
+    left, (right,), on = salted_left(left, [right], keys)
     if right_hot is not None:
         right = spread(right, keys, right_hot, row_hash(right), "_salt_right")
         left = replicate(left, keys, right_hot, "_salt_right")
-        on.append("_salt_right")
+        on = [*on, "_salt_right"]
     return left.join(right, on).drop(SALT, "_salt_right")

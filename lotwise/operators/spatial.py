@@ -148,9 +148,11 @@ def points_in_polygons(
     """All (point, polygon) pairs where the polygon covers the point, border included.
 
     Columns of both sides are kept, the shape excepted; ``same`` names columns both
-    sides have that must also be equal. Polygons are read three times and points twice,
-    mostly for few columns: pass written tables where they are costly to compute. ``broadcast`` is for polygons that passed
+    sides have that must also be equal. ``broadcast`` is for polygons that passed
     ``is_small``: the points are then not shuffled at all.
+
+    Polygons are read three times and points twice, mostly for few columns: pass written
+    tables where they are costly to compute.
     """
     points = aligned(points, polygons, point, shape)
     own = [c for c in points.columns if c not in same]

@@ -203,10 +203,8 @@ def standard_table(
     # a collapse by geometry as the last step leaves no two rows with one shape
     stacked = county.units_first or not county.collapse
     units = count_points(counted, addresses, ID, county.address_id, stacked=stacked)
-    df = left_join(df, units, ID)
-    if county.year_from_cards:
-        df = left_join(df, latest_year(cards, ID, "YRBLT"), ID)
-    return to_srid(df, OHIO_SOUTH)
+    tables = [units] + ([latest_year(cards, ID, "YRBLT")] if county.year_from_cards else [])
+    return to_srid(left_join_many(df, tables, ID), OHIO_SOUTH)
 
 
 # --- Madison: dissolved parcels and four XML tables -----------------------------
@@ -271,9 +269,8 @@ def knox(
     lots = as_points(
         parcels.select("row_id", "PIN", "geometry", G.fingerprint("geometry").alias("_print"))
     )
-    df = left_join(lots, cama, "PIN", "mpropertyNumber")
-    df = left_join(df.where(F.col("mClassificationId").isNotNull()), units, "PIN")
-    numbers = df.select(
+    df = left_join_many(lots, [cama.withColumnRenamed("mpropertyNumber", "PIN"), units], "PIN")
+    numbers = df.where(F.col("mClassificationId").isNotNull()).select(
         F.struct("row_id", "PIN").alias("_first"),
         "_print",
         "geometry",

@@ -9,8 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators count on. Skewed left joins are split by
-# adaptive execution, also where the split costs one more shuffle.
+# Runtime settings the operators count on. They salt hot join keys themselves; where
+# adaptive execution can split a skewed partition as well, it may, also at the cost of
+# one more shuffle.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

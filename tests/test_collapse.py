@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
+from lotwise.operators import skew
 from lotwise.operators.cards import all_cards, latest_effective_year, latest_year, rows_per_key
 from lotwise.operators.collapse import collapse, distinct_rows
 from lotwise.operators.joins import (
@@ -82,3 +83,41 @@ def test_cards_union_by_name_and_counts(spark):
     out = rows_per_key(all_cards(a, b), "id", "n").collect()
     assert [tuple(r) for r in out] == [("q", 2), ("p", 1)]
     assert all_cards(a, b).where(F.col("n").isNull()).count() == 1
+
+
+def test_hot_and_missing_left_keys_are_salted(spark, monkeypatch):
+    """A third of the rows under one id, a third without: no task gets them all."""
+    original = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 100))
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
+    left = spark.range(0, 3000, 1, 4).select(
+        key.otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    right = left.groupBy("k").agg(F.count("id").alias("n"))
+    twice = right.where("k = 'hot'").unionByName(right)
+
+    salted, _, on = skew.salted_left(left, [right], ["k"])
+    assert on == ["k", skew.SALT]
+    salts = {r["k"]: r["n"] for r in salted.groupBy("k").agg(
+        F.count_distinct(skew.SALT).alias("n")).where("n > 1").collect()}
+    assert salts == {"hot": 10, None: 10}
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    def plain(how, other=right, condition=None):
+        other = other.withColumnRenamed("k", "_k")
+        same = F.col("k") == F.col("_k") if condition is None else condition
+        return left.join(other, same, how).drop("_k")
+
+    assert rows(left_join(left, right, "k")) == rows(plain("left"))
+    assert rows(left_join(left, twice, "k")) == rows(plain("left", twice))
+    null_safe = F.col("k").eqNullSafe(F.col("_k"))
+    assert rows(left_join(left, right, "k", nulls_match=True)) == rows(
+        plain("left", condition=null_safe)
+    )
+    assert rows(inner_complete(left, right, "k")) == rows(plain("inner"))
+    assert rows(inner_complete(right, left, "k").select("k", "id", "n")) == rows(plain("inner"))
+    names = spark.createDataFrame([("HOT",), ("5",)], "n string")
+    lower = left.withColumn("k", F.initcap("k"))
+    assert keep_named_in(lower, "k", names, "n").count() == 1000 + 1

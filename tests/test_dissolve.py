@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
 from lotwise.operators import dissolve as M
+from lotwise.operators import skew
 from lotwise.schema import with_srid
 from tests.shapes import LONG, STRING, closed, covers, rectangle, ring_area, shape_table
 
@@ -104,6 +105,18 @@ def test_large_keys_come_in_blocks(spark, monkeypatch):
     assert [len(r["geometry"]) for r in out if r["k"] == "small"] == [3]
 
 
+def test_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(M, "PARTS_PER_ROW", 7)
+    original = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 10))
+    rows = [(i, "hot", "c", rectangle(3 * i, 0, 3 * i + 1, 1)) for i in range(60)]
+    rows += [(100 + i, f"k{i}", "d", rectangle(3 * i, 0, 3 * i + 1, 1)) for i in range(30)]
+    out = M.dissolve(table(spark, rows), "k", first=["c"]).collect()
+    hot = [len(r["geometry"]) for r in out if r["k"] == "hot"]
+    assert sum(hot) == 60 and len(hot) > 1
+    assert sorted(r["k"] for r in out if r["k"] != "hot") == sorted(f"k{i}" for i in range(30))
+
+
 def test_dissolving_twice_changes_nothing(spark):
     rng = random.Random(2)
     rows = [(8 * i + j, "k", "c", rectangle(i, j, i + 1, j + 1)) for i, j in random_cells(rng)]

@@ -64,6 +64,13 @@ def test_profile(spark):
     assert sorted(got["b"]["column_sample"].split("; ")) == [" ", "None", "q"]
 
 
+def test_profile_shuffles_the_values_once(spark):
+    df = column_profile(spark.range(100).select("id", (F.col("id") % 7).alias("b")))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_samples_are_ten_distinct_values(spark):
     df = spark.range(5000).select((F.col("id") % 700).cast("string").alias("a"), F.lit(1).alias("b"))
     got = {r["column_name"]: r["column_sample"].split("; ") for r in column_samples(df).collect()}
