@@ -22,22 +22,26 @@ SALT = "_salt"
 SALTS = "_salts"
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hot keys of ``df`` and the number of salts to spread each over.
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key, as ``_n``; counts combine in the map tasks."""
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
 
-    Counts combine in the map tasks; ranking is a distributed top-k. The limit is on
-    the list of keys to salt, never on rows.
+
+def hot_keys(counts: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Hot keys and the number of salts to spread each over, from rows per key.
+
+    Ranking is a distributed top-k. The limit is on the list of keys to salt, never on
+    rows.
     """
     n = F.col("_n")
+    names = [F.col(f"`{k}`") for k in keys]
     return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(n > rows_per_task)
+        counts.where(n > rows_per_task)
         # keys break ties: every use of the list must see the same keys
-        .orderBy(n.desc(), *keys)
+        .orderBy(n.desc(), *names)
         .limit(MOST_KEYS)
         .select(
-            *keys,
+            *names,
             F.least(F.ceil(n / F.lit(rows_per_task)), F.lit(MOST_SALTS)).cast("int").alias(SALTS),
         )
     )
@@ -74,28 +78,33 @@ def _with_salts(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(listed), same, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
-def find_hot(df: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The hot keys of ``df``, or None where there are none.
+def find_hot(counts: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The hot keys, or None where there are none.
 
-    Counted in a job of its own: both sides of a join must work from one list, and
-    without hot keys the join stays a plain one.
+    A job of its own: both sides of a join must work from one list, and without hot
+    keys the join stays a plain one.
     """
-    hot = hot_keys(df.select(*[F.col(f"`{k}`") for k in keys]), keys)
+    hot = hot_keys(counts, keys)
     rows = hot.collect()  # at most MOST_KEYS
-    return df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def salted_left(
-    left: DataFrame, rights: list[DataFrame], keys: list[str]
+    left: DataFrame,
+    rights: list[DataFrame],
+    keys: list[str],
+    left_counts: DataFrame | None = None,
 ) -> tuple[DataFrame, list[DataFrame], list[str]]:
     """Both sides of joins whose left keys may be hot, and the columns to join on.
 
     A hot left key's rows are spread over its salts and each of its right rows is
     copied to all of them, so inner, left, semi and anti joins on the returned columns
     give what they give on the keys alone. Adaptive execution cannot do this where the
-    right side comes straight from a grouping by the key.
+    right side comes straight from a grouping by the key. ``left_counts`` (keys, ``_n``)
+    saves the counting where the counts are known.
     """
-    hot = find_hot(left, keys)
+    counts = key_counts(left, keys) if left_counts is None else left_counts
+    hot = find_hot(counts, keys)
     if hot is None:
         return left, rights, keys
     spread_left = spread(left, keys, hot, row_hash(left))
@@ -103,16 +112,23 @@ def salted_left(
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, keys: list[str], right_unique: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_counts: DataFrame | None = None,
+    right_counts: DataFrame | None = None,
+    right_even: bool = False,
 ) -> DataFrame:
     """Inner equi-join whose keys may be hot on either side.
 
     Rows of a key that is hot on the left are spread over the left salts and meet
-    copies of its right rows, and the other way round. ``right_unique`` says that the
-    right side has one row per key, so that only the left is looked at.
+    copies of its right rows, and the other way round. ``right_even`` says that no key
+    is hot on the right.
     """
-    right_hot = None if right_unique else find_hot(right, keys)
-    left, (right,), on = salted_left(left, [right], keys)
+    right_hot = None
+    if not right_even:
+        right_hot = find_hot(key_counts(right, keys) if right_counts is None else right_counts, keys)
+    left, (right,), on = salted_left(left, [right], keys, left_counts)
     if right_hot is not None:
         right = spread(right, keys, right_hot, row_hash(right), "_salt_right")
         left = replicate(left, keys, right_hot, "_salt_right")

@@ -111,15 +111,19 @@ def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
     return celled.select(*kept, *CELL, "_box", near.alias("_edges"))
 
 
-def _levels_in_use(leveled: DataFrame) -> Column:
-    """The levels, as an array. A job of its own over the polygons' boxes: the points'
-    side then needs nothing from the polygons."""
-    rows = leveled.select(*LEVEL).distinct().collect()  # at most 33 * 33
+def _levels_in_use(counts: DataFrame) -> tuple[Column, bool]:
+    """The levels as an array, and whether any cell holds many polygons.
+
+    A job of its own over the polygons' boxes: the points' side then needs nothing from
+    the polygons.
+    """
+    rows = counts.groupBy(*LEVEL).agg(F.max("_n").alias("most")).collect()  # at most 33 * 33
     levels = [
         F.struct(F.lit(r["_width"]).alias("_width"), F.lit(r["_height"]).alias("_height"))
         for r in sorted(rows)
     ]
-    return F.array(*levels).cast("array<struct<_width:int,_height:int>>")
+    array = F.array(*levels).cast("array<struct<_width:int,_height:int>>")
+    return array, any(r["most"] > skew.ROWS_PER_TASK for r in rows)
 
 
 def is_small(polygons: DataFrame, shape: str = "geometry") -> bool:
@@ -151,8 +155,8 @@ def points_in_polygons(
     sides have that must also be equal. ``broadcast`` is for polygons that passed
     ``is_small``: the points are then not shuffled at all.
 
-    Polygons are read three times and points twice, mostly for few columns: pass written
-    tables where they are costly to compute.
+    Both sides are read twice, once for the keys alone: pass written tables where they
+    are costly to compute.
     """
     points = aligned(points, polygons, point, shape)
     own = [c for c in points.columns if c not in same]
@@ -164,9 +168,11 @@ def points_in_polygons(
     celled = _with_cells(leveled, shape, [c for c in polygons.columns if c != shape])
     keys = [*CELL, *same]
     x, y, box = F.col(point)["x"], F.col(point)["y"], F.col("_box")
+    cells = skew.key_counts(celled, keys)
+    levels, crowded = _levels_in_use(cells)
     located = (
         points.where(G.is_valid_point(point))
-        .select("*", F.inline(_levels_in_use(leveled)))
+        .select("*", F.inline(levels))
         .select(
             *points.columns,
             *LEVEL,
@@ -180,7 +186,9 @@ def points_in_polygons(
     if broadcast:
         pairs = located.join(F.broadcast(celled), keys)
     else:
-        pairs = skew.spread_join(located, celled, keys)
+        pairs = skew.spread_join(
+            located, celled, keys, right_counts=cells, right_even=not crowded
+        )
     return pairs.where(in_box & G.edges_cover("_edges", x, y)).drop(*CELL, "_box", "_edges")
 
 
@@ -217,18 +225,23 @@ def count_points(
         return pairs.groupBy(key).agg(F.sum("_n").alias(out))
 
     printed = polygons.withColumn("_print", G.fingerprint("_shape"))
-    # written: the shapes serve three jobs, the narrow owners two
-    shapes = durable(printed.select("_print", "_shape").dropDuplicates(["_print"]), "shapes")
-    owners = durable(
-        printed.groupBy(key, "_print").agg(F.count(F.lit(1)).alias("_copies")), "owners"
+    # written: the shapes serve several jobs
+    shapes = durable(
+        printed.groupBy("_print").agg(
+            F.any_value("_shape").alias("_shape"), F.count(F.lit(1)).alias("_n")
+        ),
+        "shapes",
     )
+    owners = printed.groupBy(key, "_print").agg(F.count(F.lit(1)).alias("_copies"))
     counts = (
-        points_in_polygons(places, shapes, "_point", "_shape")
+        points_in_polygons(places, shapes.drop("_n"), "_point", "_shape")
         .groupBy("_print")
         .agg(F.sum("_n").alias("_n"))
     )
     return (
-        skew.spread_join(owners, counts, ["_print"], right_unique=True)
+        skew.spread_join(
+            owners, counts, ["_print"], left_counts=shapes.drop("_shape"), right_even=True
+        )
         .groupBy(key)
         .agg(F.sum(F.col("_n") * F.col("_copies")).alias(out))
     )

@@ -88,7 +88,7 @@ def test_cards_union_by_name_and_counts(spark):
 def test_hot_and_missing_left_keys_are_salted(spark, monkeypatch):
     """A third of the rows under one id, a third without: no task gets them all."""
     original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 100))
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 100))
     key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None)
     left = spark.range(0, 3000, 1, 4).select(
         key.otherwise(F.col("id").cast("string")).alias("k"), "id"

@@ -108,7 +108,7 @@ def test_large_keys_come_in_blocks(spark, monkeypatch):
 def test_hot_key(spark, monkeypatch):
     monkeypatch.setattr(M, "PARTS_PER_ROW", 7)
     original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 10))
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 10))
     rows = [(i, "hot", "c", rectangle(3 * i, 0, 3 * i + 1, 1)) for i in range(60)]
     rows += [(100 + i, f"k{i}", "d", rectangle(3 * i, 0, 3 * i + 1, 1)) for i in range(30)]
     out = M.dissolve(table(spark, rows), "k", first=["c"]).collect()

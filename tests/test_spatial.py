@@ -63,8 +63,9 @@ def test_pairs_equal_brute_force(spark, broadcast):
 
 
 def test_hot_cells_are_salted_and_the_result_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
     original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 5))
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 5))
     shapes = [s for _, s in mixed_shapes() if s]
     shapes = list(enumerate(shapes + [rectangle(0, 0, 4, 3 + j / 100) for j in range(40)]))
     points = [(1.0, 1.0)] * 40 + many_points()
@@ -76,7 +77,7 @@ def test_hot_cells_are_salted_and_the_result_is_whole(spark, monkeypatch):
 def test_hot_keys_lists_and_salts(spark):
     key = F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k")
     df = spark.range(1000).select(key, F.col("id").alias("n"))
-    hot = skew.hot_keys(df, ["k"], rows_per_task=100)
+    hot = skew.hot_keys(skew.key_counts(df, ["k"]), ["k"], rows_per_task=100)
     assert [tuple(r) for r in hot.collect()] == [(0, 4)]
     spread = skew.spread(df, ["k"], hot, F.xxhash64("n"))
     assert spread.where("k = 0").select("_salt").distinct().count() == 4
@@ -85,7 +86,7 @@ def test_hot_keys_lists_and_salts(spark):
 
 def test_spread_join_with_hot_keys(spark, monkeypatch):
     original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda df, keys: original(df, keys, 10))
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 10))
     left = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"), "id")
     right = spark.range(250).select(
         F.when(F.col("id") > 230, 7).otherwise(F.col("id")).alias("k"),
@@ -100,7 +101,7 @@ def test_spread_join_with_hot_keys(spark, monkeypatch):
 
 def test_join_without_hot_keys_stays_plain(spark):
     left, right = spark.range(50), spark.range(50).withColumn("v", F.lit(1))
-    assert skew.find_hot(left, ["id"]) is None
+    assert skew.find_hot(skew.key_counts(left, ["id"]), ["id"]) is None
     joined = skew.spread_join(left, right, ["id"])
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" not in plan and joined.count() == 50
