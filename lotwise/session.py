@@ -19,6 +19,10 @@ SETTINGS = {
 }
 
 
+# Folders of local sessions that name none, by application.
+_own_folders: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set what the operators count on and hand the package to the executors."""
     for key, value in SETTINGS.items():
@@ -49,9 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="lotwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="lotwise-")
+    return _own_folders[app]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,7 @@
 """County and region jobs on small hand-made tables."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,23 +156,20 @@ def test_jobs_from_files_to_files(spark, tmp_path):
     assert out["type_map"].count() == 0
 
 
-def test_shared_folder(spark, monkeypatch):
+def test_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == named.rstrip("/")
     df = session.durable(spark.range(5), "t")
     assert df.count() == 5 and named in df.inputFiles()[0]
 
-    class Conf(dict):
-        def set(self, k, v):
-            self[k] = v
-
-    class Cluster:
-        conf = Conf({"spark.master": "yarn"})
+    def fake(master):
+        context = SimpleNamespace(applicationId=f"app-{master}")
+        return SimpleNamespace(conf={"spark.master": master}, sparkContext=context)
 
     with pytest.raises(ValueError):
-        session.shared_dir(Cluster())
-    Cluster.conf = Conf({"spark.master": "local[2]"})
-    assert session.shared_dir(Cluster()) == Cluster.conf["spark.checkpoint.dir"]
+        session.shared_dir(fake("yarn"))
+    own = session.shared_dir(fake("local[2]"))
+    assert own == session.shared_dir(fake("local[2]")) != session.shared_dir(fake("local[3]"))
 
 
 def test_morrow_tables(spark):
