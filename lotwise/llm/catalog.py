@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lotwise.llm import packing, token_files
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -17,8 +18,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 4096 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of every document's ids, read back from files."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_retrieval_packing": op2_retrieval_packing,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE: dict[str, str] = {}
