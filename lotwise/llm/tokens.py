@@ -11,11 +11,11 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 END = 2
-MOST_KEPT = 200_000
+MOST_KEPT = 300_000
 
 # Fixed values of the tokenizer file: its split pattern, written for the characters of
 # PLAIN, and the byte alphabet's shift for the bytes that Latin letters consist of.
@@ -30,6 +30,10 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+# array("I") is what the files and checksums hold
+assert array("I").itemsize == 4 and sys.byteorder == "little"
+
+
 class Kept(dict):
     """A dictionary that computes what it lacks, and forgets what was long not used."""
 
@@ -65,14 +69,20 @@ class Encoder:
         )
 
     def piece(self, text: str) -> bytes:
-        shown = "".join(map(self.alphabet.__getitem__, text.encode()))
-        return np.array([x.id for x in self.model.tokenize(shown)], "<u4").tobytes()
+        if not text.isascii():
+            text = "".join(map(self.alphabet.__getitem__, text.encode()))
+        return array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
 
     def word(self, raw: bytes) -> bytes:
+        if raw.isalpha():  # of ASCII letters
+            return self.pieces[raw.lower().decode()]
+        if raw[:-1].isalpha() and 0x20 < raw[-1] < 0x7F:
+            pieces = self.pieces
+            return pieces[raw[:-1].lower().decode()] + pieces[chr(raw[-1])]
         text = raw.decode()
         if PLAIN.match(text) and not self.special.search(text):
             return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, text.split()))
