@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import packing, token_files
+from lotwise.llm import contamination, lines, packing, token_files, urls
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -23,6 +23,23 @@ def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    documents, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination.report(documents, items)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.listed(pages))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its cross-site boilerplate lines."""
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, length and checksum of every document's ids, read back from files."""
     return token_files.round_trip(table(spark, sf_dir, "documents"))
@@ -31,7 +48,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_retrieval_packing": op2_retrieval_packing,
+    "op3_benchmark_contamination": op3_benchmark_contamination,
+    "op6_url_filter": op6_url_filter,
+    "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": urls.SQL,
+    "op7_line_dedup": lines.SQL,
+}

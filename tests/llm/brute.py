@@ -23,3 +23,25 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool]:
         len(covered),
         failed,
     )
+
+
+def contamination(documents: dict, items: dict, width: int = 10) -> dict:
+    """By document: n_words, n_hit and the found items."""
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = lambda text: word.findall((text or "").translate(lower))
+    windows: dict[tuple, set] = {}
+    for item, text in items.items():
+        own = words(text)
+        for i in range(max(len(own) - width + 1, 1 if own else 0)):
+            windows.setdefault(tuple(own[i : i + width]), set()).add(item)
+    sizes, out = {len(w) for w in windows}, {}
+    for doc, text in documents.items():
+        own, hit, found = words(text), set(), set()
+        for size in sizes:
+            for i in range(len(own) - size + 1):
+                if (run := tuple(own[i : i + size])) in windows:
+                    hit.update(range(i, i + size))
+                    found |= windows[run]
+        out[doc] = (len(own), len(hit), found)
+    return out
