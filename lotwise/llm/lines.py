@@ -93,7 +93,8 @@ def cleaned(documents: DataFrame, sites: int = SITES) -> DataFrame:
     stay = F.filter(split, lambda x, i: ~F.array_contains("leaving", i))
     columns = [F.col(f"d.{c}") for c in documents.columns if c != "text"]
     joined = documents.withColumn("__row", row_key()).alias("d").join(
-        places.withColumnRenamed("row", "__row"), "__row", "left"
+        # dealt out by row at every size: the places grow with the documents
+        places.withColumnRenamed("row", "__row").hint("merge"), "__row", "left"
     )
     text = F.when(F.col("leaving").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     return joined.select(
