@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import contamination, lines, packing, token_files, urls
+from lotwise.llm import contamination, html_text, lines, packing, token_files, urls
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -29,6 +29,11 @@ def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(documents, items)
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages")
@@ -49,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_retrieval_packing": op2_retrieval_packing,
     "op3_benchmark_contamination": op3_benchmark_contamination,
+    "op4_main_text": op4_main_text,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
