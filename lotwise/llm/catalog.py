@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import contamination, html_text, lines, packing, token_files, urls
+from lotwise.llm import contamination, html_text, jaccard, lines, packing, token_files, urls
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -50,6 +50,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and near-duplicate component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {

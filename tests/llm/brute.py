@@ -45,3 +45,30 @@ def contamination(documents: dict, items: dict, width: int = 10) -> dict:
                     found |= windows[run]
         out[doc] = (len(own), len(hit), found)
     return out
+
+
+def near_duplicates(documents: dict) -> dict:
+    """By document: number of shingles and smallest id reachable by links."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, holders = {}, {}
+    for doc, text in documents.items():
+        words = WORD.findall((text or "").translate(lower))
+        runs = max(len(words) - 4, 1 if words else 0)
+        sets[doc] = {tuple(words[i : i + 5]) for i in range(runs)}
+        for run in sets[doc]:
+            holders.setdefault(run, []).append(doc)
+    root = {doc: doc for doc in documents}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for doc, own in sets.items():
+        common = Counter(other for run in own for other in holders[run] if other > doc)
+        for other, overlap in common.items():
+            if 100 * overlap >= 75 * (len(own) + len(sets[other]) - overlap):
+                a, b = find(doc), find(other)
+                root[max(a, b)] = min(a, b)
+    return {doc: (len(sets[doc]), find(doc)) for doc in documents}
