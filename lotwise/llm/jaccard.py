@@ -78,12 +78,15 @@ class Sets:
         self.sizes = np.bincount(self.text, minlength=block.n)
         self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
         # an order-free digest of the set, and its size
-        spread = np.concatenate([[0], np.cumsum(mix(self.tokens ^ K))]).astype(np.uint64)
-        total = spread[self.bounds[1:]] - spread[self.bounds[:-1]]
-        folded = np.concatenate([[0], np.cumsum(mix(self.tokens + K) * K)]).astype(np.uint64)
-        other = folded[self.bounds[1:]] - folded[self.bounds[:-1]]
+        total = self.sums(mix(self.tokens ^ K))
+        other = self.sums(mix(self.tokens + K) * K)
         self.nodes = mix(mix(total) + other * K + self.sizes.astype(np.uint64)).view(np.int64)
 
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        running = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values, out=running[1:])
+        return running[self.bounds[1:]] - running[self.bounds[:-1]]
+
     def of(self, i: int) -> np.ndarray:
         return self.tokens[self.bounds[i] : self.bounds[i + 1]]
 
