@@ -16,12 +16,13 @@ are called frequent never changes the result, only the work.
 
 Signatures that a map task sees several times are passed on beside the shuffle and only
 one marker a task is dealt out by signature, so a signature of very many sets arrives as
-one row a task. Links are found in two steps, neither of which makes all pairs of a
-group. First each set is compared with the best of its signatures' smallest sets, and
-the links found join sets to components. Then, only in signatures that still hold
-several components, pairs of different components are compared. Before the exact
-comparison a parity bitmap of two bits a token bounds the overlap from above, so whole
-sets travel only for pairs that may be links.
+one row a task. Links are found without making all pairs of a group: first each set is
+compared with the best of its signatures' leaders, and the links found join sets to
+components; then only pairs of different components matter. In signatures of many sets
+those are found by comparing bitmaps within blocks, first the best pair of each two
+components, in the end all that are left; in signatures of few sets they are joined.
+A parity bitmap of two bits a token bounds the overlap from above, so whole sets travel
+only for pairs that may be links, and every link is settled by comparing whole sets.
 
 Edge cases: null texts and texts without words have an empty set, no link, and are a
 component of their own (their doc_id); texts of fewer than five words have one shingle;
@@ -47,6 +48,9 @@ PERCENT = 75
 LEAST_FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 CHUNK = 1 << 19
+SMALL = 32
+BLOCK = 4096
+ROUNDS = 2
 
 SETS = "doc_id long, n_shingles long, node long, bits binary"
 SIGNED = "key long, signature long, node long, size int, kind byte"
@@ -427,6 +431,126 @@ def fits(n: str, m: str):
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
+def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of signatures whose nodes are of several components, with ``root``, the
+    component of most rows (``main``) and the number of rows (``n``)."""
+    held = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    held = durable(held, "held")
+    per_root = held.groupBy("signature", "root").agg(F.count("*").alias("n"))
+    whole = per_root.groupBy("signature").agg(
+        F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"), F.sum("n").alias("n")
+    )
+    mixed = whole.where("roots > 1").select("signature", F.col("largest.root").alias("main"), "n")
+    return durable(held.join(durable(mixed, "mixed"), "signature"), "rows")
+
+
+def pairs_of_small(rows: DataFrame) -> DataFrame:
+    """a, b: nodes of different components in signatures of few rows."""
+    few = rows.where(F.col("n") <= SMALL)
+    other = few.select(
+        "signature", F.col("node").alias("b"), F.col("size").alias("m"), F.col("root").alias("other")
+    )
+    both = few.join(other, "signature").where("node < b and root <> other").where(fits("size", "m"))
+    return both.select(F.col("node").alias("a"), "b").distinct()
+
+
+class Shelf:
+    """Rows of one bitmap length: their bitmaps as a matrix, and folded to half."""
+
+    def __init__(self, bits: list[bytes], at: np.ndarray):
+        self.at = at
+        self.whole = np.frombuffer(b"".join(bits), np.uint8).reshape(len(at), -1)
+        half = self.whole.shape[1] // 2
+        self.half = self.whole[:, :half] ^ self.whole[:, half:]
+
+
+def compare(table: pa.Table, best_only: bool) -> pa.RecordBatch:
+    """Pairs of a bucket that may be links: each ``minor`` row with the other rows."""
+    columns = ("minor", "node", "size", "root")
+    minor, node, size, root = (table[c].to_numpy() for c in columns)
+    bits = table["bits"].to_pylist()
+    length = np.array([len(x) for x in bits])
+    rows = np.flatnonzero(~minor)
+    shelves = {
+        int(n): Shelf([bits[i] for i in rows[length[rows] == n]], rows[length[rows] == n])
+        for n in np.unique(length[rows])
+    }
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i in np.flatnonzero(minor).tolist():
+        own = np.frombuffer(bits[i], np.uint8)
+        n = len(own)
+        for shelf, theirs, mine in (
+            (n, "whole", own),
+            (2 * n, "half", own),
+            (n // 2, "whole", own[: n // 2] ^ own[n // 2 :]),
+        ):
+            if shelf not in shelves or not len(mine):
+                continue
+            at = shelves[shelf].at
+            apart = np.bitwise_count(getattr(shelves[shelf], theirs) ^ mine).sum(axis=1, dtype=np.int64)
+            both = size[at].astype(np.int64) + int(size[i])
+            bound = np.minimum((both - apart) // 2, np.minimum(size[at], size[i]))
+            keep = (100 * bound >= PERCENT * (both - bound)) & (root[at] != root[i])
+            at = at[keep]
+            if len(at):
+                share = bound[keep] / (both[keep] - bound[keep])
+                found.append((np.full(len(at), i), at, share))
+    x, y, share = (
+        (np.concatenate(v) for v in zip(*found, strict=True))
+        if found
+        else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    )
+    low, high = np.where(root[x] < root[y], x, y), np.where(root[x] < root[y], y, x)
+    if best_only and len(low):
+        order = np.lexsort((-share, root[high], root[low]))
+        low, high, share = low[order], high[order], share[order]
+        first = np.ones(len(low), bool)
+        first[1:] = (root[low[1:]] != root[low[:-1]]) | (root[high[1:]] != root[high[:-1]])
+        low, high, share = low[first], high[first], share[first]
+    values = (root[low], root[high], share, node[low], node[high])
+    return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["r", "s", "bound", "a", "b"])
+
+
+def pairs_of_large(rows: DataFrame, best_only: bool) -> DataFrame:
+    """a, b: pairs of different components, in signatures of many rows, that may be links.
+
+    A signature's rows are dealt out in blocks of about BLOCK; the rows outside its
+    largest component go to each of its blocks and are compared there by their bitmaps.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    many = rows.where(F.col("n") > SMALL)
+    columns = ("node", "size", "root", "bits")
+    dealt = many.select(
+        F.xxhash64("signature", F.pmod(F.xxhash64("node"), blocks)).alias("bucket"),
+        F.lit(False).alias("minor"),
+        *columns,
+    )
+    minors = many.where("root <> main").select(
+        "signature", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *columns
+    )
+    minors = minors.select(
+        F.xxhash64("signature", F.col("block").cast("long")).alias("bucket"),
+        F.lit(True).alias("minor"),
+        *columns,
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            table = pa.Table.from_batches(held)
+            order, start, count = groups(table["bucket"].to_numpy())
+            for a, n in zip(start.tolist(), count.tolist(), strict=True):
+                yield compare(table.take(pa.array(order[a : a + n])), best_only)
+
+    out = dealt.unionByName(minors).repartition("bucket").mapInArrow(
+        run, "r long, s long, bound double, a long, b long"
+    )
+    if best_only:  # one pair for each two components
+        best = out.groupBy("r", "s").agg(F.max(F.struct("bound", "a", "b")).alias("best"))
+        out = best.select("best.a", "best.b")
+    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     """node, root of all nodes with a link."""
     counted = sets.select(
@@ -439,42 +563,35 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
         "nodes",
     )
 
-    # 1. each node with the best of its signatures' smallest nodes
-    least = durable(
-        shared.groupBy("signature")
-        .agg(F.min(F.struct("node", "size")).alias("least"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("signature", F.col("least.node").alias("a"), F.col("least.size").alias("n")),
-        "least",
+    # 1. each node with the best of its signatures' leaders, another node in each
+    lead = F.struct(F.xxhash64("signature", "node").alias("by"), "node", "size")
+    leaders = shared.groupBy("signature").agg(F.min(lead).alias("lead"), F.count("*").alias("rows"))
+    leaders = durable(
+        leaders.where("rows > 1").select(
+            "signature", F.col("lead.node").alias("a"), F.col("lead.size").alias("n"), "rows"
+        ),
+        "leaders",
     )
-    stars = shared.join(least, "signature").where(F.col("a") != F.col("node")).where(fits("n", "size"))
+    joined = durable(shared.join(leaders, "signature"), "joined")
+    stars = joined.where(F.col("a") != F.col("node")).where(fits("n", "size"))
     stars = durable(stars.select("a", F.col("node").alias("b")).distinct(), "stars")
     best = possible(stars, nodes).groupBy("b").agg(F.max(F.struct("bound", "a")).alias("best"))
     found = durable(links(best.select(F.col("best.a").alias("a"), "b"), documents), "first")
     roots = durable(components(found), "roots")
 
-    # 2. pairs of different components in signatures that still hold several
-    held = shared.join(least.select("signature"), "signature", "left_semi").join(roots, "node", "left")
-    held = durable(held.select("signature", "node", "size", F.coalesce("root", "node").alias("root")), "held")
-    sizes = held.groupBy("signature", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("signature").agg(
-        F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("roots")
-    )
-    mixed = largest.where("roots > 1").select("signature", F.col("largest.root").alias("main"))
-    mixed = durable(mixed, "mixed")
-    rows = durable(held.join(mixed, "signature"), "rows")
-    minor = rows.where("root <> main").select(
-        "signature", F.col("node").alias("b"), F.col("size").alias("m"), F.col("root").alias("other")
-    )
-    minor = durable(minor, "minor")
-    cross = (
-        rows.join(minor, "signature")
-        .where((F.col("root") != F.col("other")) & fits("size", "m"))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-    more = links(possible(durable(cross, "cross"), nodes), documents)
-    return components(found.unionByName(more))
+    # 2. in signatures of many rows, the best pair of each two components
+    few = joined.where(F.col("rows") <= SMALL).select("signature", "node", "size")
+    many = joined.where(F.col("rows") > SMALL).select("signature", "node", "size")
+    many = durable(many.join(nodes.select("node", "bits"), "node"), "many")
+    for _ in range(ROUNDS):
+        more = links(pairs_of_large(with_roots(many, roots), best_only=True), documents)
+        found = durable(found.unionByName(more), "found")
+        roots = durable(components(found), "roots")
+
+    # 3. whatever is left between components
+    rest = possible(durable(pairs_of_small(with_roots(few, roots)), "cross"), nodes).select("a", "b")
+    rest = rest.unionByName(pairs_of_large(with_roots(many, roots), best_only=False)).distinct()
+    return components(found.unionByName(links(rest, documents)))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
