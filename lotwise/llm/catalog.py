@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import contamination, html_text, jaccard, lines, packing, token_files, urls
+from lotwise.llm import contamination, html_text, jaccard, lines, packing, personal, token_files, urls
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -45,6 +45,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start, length and checksum of every document's ids, read back from files."""
     return token_files.round_trip(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_main_text": op4_main_text,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op8_personal_data": op8_personal_data,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
 }
