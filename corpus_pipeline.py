@@ -26,11 +26,7 @@ def row_key() -> Column:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = quality.fit(docs, table(spark, sf_dir, "labels"))
-    keyed = docs.withColumn("__row", row_key())
-    verdicts = quality.judge(keyed.select(F.col("__row").alias("doc_id"), "text"), weights)
-    kept = durable(verdicts.where("kept").select(F.col("doc_id").alias("__row")).distinct(), "kept")
-    return keyed.join(kept.hint("merge"), "__row", "left_semi").drop("__row")
+    return quality.kept(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

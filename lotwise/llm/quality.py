@@ -132,47 +132,57 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def judged(texts: pa.Array, weights: np.ndarray, threshold: float) -> Iterator[tuple]:
+    """By block: its first text, the five counts, base_failed, kept and the score."""
+    for block in blocks(texts):
+        block.words(ALL_BUT_BLANKS)
+        data = block.bytes
+        n_words = np.diff(block.bounds)
+        chars = block.per_text(ALL_BUT_BLANKS[data] & STARTS_CODE_POINT[data])
+        symbols = block.per_text(SYMBOLS[data])
+        own = texts.slice(block.first, block.n).cast(pa.binary())
+        lines = np.array([repeated_lines(x) if x else 0 for x in own.to_pylist()], np.int64)
+        hashes, text = block.hashes(), block.text_of_word()
+        repeats = repeated_words(block, hashes, text)
+        bucket, where = grams(block, len(weights))
+        size = np.bincount(where, minlength=block.n)
+        total = np.bincount(where, weights=weights[bucket], minlength=block.n)
+        mean = total / np.maximum(size, 1)
+        failed = (n_words < LEAST_WORDS) | (100 * repeats > MOST_REPEATED_PERCENT * n_words)
+        counts = [x.astype(np.int64) for x in (n_words, chars, symbols, lines, repeats)]
+        yield block.first, counts, failed, ~failed & (mean >= threshold), mean
+
+
 def judge(
     documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per document with its counts, score and verdict."""
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(weights.astype(np.float64))
+    shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
-                block.words(ALL_BUT_BLANKS)
-                data = block.bytes
-                n_words = np.diff(block.bounds)
-                chars = block.per_text(ALL_BUT_BLANKS[data] & STARTS_CODE_POINT[data])
-                symbols = block.per_text(SYMBOLS[data])
-                texts = batch.column(1).slice(block.first, block.n).cast(pa.binary())
-                lines = [repeated_lines(x) if x else 0 for x in texts.to_pylist()]
-                hashes, text = block.hashes(), block.text_of_word()
-                repeats = repeated_words(block, hashes, text)
-                bucket, where = grams(block, len(weights))
-                size = np.bincount(where, minlength=block.n)
-                total = np.bincount(where, weights=weights[bucket], minlength=block.n)
-                mean = total / np.maximum(size, 1)
-                failed = (n_words < LEAST_WORDS) | (
-                    100 * repeats > MOST_REPEATED_PERCENT * n_words
-                )
-                kept = ~failed & (mean >= threshold)
-                columns = (n_words, chars, symbols, np.array(lines, np.int64), repeats)
+            for first, counts, *verdict in judged(batch.column(1), shared.value, threshold):
+                ids = batch.column(0).slice(first, len(counts[0])).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(block.first, block.n).cast(pa.int64()),
-                        *(pa.array(x.astype(np.int64)) for x in columns),
-                        pa.array(failed),
-                        pa.array(kept),
-                        pa.array(mean),
-                    ],
+                    [ids, *map(pa.array, counts), *map(pa.array, verdict)],
                     names=[c.split()[0] for c in SCHEMA.split(", ")],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(score, SCHEMA)
+    return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+def kept(documents: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that pass, with all their columns, without a shuffle."""
+    shared = documents.sparkSession.sparkContext.broadcast(weights.astype(np.float64))
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [x[3] for x in judged(batch.column(at), shared.value, threshold)]
+            if rows:
+                yield batch.filter(pa.array(np.concatenate(rows)))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def quality(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
