@@ -30,7 +30,7 @@ from lotwise.llm.words import ALL_BUT_BLANKS, K, Block, blocks, mix, windows
 
 BUCKETS = 1 << 16
 MOST_TRUSTED = 20_000
-SMOOTHING = 1.0
+SMOOTHING = 10.0
 THRESHOLD = -0.1
 
 LEAST_WORDS = 20
@@ -106,9 +106,10 @@ def fit(
     raw[at], target[at] = table["raw"].to_numpy(), table["target"].to_numpy()
     if not target.sum():
         return np.zeros(buckets)
-    return np.log((target + smoothing) / (target.sum() + smoothing * buckets)) - np.log(
-        (raw + smoothing) / (raw.sum() + smoothing * buckets)
-    )
+    # the target count that the raw multinomial lets expect; smoothing draws buckets of
+    # little evidence, such as a document's own rare words, towards 0
+    expected = raw * (target.sum() / raw.sum())
+    return np.log((target + smoothing) / (expected + smoothing))
 
 
 def repeated_words(block: Block, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
