@@ -21,14 +21,15 @@ def read_geojson(spark: SparkSession, path: str, fields: str) -> DataFrame:
     """FeatureCollection files. One file is one document, hence one task: for large
     layers use one feature per line (``read_geojson_lines``)."""
     schema = f"features array<struct<properties:struct<{fields}>,geometry:{GEOMETRY}>>"
-    files = spark.read.schema(schema).json(path, multiLine=True)
+    files = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
     return _decoded(files.select(F.inline("features")))
 
 
 def read_geojson_lines(spark: SparkSession, path: str, fields: str) -> DataFrame:
-    """One GeoJSON feature per line: files split over any number of tasks."""
+    """One GeoJSON feature per line: files split over any number of tasks. A line that
+    is not JSON raises."""
     schema = f"properties struct<{fields}>, geometry {GEOMETRY}"
-    return _decoded(spark.read.schema(schema).json(path))
+    return _decoded(spark.read.schema(schema).json(path, mode="FAILFAST"))
 
 
 def feature_lines(df: DataFrame, geometry: str = "geometry") -> DataFrame:

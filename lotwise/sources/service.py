@@ -160,7 +160,10 @@ def service_srid(root: str) -> int:
 
 def _inline(pages: DataFrame, body: str, member: str, members: str, geometry: str) -> DataFrame:
     schema = f"features array<struct<{member}:struct<{members}>,geometry:{geometry}>>"
-    features = F.from_json(F.col(body), schema)["features"]
+    # a page that is cut off raises here; an error reply has no features
+    features = F.from_json(F.col(body), schema, {"mode": "FAILFAST"})["features"]
+    missing = F.raise_error(F.concat(F.lit("page without features: "), F.substring(F.col(body), 1, 200)))
+    features = F.coalesce(features, F.when(F.col(body).isNotNull(), missing))
     return pages.select(F.inline(features)).select(f"{member}.*", F.col("geometry").alias("_g"))
 
 

@@ -267,3 +267,10 @@ def test_union_of_counties(spark):
     assert sorted(map(tuple, out.select("COUNTY", "id", "ACRES").collect())) == [
         ("fairfield", 3, None), ("franklin", 1, 2.0),
     ]
+
+
+@pytest.mark.parametrize("body", ['{"features": [', '{"error": {"code": 400}}'])
+def test_broken_page_raises(spark, body):
+    pages = spark.createDataFrame([(body,)], "body string")
+    with pytest.raises(Exception, match="features|MALFORMED"):
+        service.geojson_features(pages, "LSN:bigint").collect()
