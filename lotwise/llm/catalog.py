@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import contamination, html_text, jaccard, lines, packing, personal, token_files, urls
+from lotwise.llm import contamination, html_text, jaccard, licences, lines, packing, personal, token_files, urls
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -34,6 +34,11 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families named in every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op2_retrieval_packing": op2_retrieval_packing,
     "op3_benchmark_contamination": op3_benchmark_contamination,
     "op4_main_text": op4_main_text,
+    "op5_licence_scan": op5_licence_scan,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op8_personal_data": op8_personal_data,

@@ -12,6 +12,7 @@ from lotwise.llm import (
     contamination,
     html_text,
     jaccard,
+    licences,
     lines,
     packing,
     personal,
@@ -184,3 +185,17 @@ def test_pipeline(spark, sf_dir):
     clean = brute.contamination({r.doc_id: r.text for r in three.collect()}, items)
     assert sorted(r.doc_id for r in four.collect()) == sorted(k for k, v in clean.items() if not v[1])
     assert second(spark, docs.limit(0), sf_dir).count() == 0 and last(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_licences(frame, texts):
+    own = {
+        1: "intro\nLicensed under the Apache License, Version 2.0.\nRELEASED under the MIT license",
+        2: "the licensed driver went under the bridge\nall rights were lost",
+        3: None,
+        4: "",
+        5: "some words, all rights reserved. " + "more " * 5000,
+    }
+    rows = {r.doc_id: r for r in licences.scan(frame(own)).collect()}
+    assert [rows[i].families for i in own] == ["apache,mit", "", "", "", "proprietary"]
+    assert [rows[i].n_paragraphs for i in own] == [3, 2, 0, 0, 1]
+    assert licences.scan(frame({})).count() == 0
