@@ -19,13 +19,10 @@ from pyspark.sql import functions as F
 from lotwise.functions import geometry as G
 from lotwise.functions.once import with_computed
 from lotwise.operators.collapse import first_value
-from lotwise.operators.joins import left_join
 from lotwise.operators.skew import salted_left
 from lotwise.operators.spatial import points_in_polygons
 from lotwise.session import durable
 
-# A row holds at most about this many parts; a key with more gets several rows.
-PARTS_PER_ROW = 10_000
 MAX_ROUNDS = 40  # rings of up to 2^40 edges
 
 
@@ -214,9 +211,9 @@ def dissolve(
 ) -> DataFrame:
     """One row per key: merged shape, first non-null value of other columns.
 
-    Rows without a key are dropped. A key of more than ``PARTS_PER_ROW`` separate
-    parts, which no single row could hold, comes as several rows with the same key
-    and values, each a block of its parts.
+    Rows without a key are dropped. A merged shape is one value, so the row holds all
+    parts of its key, however many; ``dissolve_parts`` gives one row per part where the
+    whole shape is not asked for.
     """
     metadata = df.schema[shape].metadata
     keyed = df.where(F.col(key).isNotNull())
@@ -233,25 +230,9 @@ def dissolve(
     alone = salted.join(several, on, "left_anti").select(key, F.col("_shape").alias(shape))
     together = salted.join(several, on, "left_semi").select(key, "_shape")
     parts = dissolve_parts(together, key, "_shape")
-    out = alone.unionByName(_blocks(durable(parts, "parts"), key, shape))
+    whole = parts.groupBy(key).agg(F.sort_array(F.collect_list("part")).alias(shape))
+    out = alone.unionByName(whole)
     firsts = [first_value(c, order).alias(c) for c in first]
     values = keyed.groupBy(key).agg(*firsts) if firsts else keyed.select(key).distinct()
     # outer to the shapes: a key without any shape keeps its row
     return values.join(out, key, "left").withMetadata(shape, metadata)
-
-
-def _blocks(parts: DataFrame, key: str, shape: str) -> DataFrame:
-    """Parts gathered per key, in blocks of bounded size."""
-    blocks = (
-        parts.groupBy(key)
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(PARTS_PER_ROW)).alias("_blocks"))
-        .where(F.col("_blocks") > 1)
-    )
-    block = F.pmod(F.xxhash64("part"), F.coalesce("_blocks", F.lit(1)))
-    return (
-        left_join(parts, blocks, key)
-        .withColumn("_block", block)
-        .groupBy(key, "_block")
-        .agg(F.sort_array(F.collect_list("part")).alias(shape))
-        .drop("_block")
-    )

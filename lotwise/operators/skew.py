@@ -1,9 +1,10 @@
 """Hot join keys: find them cheaply, spread their rows over several tasks.
 
-A key is hot when it has more than ROWS_PER_TASK rows, and is among the MOST_KEYS keys
-with most rows. Any other key holds less than 1/MOST_KEYS of all rows, or what one
-task copes with anyway. So the list of hot keys has at most MOST_KEYS entries,
-whatever the data, and is safe to broadcast.
+A key is hot when it has more than ROWS_PER_TASK rows, which is what one task copes with
+anyway, and is among the keys with most rows: as many of them as ``most_shares`` says,
+a multiple of the shuffle partitions. Any other key holds less than that share of all
+rows, whatever the data, so it is well below what a task gets in an even deal. The list
+of hot keys grows with the cluster, not with the data, and is safe to broadcast.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_KEYS = 1000
-MOST_SALTS = 1000
+from lotwise.session import durable
+
 ROWS_PER_TASK = 100_000
+SHARES_PER_PARTITION = 4
 
 SALT = "_salt"
 SALTS = "_salts"
@@ -27,37 +29,42 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def most_shares(df: DataFrame) -> int:
+    """Into how many shares the rows are cut at most: several for each shuffle partition."""
+    return SHARES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Hot keys and the number of salts to spread each over, from rows per key.
 
     Ranking is a distributed top-k. The limit is on the list of keys to salt, never on
     rows.
     """
-    n = F.col("_n")
+    n, most = F.col("_n"), most_shares(counts)
     names = [F.col(f"`{k}`") for k in keys]
     return (
         counts.where(n > rows_per_task)
         # keys break ties: every use of the list must see the same keys
         .orderBy(n.desc(), *names)
-        .limit(MOST_KEYS)
+        .limit(most)
         .select(
             *names,
-            F.least(F.ceil(n / F.lit(rows_per_task)), F.lit(MOST_SALTS)).cast("int").alias(SALTS),
+            F.least(F.ceil(n / F.lit(rows_per_task)), F.lit(most)).cast("int").alias(SALTS),
         )
     )
 
 
-def row_hash(df: DataFrame) -> Column:
-    """Hash of a row's own values; maps, which have no hash, are left out."""
-    columns = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() != "map"]
-    return F.xxhash64(*columns)
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows with a number each, as ``_row``, written: equal rows differ in it, and a
+    task that runs again reads the same numbers."""
+    return durable(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
 def spread(
     df: DataFrame, keys: list[str], hot: DataFrame, by: Column, salt: str = SALT
 ) -> DataFrame:
-    """Give each row one salt, from a hash of its own values: a task that runs again
-    gives the same row the same salt. A missing key may be hot as well."""
+    """Give each row one salt, from a hash ``by`` which rows of one key must differ; it
+    must not change when a task runs again. A missing key may be hot as well."""
     salts = F.coalesce(F.col(SALTS), F.lit(1)).cast("bigint")
     return (
         _with_salts(df.withColumn("_hash", by), keys, hot)
@@ -66,6 +73,11 @@ def spread(
     )
 
 
+def spread_rows(df: DataFrame, keys: list[str], hot: DataFrame, salt: str = SALT) -> DataFrame:
+    """Spread every row of a hot key, also rows that are equal in all columns."""
+    return spread(numbered(df), keys, hot, F.xxhash64("_row"), salt).drop("_row")
+
+
 def replicate(df: DataFrame, keys: list[str], hot: DataFrame, salt: str = SALT) -> DataFrame:
     """Give each row every salt of its key: one copy for keys that are not hot."""
     salts = F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)
@@ -85,7 +97,7 @@ def find_hot(counts: DataFrame, keys: list[str]) -> DataFrame | None:
     keys the join stays a plain one.
     """
     hot = hot_keys(counts, keys)
-    rows = hot.collect()  # at most MOST_KEYS
+    rows = hot.collect()  # at most most_shares
     return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
@@ -107,8 +119,7 @@ def salted_left(
     hot = find_hot(counts, keys)
     if hot is None:
         return left, rights, keys
-    spread_left = spread(left, keys, hot, row_hash(left))
-    return spread_left, [replicate(r, keys, hot) for r in rights], [*keys, SALT]
+    return spread_rows(left, keys, hot), [replicate(r, keys, hot) for r in rights], [*keys, SALT]
 
 
 def spread_join(
@@ -130,7 +141,7 @@ def spread_join(
         right_hot = find_hot(key_counts(right, keys) if right_counts is None else right_counts, keys)
     left, (right,), on = salted_left(left, [right], keys, left_counts)
     if right_hot is not None:
-        right = spread(right, keys, right_hot, row_hash(right), "_salt_right")
+        right = spread_rows(right, keys, right_hot, "_salt_right")
         left = replicate(left, keys, right_hot, "_salt_right")
         on = [*on, "_salt_right"]
     return left.join(right, on).drop(SALT, "_salt_right")

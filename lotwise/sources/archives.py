@@ -221,15 +221,17 @@ def read_entry(
                     if entry not in z.namelist():
                         continue
                     with z.open(entry) as stream:
-                        done = 0
+                        done, names = 0, set()
                         for table in _decode(stream, kind, wanted if strict else None):
-                            if strict and len(table):
-                                require_columns(list(table.columns), wanted)
+                            names.update(table.columns)
                             table = table.reindex(columns=wanted).astype(object)
                             table = table.where(table.notna(), None)
                             table.insert(0, "path", path)
                             table.insert(1, "row_no", range(done, done + len(table)))
                             done += len(table)
                             yield table
+                        # of the whole file: records may lack what others have
+                        if strict and done:
+                            require_columns(sorted(names), wanted)
 
     return archives.mapInPandas(rows, schema)

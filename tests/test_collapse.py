@@ -121,3 +121,31 @@ def test_hot_and_missing_left_keys_are_salted(spark, monkeypatch):
     names = spark.createDataFrame([("HOT",), ("5",)], "n string")
     lower = left.withColumn("k", F.initcap("k"))
     assert keep_named_in(lower, "k", names, "n").count() == 1000 + 1
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark, monkeypatch):
+    """Rows that agree in every column: no salt holds more than its share of them."""
+    original = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 100))
+    left = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") < 3000, "").otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit("x").alias("class"),
+    )
+    right = left.groupBy("k").agg(F.count("class").alias("n"))
+    hot = skew.find_hot(skew.key_counts(left, ["k"]), ["k"])
+    (salts,) = [r[skew.SALTS] for r in hot.collect()]
+    salted, _, _ = skew.salted_left(left, [right], ["k"])
+    held = [r["count"] for r in salted.where("k = ''").groupBy(skew.SALT).count().collect()]
+    assert len(held) == salts and max(held) <= 2 * 3000 / salts
+    joined = left_join(left, right, "k")
+    assert joined.count() == 4000 and joined.where("n is null").count() == 0
+
+
+def test_as_many_keys_are_spread_as_the_cluster_has_shares(spark, monkeypatch):
+    original = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 1))
+    left = spark.range(0, 4000, 1, 4).select((F.col("id") % 2000).alias("k"))
+    hot = skew.find_hot(skew.key_counts(left, ["k"]), ["k"])
+    shares = skew.most_shares(left)
+    assert shares == skew.SHARES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert hot.count() == min(2000, shares)

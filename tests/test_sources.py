@@ -117,6 +117,16 @@ def test_missing_columns_and_entries_fail(zips):
         archives.read_entry(zips, "shape.shp")
 
 
+def test_attributes_that_few_records_have(spark, tmp_path):
+    """Columns are looked for in the whole file, not in its first records."""
+    records = "".join(f'<r A="{i}"/>' for i in range(10_000)) + '<r A="last" B="b"/>'
+    with zipfile.ZipFile(tmp_path / "sparse.zip", "w") as z:
+        z.writestr("t.xml", f"<all>{records}</all>")
+    df = archives.read_entry(archives.read_archives(spark, str(tmp_path)), "t.xml", ["A", "B"])
+    assert df.count() == 10_001
+    assert [r["A"] for r in df.where("B = 'b'").collect()] == ["last"]
+
+
 def test_delimited_and_xml_files(spark, tmp_path):
     (tmp_path / "cards.txt").write_text(TXT)
     (tmp_path / "cards.xml").write_text(XML)
