@@ -21,6 +21,7 @@ or ignored as they are.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -47,6 +48,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 TRIGGER = re.compile(r"[0-9@]")
 DIGITS = re.compile(r"[0-9]+")
+# the address pattern, tried once for each run of digits: later digits of a run match
+# only where its first does
+IP_RUN = re.compile(r"(?<![0-9])" + IP.pattern)
+# words with digits or signs; every word is tried once, from its first character
+STRETCHES = re.compile(
+    r"(?<!\S)(?:\S*[0-9@]\S*(?:\x20\S*[0-9@(]\S*)*|\S*[(\[]at[)\]]\S*)"
+)
 RUN = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])*")
 MAIL = re.compile(r"[\w.%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[\w-]{1,63}(?:\.[\w-]{1,63})*")
 SCHEMA = (
@@ -74,7 +82,7 @@ def base_spans(text: str) -> list[Span]:
     if "@" in text:
         out += [(*m.span(), "email") for m in EMAIL.finditer(text)]
     if DIGITS.search(text):
-        out += [(*m.span(), "ip") for m in IP.finditer(text) if all(map(small, m[0].split(".")))]
+        out += [(*m.span(), "ip") for m in IP_RUN.finditer(text) if all(map(small, m[0].split(".")))]
         for m in CARD.finditer(text):
             digits = "".join(DIGITS.findall(m[0]))
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -219,7 +227,7 @@ def best_layout(spans: list[Span], scores: list[float]) -> list[Span]:
 def stretches(text: str) -> Iterator[tuple[int, str]]:
     """Start and text of the stretches around digits and signs, words whole."""
     end = 0
-    for m in re.finditer(r"\S*[0-9@]\S*(?:\x20\S*[0-9@(]\S*)*|\S*[(\[]at[)\]]\S*", text):
+    for m in STRETCHES.finditer(text):
         if m.start() < end:
             continue
         a = text.rfind(" ", 0, max(m.start() - 1, 0)) + 1
@@ -275,14 +283,32 @@ def train(examples: list[str], epochs: int = EPOCHS, seed: int = 7) -> dict[str,
     return weights
 
 
+def merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what spans, given by start, cover together."""
+    starts, ends = [], []
+    for a, b, _ in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def touches(a: int, b: int, covered: tuple[list[int], list[int]]) -> bool:
+    starts, ends = covered
+    i = bisect.bisect_right(ends, a)
+    return i < len(starts) and starts[i] < b
+
+
 def spans_of(text: str, weights: dict[str, float], base: list[Span]) -> list[Span]:
     """Base spans and those that the model adds, in order."""
-    added = []
+    added, covered = [], merged(base)
     if weights:
         for start, own in stretches(text):
             spans = [
                 s for s in dict.fromkeys(candidates(own))
-                if not any(s[0] + start < b and a < s[1] + start for a, b, _ in base)
+                if not touches(s[0] + start, s[1] + start, covered)
             ]
             if spans:
                 scores = [score(weights, features(own, s)) for s in spans]

@@ -1,6 +1,7 @@
 """Each dealt operator against a plain reading of its contract, with hard rows."""
 
 import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -171,6 +172,19 @@ def test_personal(frame):
     assert personal.personal_data(frame({})).count() == 0
 
 
+def test_personal_data_of_long_texts_takes_linear_time():
+    """Words, digits and lists of spans as long as a document."""
+    texts = ["ab" * 100_000 + " x1", "1" * 200_000, " ".join(f"+1 (212) 555-{i}" for i in range(1000, 7000))]
+    began = time.monotonic()
+    found = [personal.spans_of(t, {"phone: phone": -1.0}, personal.base_spans(t)) for t in texts]
+    assert [len(x) for x in found] == [0, 0, 6000] and time.monotonic() - began < 20
+    base = [(0, 4, "ip"), (2, 9, "card"), (9, 12, "phone"), (20, 30, "card")]
+    for a in range(32):
+        for b in range(a + 1, 33):
+            plain = any(a < y and x < b for x, y, _ in base)
+            assert personal.touches(a, b, personal.merged(base)) == plain
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     judged = {r.doc_id for r in catalog.QUERIES["op1_quality_rules"](spark, sf_dir).where("kept").collect()}
