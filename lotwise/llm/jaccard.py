@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.components import components
+from lotwise.llm.components import components, extended
 from lotwise.llm.words import ALL_BUT_BLANKS, K, Block, blocks, mix, windows
 from lotwise.session import durable
 
@@ -585,13 +585,12 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     many = durable(many.join(nodes.select("node", "bits"), "node"), "many")
     for _ in range(ROUNDS):
         more = links(pairs_of_large(with_roots(many, roots), best_only=True), documents)
-        found = durable(found.unionByName(more), "found")
-        roots = durable(components(found), "roots")
+        roots = durable(extended(roots, more), "roots")
 
     # 3. whatever is left between components
     rest = possible(durable(pairs_of_small(with_roots(few, roots)), "cross"), nodes).select("a", "b")
     rest = rest.unionByName(pairs_of_large(with_roots(many, roots), best_only=False)).distinct()
-    return components(found.unionByName(links(rest, documents)))
+    return extended(roots, links(rest, documents))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 import corpus_pipeline
 from lotwise.llm import (
     catalog,
+    components,
     contamination,
     html_text,
     jaccard,
@@ -23,6 +24,7 @@ from lotwise.llm import (
     urls,
 )
 from lotwise.llm.tokens import Encoder, public_path
+from lotwise.session import durable
 from tests.compare import connect, difference
 from tests.llm import brute
 
@@ -132,6 +134,31 @@ def test_jaccard(frame, texts, small, monkeypatch):
         assert jaccard.near_duplicates(frame({})).count() == 0
 
 
+def test_components(spark):
+    """Chains, hubs, rings; then links that join what was found and new nodes."""
+    first = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 140)] + [(50, 51), (51, 52), (52, 50)]
+    more = [(30, 139), (52, 200), (300, 301), (301, 299), (7, 7)]
+
+    def plain(pairs):
+        root = {x: x for p in pairs for x in p}
+        for _ in root:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    def linked(pairs):
+        return spark.createDataFrame(pairs, "a long, b long")
+
+    roots = durable(components.components(linked(first)), "roots")
+    assert {r.node: r.root for r in roots.collect()} == plain(first)
+    out = components.extended(roots, linked(more)).collect()
+    want = plain(first + more)
+    assert len(out) == len({r.node for r in out})
+    assert {r.node: r.root for r in out} == {k: v for k, v in want.items()}
+    same = components.extended(roots, linked(more).limit(0)).collect()
+    assert {r.node: r.root for r in same} == plain(first)
+
+
 def test_lines(frame, texts):
     out = {r.doc_id: r for r in lines.report(frame(texts), sites=8).collect()}
     assert out.keys() == texts.keys()
