@@ -242,6 +242,29 @@ def oriented(shape: Column | str) -> Column:
     return F.transform(_col(shape), lambda part: F.transform(part, turn))
 
 
+def canonical(shape: Column | str) -> Column:
+    """Oriented, closed rings from their lowest point on, holes and parts in order: equal
+    for shapes that differ only in where rings start, how they turn, or order."""
+
+    def from_lowest(r: Column) -> Column:
+        ends = F.get(r, F.lit(0)) == F.get(r, F.size(r) - 1)
+        points = F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0)))
+
+        def turned(o: Column) -> Column:
+            at = F.array_position(o, F.array_min(o)).cast("int")
+            return F.concat(F.slice(o, at, F.size(o)), F.slice(o, 1, at))
+
+        moved = F.transform(F.array(points), turned)[0]
+        return F.when(ends & (F.size(r) > 1), moved).otherwise(r)
+
+    def part(p: Column) -> Column:
+        rings = F.transform(p, from_lowest)
+        holes = F.sort_array(F.slice(rings, 2, F.greatest(F.size(p), F.lit(1))))
+        return F.concat(F.slice(rings, 1, 1), holes)
+
+    return F.sort_array(F.transform(oriented(shape), part))
+
+
 def fingerprint(shape: Column | str) -> Column:
     """SHA-256 of the coordinates in order: equal exactly for equal vertex lists."""
     return F.sha2(_col(shape).cast("string"), 256)

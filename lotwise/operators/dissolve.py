@@ -1,14 +1,15 @@
 """Dissolve: merge the shapes of each key into one.
 
-Shapes that share whole edges lose them: seen with the inside on the left, a shared
-edge runs once each way and the two cancel. What is left is the border, and it is
-linked into rings by pointer doubling, a join per round, so that neither a key nor a
-ring is ever walked inside one task. Keys of a single shape skip all that.
+Shapes that share edges lose them: seen with the inside on the left, a shared edge
+runs once each way and the two cancel, after edges were cut at the corners that lie on
+them. What is left is the border, and it is linked into rings by pointer doubling, a
+join per round. Keys of a single shape skip all that.
 
-Exact where shapes of one key meet along whole edges or do not touch. Overlapping
+Exact where shapes of one key meet along their edges or do not touch. Overlapping
 shapes keep their edges, as separate rings: containment still holds by any ring,
 but area counts the overlap twice. Drop copies of a shape under other ids first
-(``collapse``); copies within one key are dropped here.
+(``collapse``); copies within one key are dropped here,
+wherever their rings start and whichever way they turn.
 """
 
 from __future__ import annotations
@@ -26,31 +27,73 @@ from lotwise.session import durable
 MAX_ROUNDS = 40  # rings of up to 2^40 edges
 
 
+def _net(edges: DataFrame, key: str) -> DataFrame:
+    """(key, lx, ly, hx, hy, net): edges from their lower to their higher end, ``way``
+    summed; edges that run as often each way are gone."""
+    summed = edges.groupBy(key, "lx", "ly", "hx", "hy").agg(F.sum("way").alias("net"))
+    return summed.where(F.col("net") != 0)
+
+
+def split_at_corners(net: DataFrame, key: str) -> DataFrame:
+    """Cut edges (a written table) where a corner of the same key lies on them, and
+    cancel again: neighbours may have corners on one side of a border only.
+
+    A corner counts as on an edge where the arithmetic says so exactly. The pairs come
+    from the point join, with each edge as a flat polygon.
+    """
+    ends = [net.select(key, F.col(f"{e}x").alias("_x"), F.col(f"{e}y").alias("_y")) for e in "lh"]
+    corners = ends[0].unionByName(ends[1]).distinct()
+    corners = corners.select(key, G.point("_x", "_y").alias("_corner"))
+    low, high = G.point("lx", "ly"), G.point("hx", "hy")
+    side = F.struct("lx", "ly", "hx", "hy", "net")
+    lines = net.select(key, side.alias("_side"), G.polygon(G.ring(low, high, low)).alias("_line"))
+    on = points_in_polygons(corners, lines, "_corner", "_line", same=(key,))
+    x, y = F.col("_corner.x"), F.col("_corner.y")
+    inner = ((x != F.col("_side.lx")) | (y != F.col("_side.ly"))) & (
+        (x != F.col("_side.hx")) | (y != F.col("_side.hy"))
+    )
+    cuts = durable(on.where(inner).select(key, "_side", x.alias("_x"), y.alias("_y")), "cuts")
+    if cuts.isEmpty():
+        return net
+    starts = net.select(
+        key, side.alias("_side"), F.col("lx").alias("_x"), F.col("ly").alias("_y")
+    ).unionByName(cuts)
+    # ends are ordered by (x, y), so points between them are in that order as well
+    along = Window.partitionBy(key, "_side").orderBy("_x", "_y")
+    end = F.struct(F.col("_side.hx").alias("_x"), F.col("_side.hy").alias("_y"))
+    following = F.coalesce(F.lead(F.struct("_x", "_y")).over(along), end)
+    pieces = starts.withColumn("_next", following).select(
+        key,
+        F.col("_x").alias("lx"),
+        F.col("_y").alias("ly"),
+        F.col("_next._x").alias("hx"),
+        F.col("_next._y").alias("hy"),
+        F.col("_side.net").alias("way"),
+    )
+    return _net(pieces, key)
+
+
 def border_edges(shapes: DataFrame, key: str, shape: str = "geometry") -> DataFrame:
     """Directed border edges (key, ax, ay, bx, by, copy), inside on the left.
 
     Edges are summed as +1 / -1 along one of their directions, in the map tasks
-    first. ``copy`` numbers edges that overlapping shapes share on the same side.
+    first; what is left is cut at corners that lie on it and summed again. ``copy``
+    numbers edges that overlapping shapes share on the same side.
     """
     edge = F.explode(G.edges_of(G.oriented(shape)))
     e = shapes.select(key, edge.alias("e")).select(key, "e.*")
     forward = F.struct("ax", "ay") < F.struct("bx", "by")
     low = [F.when(forward, F.col(a)).otherwise(F.col(b)) for a, b in (("ax", "bx"), ("ay", "by"))]
     high = [F.when(forward, F.col(b)).otherwise(F.col(a)) for a, b in (("ax", "bx"), ("ay", "by"))]
-    net = (
-        e.where((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by")))
-        .select(
-            key,
-            low[0].alias("lx"),
-            low[1].alias("ly"),
-            high[0].alias("hx"),
-            high[1].alias("hy"),
-            F.when(forward, 1).otherwise(-1).alias("way"),
-        )
-        .groupBy(key, "lx", "ly", "hx", "hy")
-        .agg(F.sum("way").alias("net"))
-        .where(F.col("net") != 0)
+    ways = e.where((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))).select(
+        key,
+        low[0].alias("lx"),
+        low[1].alias("ly"),
+        high[0].alias("hx"),
+        high[1].alias("hy"),
+        F.when(forward, 1).otherwise(-1).alias("way"),
     )
+    net = split_at_corners(durable(_net(ways, key), "edges"), key)
     up = F.col("net") > 0
     return net.select(
         key,
@@ -220,7 +263,7 @@ def dissolve(
     # read three times below: written, so that the shapes are shuffled once
     shapes = durable(
         keyed.where(F.col(shape).isNotNull())
-        .select(key, F.col(shape).alias("_shape"), G.fingerprint(shape).alias("_print"))
+        .select(key, F.col(shape).alias("_shape"), G.fingerprint(G.canonical(shape)).alias("_print"))
         .dropDuplicates([key, "_print"])
         .drop("_print"),
         "shapes",

@@ -3,8 +3,8 @@
 Each shape goes to the level whose cell edge, a power of four, is just above its
 larger side, so each of its parts touches at most four cells and a cell holds few
 shapes that do not overlap: there is no cell size to tune, and a lot and a county
-can sit in one table. A shape of many edges has flatter cells, so that each holds a
-short list of edges: only edges at a point's height matter to the test. A point has
+can sit in one table. A shape of many edges in few cells has flatter ones, so that each
+holds a short list of edges: only edges at a point's height matter to the test. A point has
 one cell at each level in use, and a shape one level, so no pair is found twice.
 Cells that hold a large share of the points, or of the shapes, are salted.
 """
@@ -53,9 +53,18 @@ def _level_of(side: Column) -> Column:
     return F.when(_edge(level) < side, level + 1).otherwise(level)
 
 
+def _cells_of(box: Column, width: Column, height: Column, of) -> Column:
+    """What ``of`` makes of each cell (column, row) that a box touches."""
+    xs = F.sequence(_index(box["xmin"], width), _index(box["xmax"], width))
+    ys = F.sequence(_index(box["ymin"], height), _index(box["ymax"], height))
+    return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: of(cx, cy))))
+
+
 def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
     """Adds the box of each part and the level: width and height of the cells.
 
+    Cells are flatter than wide where the square ones would hold many edges each, so
+    many parts side by side are not cut any finer than one of them.
     Shapes that are empty or have a coordinate that is no number cover no point.
     """
     boxes = F.transform(F.col(shape), lambda part: G.box_of_points(F.flatten(part)))
@@ -65,8 +74,12 @@ def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
             lambda b: F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"]),
         )
     )
-    many = F.size(G.points_of(shape)).cast("double") / EDGES_PER_CELL
-    flatter = F.ceil(F.log(4.0, F.greatest(many, F.lit(1.0))))
+    width = F.col("_width")
+    squares = F.flatten(
+        F.transform("_boxes", lambda b: _cells_of(b, width, width, lambda x, y: F.xxhash64(x, y)))
+    )
+    held = F.size(G.points_of(shape)) / F.size(F.array_distinct(squares))
+    flatter = F.ceil(F.log(4.0, F.greatest(held / EDGES_PER_CELL, F.lit(1.0))))
     boxed = with_computed(polygons.where(F.size(shape) > 0), _boxes=boxes)
     boxed = boxed.where(
         F.forall(
@@ -78,25 +91,16 @@ def _with_levels(polygons: DataFrame, shape: str) -> DataFrame:
         )
     )
     wide = with_computed(boxed, _width=_level_of(side))
-    return with_computed(wide, _height=_bounded(F.col("_width") - flatter))
+    return with_computed(wide, _height=_bounded(width - flatter))
 
 
-def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
-    """One row per polygon and cell it may touch, with its box and the edges that
-    reach the cell's range of y."""
+def _cut(parts: DataFrame, kept: list[str]) -> DataFrame:
+    """One row per part and cell its box touches, with the part's edges that reach the
+    cell's range of y."""
     width, height = F.col("_width"), F.col("_height")
-
-    def cells(b: Column) -> Column:
-        xs = F.sequence(_index(b["xmin"], width), _index(b["xmax"], width))
-        ys = F.sequence(_index(b["ymin"], height), _index(b["ymax"], height))
-        return F.flatten(
-            F.transform(
-                xs,
-                lambda cx: F.transform(
-                    ys, lambda cy: F.struct(cx.alias("_cx"), cy.alias("_cy"))
-                ),
-            )
-        )
+    cells = _cells_of(
+        F.col("_box"), width, height, lambda cx, cy: F.struct(cx.alias("_cx"), cy.alias("_cy"))
+    )
 
     def reaches(e: Column) -> Column:
         low = F.col("_cy") * _edge(height)
@@ -104,13 +108,49 @@ def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
             F.least(e["ay"], e["by"]) <= low + _edge(height)
         )
 
-    all_cells = F.array_distinct(F.flatten(F.transform(F.col("_boxes"), cells)))
     near = F.when(height == width, F.col("_all")).otherwise(F.filter("_all", reaches))
-    bounded = with_computed(leveled, _all=G.edges_of(shape), _box=G.bounding_box(shape))
-    celled = bounded.select(*kept, *LEVEL, "_all", "_box", F.inline(all_cells))
+    edged = with_computed(parts, _all=G.edges_of(F.array("_part")))
+    celled = edged.select(*kept, *LEVEL, "_all", "_box", F.inline(cells))
     return celled.select(*kept, *CELL, "_box", near.alias("_edges"))
 
 
+def _with_cells(leveled: DataFrame, shape: str, kept: list[str]) -> DataFrame:
+    """One row per polygon and cell it may touch, with the edges of its parts there and
+    their box.
+
+    Each part is cut by itself, and what the parts of one shape have in a cell is put
+    together by a grouping: a part that does not touch the cell cannot hold a point in
+    it. So the work grows with the edges, however many parts they are in. Rows that
+    are equal in shape and columns come out as often as they went in.
+    """
+    whole = leveled.where(F.size(shape) == 1).select(
+        *kept, *LEVEL, F.col(shape)[0].alias("_part"), F.col("_boxes")[0].alias("_box")
+    )
+    pieces = with_computed(leveled.where(F.size(shape) > 1), _id=G.fingerprint(shape))
+    pieces = pieces.select(
+        *kept, *LEVEL, "_id", F.posexplode(F.arrays_zip(F.col(shape).alias("p"), F.col("_boxes").alias("b")))
+    ).select(
+        *kept, *LEVEL, "_id", F.col("pos").alias("_no"), F.col("col.p").alias("_part"), F.col("col.b").alias("_box")
+    )
+    ends = {"xmin": F.min, "ymin": F.min, "xmax": F.max, "ymax": F.max}
+    together = (
+        _cut(pieces, [*kept, "_id", "_no"])
+        .groupBy(*kept, "_id", *CELL)
+        .agg(
+            F.struct(*[f(f"_box.{e}").alias(e) for e, f in ends.items()]).alias("_box"),
+            F.collect_set(F.struct("_no", "_edges")).alias("_sets"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+    )
+    copies = F.sequence(F.lit(1), (F.col("_rows") / F.size("_sets")).cast("int"))
+    together = together.select(
+        *kept, *CELL, "_box", F.flatten("_sets._edges").alias("_edges"), F.explode(copies)
+    ).drop("col")
+    return _cut(whole, kept).select(
+        *kept, *CELL, F.struct(*[F.col(f"_box.{e}").alias(e) for e in ends]).alias("_box"), "_edges"
+    ).unionByName(together)
+
+
 def _levels_in_use(counts: DataFrame) -> tuple[Column, bool]:
     """The levels as an array, and whether any cell holds many polygons.
 

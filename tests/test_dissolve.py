@@ -135,3 +135,22 @@ def test_ring_of_many_edges(spark):
     rows = [(1, "k", None, [[closed(comb)]]), (2, "k", None, rectangle(0, -4, 2 * n, 0))]
     row = M.dissolve(table(spark, rows), "k").select(G.area("geometry"), F.size("geometry")).first()
     assert row[0] == ring_area(closed(comb)) + 8 * n and row[1] == 1
+
+
+def test_corners_on_one_side_of_a_border(spark):
+    whole, low, high = rectangle(0, 0, 1, 2), rectangle(1, 0, 3, 1), rectangle(1, 1, 3, 2)
+    slope = [[closed([(0, 2), (1, 2), (3, 2), (3, 6)])]]
+    steps = [[[closed([(0, 2), (1.5, 4), (0, 4)])]], [[closed([(1.5, 4), (3, 6), (0, 6), (0, 4)])]]]
+    rows = [(i, "k", None, s) for i, s in enumerate([whole, low, high, slope, *steps])]
+    row = M.dissolve(table(spark, rows), "k").first()
+    shape = plain(row["geometry"])
+    assert len(shape) == 1 and len(shape[0]) == 1
+    assert ring_area(shape[0][0]) == 6 + 12
+
+
+def test_copies_with_other_starts(spark):
+    ring = rectangle(0, 0, 100, 100)[0][0]
+    turned = [*ring[2:-1], *ring[:3]]
+    rows = [(1, "k", None, [[ring]]), (2, "k", None, [[turned]]), (3, "k", None, [[ring[::-1]]])]
+    row = M.dissolve(table(spark, rows), "k").select(G.area("geometry"), F.size("geometry")).first()
+    assert tuple(row) == (10_000.0, 1)

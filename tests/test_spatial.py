@@ -187,3 +187,21 @@ def test_edges_are_split_among_flat_cells(spark):
     celled = spatial._with_cells(leveled, "geometry", ["id"])
     row = celled.agg(F.max(F.size("_edges")).alias("most"), F.count(F.lit(1)).alias("n")).first()
     assert row["n"] > 1 and row["most"] < 500
+
+
+def test_many_parts_are_cut_one_by_one(spark):
+    side = F.col("id") * 3.0
+    ring = F.array(*[
+        F.struct((side + dx).alias("x"), F.lit(dy).alias("y"))
+        for dx, dy in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))
+    ])
+    rows = spark.range(10_000).select(F.col("id"), F.array(ring).alias("part"))
+    one = rows.agg(F.sort_array(F.collect_list("part")).alias("geometry")).withColumn("k", F.lit("a"))
+    shapes = one.unionByName(one)  # equal rows stay two
+    leveled = spatial._with_levels(shapes, "geometry")
+    assert spatial._with_cells(leveled, "geometry", ["k"]).count() <= 2 * 4 * 10_000
+    points = spark.range(30_000).select(
+        "id", F.struct((F.col("id") + 0.5).alias("x"), F.lit(0.5).alias("y")).alias("point")
+    )
+    pairs = spatial.points_in_polygons(points, shapes)
+    assert pairs.count() == 20_000 and pairs.where("id % 3 = 0").count() == 20_000
