@@ -8,7 +8,7 @@ neighbour's shape, every 11th its neighbour's id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import configure
@@ -123,6 +123,36 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_srid(df, OHIO_SOUTH)
 
 
+def _rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+    return G.polygon(G.ring(*[G.point(x, y) for x, y in corners]))
+
+
+def lot_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, piece, geometry): the lot's w x h rectangle as a strip of 40 ft on the
+    left and two pieces of different heights beside it."""
+    df = derived(spark, sf_dir, PARCELS, "customer")
+    x0, y0, w, h = (F.col(c) for c in ("x0", "y0", "w", "h"))
+    pieces = [
+        _rectangle(x0, y0, x0 + 40, y0 + h),
+        _rectangle(x0 + 40, y0, x0 + w, y0 + 30),
+        _rectangle(x0 + 40, y0 + 30, x0 + w, y0 + h),
+    ]
+    df = df.select("row_id", F.posexplode(F.array(*pieces)).alias("piece", "geometry"))
+    return with_srid(df, OHIO_SOUTH)
+
+
+def turned_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, turn, geometry): each lot's ring as it is, and the other way round from
+    another corner."""
+    ring = ring_of_lot()
+    other = [*ring[2::-1], ring[3], ring[2]]
+    df = derived(spark, sf_dir, PARCELS, "customer")
+    shapes = F.array(G.polygon(G.ring(*ring)), G.polygon(G.ring(*other)))
+    df = df.select("row_id", F.posexplode(shapes).alias("turn", "geometry"))
+    return with_srid(df, OHIO_SOUTH)
+
+
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived(spark, sf_dir, ADDRESSES, "orders")
     df = with_computed(df, point=G.point("x", "y")).drop("x", "y")

@@ -176,6 +176,19 @@ def region(select: str) -> str:
 # --- profile --------------------------------------------------------------------------
 
 
+def sample(table: str, column: str) -> str:
+    """The ten values of lowest MD5, in its order, a missing value first."""
+    return f"""(select string_agg(coalesce(v, 'None'), '; ' order by md5(v) nulls first)
+    from (select distinct cast({column} as varchar) as v from {table}
+      order by md5(v) nulls first limit 10) s)"""
+
+
+def samples(table: str, columns: dict[str, bool]) -> str:
+    return "\nunion all ".join(
+        f"select '{c}' as column_name, {sample(table, c)} as column_sample" for c in columns
+    )
+
+
 def profile(table: str, columns: dict[str, bool]) -> str:
     """``columns``: name -> is it a number."""
 
@@ -193,7 +206,8 @@ def profile(table: str, columns: dict[str, bool]) -> str:
         return f"""select '{c}' as column_name,
   count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as unique_values,
   {share(blank)} as is_empty, {share(null)} as is_null,
-  {share(zero_int)} as is_zero_int, {share(zero_chr)} as is_zero_chr from {table}"""
+  {share(zero_int)} as is_zero_int, {share(zero_chr)} as is_zero_chr,
+  {sample(table, c)} as column_sample from {table}"""
 
     return "\nunion all ".join(one(c, number) for c, number in columns.items())
 
@@ -209,9 +223,10 @@ DOCUMENTS = {"doc_id": True, "text": False, "lang": False, "source": False, "n_c
 def _profile_lineitem() -> str:
     # a date is neither number nor text: none of the zero and blank tests applies
     texts = {c: bool(n) for c, n in LINEITEM.items() if n is not None}
-    dates = """select 'l_shipdate' as column_name,
+    dates = f"""select 'l_shipdate' as column_name,
   count(distinct l_shipdate) + max(case when l_shipdate is null then 1 else 0 end) as unique_values,
-  '' as is_empty, '' as is_null, '' as is_zero_int, '' as is_zero_chr from lineitem"""
+  '' as is_empty, '' as is_null, '' as is_zero_int, '' as is_zero_chr,
+  {sample('lineitem', 'l_shipdate')} as column_sample from lineitem"""
     return profile("lineitem", texts) + "\nunion all " + dates
 
 
@@ -488,6 +503,18 @@ ORACLE: dict[str, str] = {
     )
     + f"""select parcelid, {firsts("class")} as class, round(sum(area), 2) as area,
       cast(count(*) as integer) as parts from one join shapes using (g) group by parcelid""",
+    "dissolve_tjunctions": with_tables()
+    + """select row_id, round(cast(w * h as double), 2) as area, 1 as parts from lots""",
+    "dissolve_repeats": with_tables()
+    + """select row_id, round(area, 2) as area, 1 as parts from lots""",
+    "dissolve_many_parts": with_tables(
+        f"""one as (select g, {firsts("county")} as county from lots group by g),
+        county_units as (select county, cast(sum(n) as bigint) as units
+          from one join shape_units using (g) group by county)"""
+    )
+    + """select county, round(sum(area), 2) as area, cast(count(*) as integer) as parts, units
+      from one join shapes using (g) left join county_units using (county)
+      group by county, units""",
     "region_union": with_tables()
     + """select parcelid as objectid, class, row_id, county,
       case when county = 'fairfield' then null else acres end as acres from lots""",
@@ -539,6 +566,7 @@ ORACLE: dict[str, str] = {
         group by bin"""
     ),
     "column_profile": _profile_lineitem(),
+    "column_samples": samples("lineitem", LINEITEM),
     "column_profile_documents": profile("documents", DOCUMENTS),
     "listing_links": f"""select page_id, cast(len(links) as integer) as n_links, links[-1] as last_link,
       list_filter(links, lambda l: contains(l, 'a'))[-1] as last_with_a

@@ -339,6 +339,41 @@ def dissolve_parcels(spark, sf_dir):
     )
 
 
+def dissolve_tjunctions(spark, sf_dir):
+    """Lots in three pieces whose shared borders have a corner on one side only."""
+    pieces = I.lot_pieces(spark, sf_dir)
+    return M.dissolve(pieces, "row_id", order="piece").select(
+        "row_id",
+        F.round(G.area("geometry"), 2).alias("area"),
+        F.size("geometry").alias("parts"),
+    )
+
+
+def dissolve_repeats(spark, sf_dir):
+    """Each lot twice under its id: its ring turned, and from another corner."""
+    return M.dissolve(I.turned_lots(spark, sf_dir), "row_id", order="turn").select(
+        "row_id",
+        F.round(G.area("geometry"), 2).alias("area"),
+        F.size("geometry").alias("parts"),
+    )
+
+
+def dissolve_many_parts(spark, sf_dir):
+    """All lots of a county as one shape of many parts, and the addresses in it."""
+    lots = D.collapse(
+        I.parcels(spark, sf_dir), ["geometry"], ["parcelid", "county"], keep_order=True
+    )
+    merged = durable(M.dissolve(lots, "county"), "merged")
+    merged = with_srid(merged, srid_of(lots, "geometry"))
+    units = spatial.count_points(merged, I.addresses(spark, sf_dir), "county", "lsn", "units")
+    return merged.join(units, "county", "left").select(
+        "county",
+        F.round(G.area("geometry"), 2).alias("area"),
+        F.size("geometry").alias("parts"),
+        "units",
+    )
+
+
 # --- region and summaries ---------------------------------------------------------
 
 
@@ -370,15 +405,16 @@ def mapped_rows(spark, sf_dir):
 
 
 def region_union(spark, sf_dir):
-    lots = S.lots(spark, sf_dir)
-    per_county = {}
-    for name in region.COUNTIES:
-        df = lots.where(F.col("county") == name).select(
-            F.col("parcelid").alias("OBJECTID"), F.col("class").alias("CLASS"), "acres", "row_id"
-        )
-        # one county lacks acres
-        per_county[name] = df.drop("acres") if name == "fairfield" else df
-    return lower(tables.union_counties(per_county))
+    """All counties but one have acres: two tables by name, one scan for each."""
+    lots = S.lots(spark, sf_dir).select(
+        F.col("parcelid").alias("OBJECTID"),
+        F.col("class").alias("CLASS"),
+        "acres",
+        "row_id",
+        F.col("county").alias("COUNTY"),
+    )
+    without = F.col("COUNTY") == "fairfield"
+    return lower(tables.union_tables([lots.where(~without), lots.where(without).drop("acres")]))
 
 
 def region_table(spark, sf_dir):
@@ -460,7 +496,7 @@ def summary_from_files(spark, sf_dir):
 def _profile(name: str) -> Query:
     def query(spark, sf_dir):
         I.configure(spark)
-        return profile.column_profile(I.table(spark, sf_dir, name)).drop("column_sample")
+        return profile.column_profile(I.table(spark, sf_dir, name))
 
     return query
 
@@ -811,6 +847,9 @@ QUERIES: dict[str, Query] = {
         dissolve_jurisdictions,
         dissolve_border_area,
         dissolve_parcels,
+        dissolve_tjunctions,
+        dissolve_repeats,
+        dissolve_many_parts,
         region_union,
         region_table,
         density,

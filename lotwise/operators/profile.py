@@ -11,77 +11,89 @@ from lotwise.functions.values import count_with_percent, joined_text
 SAMPLE_SIZE = 10
 
 
-def value_counts(df: DataFrame) -> DataFrame:
-    """(column, value as text, is_number, n) for every column.
+# What a value counts as, beside being distinct.
+BLANK, NULL, ZERO_NUMBER, ZERO_TEXT, OTHER = "blank", "null", "zero number", "zero text", "other"
 
-    Rows turn into (column, value) pairs that are counted in the map tasks, so what
-    is shuffled is distinct values, and a frequent value costs nothing extra.
-    """
 
-    def text(f: T.StructField) -> Column:
-        value = F.col(f"`{f.name}`")
+def _cells(df: DataFrame, with_value: bool) -> DataFrame:
+    """(column_name, hash, kind) of every cell, with the value as text on request."""
+
+    def cell(f: T.StructField) -> Column:
+        column = F.col(f"`{f.name}`")
+        value = column
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             value = value + F.lit(0.0)  # -0.0 is 0.0
-        return value.cast("string")
-
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                text(f).alias("value"),
-                F.lit(isinstance(f.dataType, T.NumericType)).alias("is_number"),
-            )
-            for f in df.schema.fields
-        ]
-    )
-    return (
-        df.select(F.inline(cells))
-        .groupBy("column_name", "is_number", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+        value = value.cast("string")
+        kind = F.when(value.isNull(), NULL)
+        if isinstance(f.dataType, T.NumericType):
+            kind = kind.when(column == 0, ZERO_NUMBER)
+        else:
+            kind = kind.when(value == " ", BLANK).when(value == "0", ZERO_TEXT)
+        return F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.md5(value.cast("binary")).alias("hash"),
+            kind.otherwise(OTHER).alias("kind"),
+            *([value.alias("value")] if with_value else []),
+        )
+
+    return df.select(F.inline(F.array(*[cell(f) for f in df.schema.fields])))
+
+
+def value_counts(df: DataFrame) -> DataFrame:
+    """(column_name, hash, kind, n) for every distinct value of every column.
+
+    Cells are counted in the map tasks, so a frequent value costs nothing extra, and a
+    value travels as its hash of 128 bits, however long it is.
+    """
+    return _cells(df, False).groupBy("column_name", "hash", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def column_counts(df: DataFrame) -> DataFrame:
     """Distinct values (a missing value is one) and blanks, nulls and zeros as numbers."""
-    value, n = F.col("value"), F.col("n")
 
-    def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, n).otherwise(F.lit(0)))
+    def total(kind: str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(F.lit(0)))
 
-    number = F.col("is_number")
     return (
         value_counts(df)
         .groupBy("column_name")
         .agg(
             F.count(F.lit(1)).alias("unique_values"),
-            total(~number & (value == " ")).alias("n_empty"),
-            total(value.isNull()).alias("n_null"),
-            total(number & (value.try_cast("double") == 0)).alias("n_zero_int"),
-            total(~number & (value == "0")).alias("n_zero_chr"),
-            F.sum(n).alias("n_rows"),
+            total(BLANK).alias("n_empty"),
+            total(NULL).alias("n_null"),
+            total(ZERO_NUMBER).alias("n_zero_int"),
+            total(ZERO_TEXT).alias("n_zero_chr"),
+            F.sum("n").alias("n_rows"),
         )
     )
 
 
 def column_samples(df: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
-    """Up to ``size`` distinct values per column, the ones with the lowest hash.
+    """Up to ``size`` distinct values per column, the ones with the lowest MD5.
 
-    Spark applies the rank limit in the map tasks too (window group limit), so a
-    column of any number of distinct values sends few rows to the final ranking.
+    Spark applies the rank limit in the map tasks too (window group limit), so a column
+    of any number of distinct values sends few rows to the final ranking. The texts of
+    the picked hashes, ``size`` for each column, come from a second scan.
     """
-    order = Window.partitionBy("column_name").orderBy(F.xxhash64("value"), F.col("value"))
-    return (
+    order = Window.partitionBy("column_name").orderBy("hash")
+    picked = (
         value_counts(df)
         # always true; with the count in use, a profile shuffles the pairs once
         .where(F.col("n") > 0)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= size)
-        .groupBy("column_name")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("_rank", F.coalesce("value", F.lit("None")).alias("v")))
-            ).alias("picked")
-        )
+        .select(F.col("column_name").alias("_name"), F.col("hash").alias("_hash"), "_rank")
+    )
+    same = (F.col("column_name") == F.col("_name")) & F.col("hash").eqNullSafe(F.col("_hash"))
+    texts = (
+        _cells(df, True)
+        .join(F.broadcast(picked), same)  # columns times ``size`` rows
+        .groupBy("column_name", "_rank")
+        .agg(F.min(F.coalesce("value", F.lit("None"))).alias("v"))
+    )
+    return (
+        texts.groupBy("column_name")
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", "v"))).alias("picked"))
         .select("column_name", joined_text("; ", F.col("picked.v")).alias("column_sample"))
     )
 

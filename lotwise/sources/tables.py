@@ -64,7 +64,11 @@ def read_counties(spark: SparkSession, path: str, counties: list[str] | None = N
     return df if counties is None else df.where(F.col("COUNTY").isin(*counties))
 
 
+def union_tables(parts: list[DataFrame]) -> DataFrame:
+    """Tables in one, columns by name; what a table lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def union_counties(tables: dict[str, DataFrame]) -> DataFrame:
-    """County tables in one, columns by name; what a county lacks is null."""
-    tagged = [df.withColumn("COUNTY", F.lit(name)) for name, df in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    """County tables in one, each tagged with its name."""
+    return union_tables([df.withColumn("COUNTY", F.lit(name)) for name, df in tables.items()])
