@@ -37,25 +37,41 @@ def read_layer(
 
 
 def read_delimited(
-    spark: SparkSession, path: str, sep: str = ",", columns: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    columns: list[str] | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """Delimited text with a header, every column as text. Missing words become null."""
-    df = pick(spark.read.csv(path, sep=sep, header=True, escape='"'), columns)
+    """Delimited text with a header, every column as text. Missing words become null.
+
+    A quoted cell may hold line breaks, so a file is read by one task; pass
+    ``line_breaks=False`` for files known to have none, which Spark then splits. Files
+    of another header than the first are an error, not read by position.
+    """
+    raw = spark.read.csv(
+        path, sep=sep, header=True, escape='"', multiLine=line_breaks, enforceSchema=False
+    )
+    df = pick(raw, columns)
     return df.select(*[known(c) for c in df.columns])
 
 
 def read_xml_records(
-    spark: SparkSession, path: str, row_tag: str, columns: list[str]
+    spark: SparkSession, path: str, row_tag: str, columns: list[str] | None = None
 ) -> DataFrame:
-    """One row per element, its attributes as text columns."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("attributePrefix", "")
-        .schema(schema)
-        .load(path)
-    )
+    """One row per element, its attributes as text columns; all attributes by default.
+
+    The names come from a pass over the files, so that a column which no record has is
+    an error; one that only some records have is null in the others.
+    """
+    options = {"rowTag": row_tag, "attributePrefix": "", "inferSchema": "false"}
+    found = spark.read.format("xml").options(**options).load(path)
+    names = [f.name for f in found.schema.fields if isinstance(f.dataType, T.StringType)]
+    if columns is not None:
+        require_columns(names, columns)
+        names = columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return spark.read.format("xml").options(**options).schema(schema).load(path)
 
 
 def read_counties(spark: SparkSession, path: str, counties: list[str] | None = None) -> DataFrame:

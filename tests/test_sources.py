@@ -284,3 +284,25 @@ def test_broken_page_raises(spark, body):
     pages = spark.createDataFrame([(body,)], "body string")
     with pytest.raises(Exception, match="features|MALFORMED"):
         service.geojson_features(pages, "LSN:bigint").collect()
+
+
+def test_text_that_must_not_be_read_by_line_or_position(spark, tmp_path):
+    broken = tmp_path / "broken.csv"
+    broken.write_text('a,b\n1,"x\ny"\n2,z\n')
+    rows = tables.read_delimited(spark, str(broken)).collect()
+    assert [tuple(r) for r in rows] == [("1", "x\ny"), ("2", "z")]
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "1.csv").write_text("a,b\n1,2\n")
+    (mixed / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        tables.read_delimited(spark, str(mixed)).collect()
+
+
+def test_xml_attributes_are_checked(spark, tmp_path):
+    path = tmp_path / "cards.xml"
+    path.write_text('<R><Card a="1" b="x"/><Card a="2"/></R>')
+    read = tables.read_xml_records(spark, str(path), "Card")
+    assert sorted(tuple(r) for r in read.select("a", "b").collect()) == [("1", "x"), ("2", None)]
+    with pytest.raises(ValueError):
+        tables.read_xml_records(spark, str(path), "Card", ["a", "c"])
