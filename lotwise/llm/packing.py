@@ -1,13 +1,22 @@
-"""Lexical retrieval packing.
+"""Lexical retrieval packing over the whole table.
 
-Documents are packed into sequences of ``WINDOW`` tokens in shards: runs of rows of one
-input partition, bounded in tokens and in documents, so that a shard fits in a task and
-no text is shuffled. Each shard has a BM25 inverted index over token ids. The next seed
-document queries it once; its unused neighbours, best first, fill the seed's window
-whole as long as they fit. What is then left of the window takes the head of the best
-unused neighbour, whose tail is the next seed. So a window holds at most one cut, and
-none is padded. A shard's last, partly filled window is cut into sequences whose lengths
-are powers of two, which need no padding either.
+Documents are packed into sequences of ``WINDOW`` tokens by BM25 over token ids. The
+number of documents, their mean length and every token's document count are those of
+the whole table. A document's heaviest terms (by its own BM25 weights) deal it out: rows
+are sorted by them over all partitions, so that related documents, wherever they lay,
+meet in one shard: a run of sorted rows, bounded in tokens and in documents. In a shard
+the next seed queries an inverted index; its unused neighbours, best first, fill the
+seed's window whole as long as they fit. What is then left of the window takes the head
+of the best unused neighbour, whose tail is the next seed. So a window holds at most one
+cut, and none is padded.
+
+There are ``ROUNDS`` rounds. In all but the last, only related neighbours count (a score
+of ``RELATED`` of the smaller own score) and only full windows are kept; a seed without
+enough of them, and every document not used, goes to the next round, which deals by the
+next heaviest terms and so meets other documents. The last round deals by the heaviest
+terms again and fills windows with the best that its shard holds. A shard's last, partly
+filled window is then cut into sequences whose lengths are powers of two, which need no
+padding either.
 
 Edge cases: a null or empty text is a document of one end id; equal documents are
 packed each on its own; a text longer than the window fills windows alone and its rest
@@ -16,53 +25,98 @@ is a seed; an empty table gives no piece; null ids are kept; other columns are i
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotwise.llm.tokens import END, encoder, public_path
+from lotwise.session import durable
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-SHARD_DOCUMENTS = 1024
+SHARD_DOCUMENTS = 1 << 14
+ROUNDS = 3
+RELATED = 0.25
 K1, B = 1.2, 0.75
+KEY_TERMS, KEY_BITS = 3, 21
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long"
 )
+# what is left of a document: its ids from ``start`` on, as bytes
+REST = "doc_id long, row long, doc_tokens long, start long, ids binary"
 Piece = tuple[int, int, int, int, int]  # document, start, length, sequence, offset
 
 
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def id_type(path: str) -> str:
+    return "<u2" if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+@dataclass
+class Statistics:
+    """Of the whole table: documents, their mean length, documents by token id."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def __post_init__(self):
+        self.idf = np.log1p((self.n - self.df + 0.5) / (self.df + 0.5)).astype(np.float32)
+        # a term of one document finds no neighbour; one of most documents tells nothing
+        self.useful = (self.df > 1) & (2 * self.df <= max(self.n, 4))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        norm = K1 * (1 - B + B * length / self.mean)
+        return self.idf[terms] * (tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+
+    def heaviest(self, ids: np.ndarray) -> np.ndarray:
+        """The useful terms of a document, by falling weight; of equal ones the lower id."""
+        terms, tf = np.unique(ids, return_counts=True)
+        keep = self.useful[terms]
+        terms, tf = terms[keep], tf[keep]
+        return terms[np.argsort(-self.weights(terms, tf, len(ids)), kind="stable")]
+
+    def key(self, ids: np.ndarray, skip: int) -> int:
+        """What deals a document out: KEY_TERMS of its heaviest terms, after ``skip``."""
+        out = 0
+        chosen = self.heaviest(ids)[skip : skip + KEY_TERMS].tolist()
+        for t in [t + 1 for t in chosen] + [0] * (KEY_TERMS - len(chosen)):
+            out = out << KEY_BITS | t
+        return out
+
+
 class Index:
     """BM25 over the documents of a shard; every score is final, as they don't change."""
 
-    def __init__(self, documents: list[np.ndarray]):
-        n = len(documents)
+    def __init__(self, documents: list[np.ndarray], statistics: Statistics):
         found = [np.unique(x, return_counts=True) for x in documents]
-        self.terms = [t for t, _ in found]
+        keep = [statistics.useful[t] for t, _ in found]
+        self.terms = [t[k] for (t, _), k in zip(found, keep, strict=True)]
         term = np.concatenate(self.terms)
-        tf = np.concatenate([c for _, c in found]).astype(np.float32)
+        tf = np.concatenate([c[k] for (_, c), k in zip(found, keep, strict=True)]).astype(np.float32)
         sizes = np.array([len(t) for t in self.terms])
-        doc = np.repeat(np.arange(n), sizes)
+        doc = np.repeat(np.arange(len(documents)), sizes)
         length = np.array([len(x) for x in documents], np.float32)
+        weight = statistics.weights(term, tf, length[doc])
+        self.own = np.bincount(doc, weight, minlength=len(documents))
         order = np.argsort(term, kind="stable")
-        self.vocabulary, first, df = np.unique(term[order], return_index=True, return_counts=True)
-        self.first, self.df = first, df
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = K1 * (1 - B + B * length / length.mean())
-        weight = np.repeat(idf, df) * (tf * (K1 + 1) / (tf + norm[doc]))[order]
-        self.doc, self.weight, self.n = doc[order].astype(np.int32), weight, n
-        # a term of one document finds no neighbour; one of most documents tells nothing
-        self.useful = (df > 1) & (2 * df <= max(n, 4))
+        self.vocabulary, self.first, self.df = np.unique(term[order], return_index=True, return_counts=True)
+        self.doc, self.weight, self.n = doc[order].astype(np.int32), weight[order], len(documents)
 
     def scores(self, seed: int) -> np.ndarray:
         at = np.searchsorted(self.vocabulary, self.terms[seed])
-        at = at[self.useful[at]]
         size = self.df[at]
         if not len(at):
             return np.zeros(self.n)
@@ -71,22 +125,46 @@ class Index:
         return np.bincount(self.doc[postings], self.weight[postings], minlength=self.n)
 
 
-def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[Piece]:
-    """Pieces of a shard's documents, sequence numbers from 0."""
+def fitting(order: np.ndarray, length: np.ndarray, room: int) -> np.ndarray:
+    """The documents that fit whole, each tried in its turn."""
+    out = [order[:0]]
+    while room and len(order):
+        order = order[length[order] <= room]
+        total = np.cumsum(length[order])
+        n = int(np.searchsorted(total, room, "right"))
+        if n:
+            out.append(order[:n])
+            room -= int(total[n - 1])
+        order = order[n:]
+    return np.concatenate(out)
+
+
+def pack(
+    documents: list[np.ndarray],
+    statistics: Statistics,
+    left: list[tuple[int, int]],
+    window: int = WINDOW,
+    last: bool = True,
+) -> Iterator[Piece]:
+    """Pieces of a shard's documents, sequence numbers from 0.
+
+    Unless ``last``, only related documents share a window; the documents that found
+    too few go to ``left``, with where their rest begins.
+    """
     if not documents:
         return
-    index = Index(documents)
+    index = Index(documents, statistics)
     length = np.array([len(x) for x in documents], np.int64)
     used = np.zeros(len(documents), bool)
-    sequence, seed, begin, following = 0, 0, 0, 0
+    sequence, seed, begin, following = 0, -1, 0, 0
     while True:
         if seed < 0:
             while following < len(used) and used[following]:
                 following += 1
             if following == len(used):
-                return
-            seed, begin = following, 0
-        used[seed] = True
+                break
+            seed, begin, following = following, 0, following + 1
+            used[seed] = True
         while length[seed] - begin >= window:
             yield seed, begin, window, sequence, 0
             sequence, begin = sequence + 1, begin + window
@@ -95,89 +173,179 @@ def pack(documents: list[np.ndarray], window: int = WINDOW) -> Iterator[Piece]:
             continue
         pieces = [(seed, begin, int(length[seed] - begin))]
         room = window - pieces[0][2]
+        scores, free = index.scores(seed), ~used
+        if not last:
+            free &= (scores > 0) & (scores >= RELATED * np.minimum(index.own[seed], index.own))
+        order = np.flatnonzero(free)
+        if not last and length[order].sum() < room:
+            if begin:
+                left.append((seed, begin))
+            else:
+                used[seed] = False  # it may still follow another seed
+            seed = -1
+            continue
         # best first; of equal scores the earlier row
-        order = np.argsort(-index.scores(seed), kind="stable")
-        order = order[~used[order]]
+        order = order[np.argsort(-scores[order], kind="stable")]
         seed = -1
-        while room and len(order):
-            fits = np.flatnonzero(length[order] <= room)
-            if len(fits):
-                doc, take = order[fits[0]], int(length[order[fits[0]]])
-                order = order[fits[0] + 1 :] if take < room else order[:0]
-            else:
-                break
-            used[doc] = True
-            pieces.append((int(doc), 0, take))
-            room -= take
+        whole = fitting(order, length, room)
+        used[whole] = True
+        pieces += [(int(d), 0, int(length[d])) for d in whole]
+        room -= int(length[whole].sum())
         if room:
-            rest = np.flatnonzero(~used)
+            rest = order[~used[order]]
             if len(rest):
-                doc = int(order[0]) if len(order) else int(rest[0])
-                pieces.append((doc, 0, room))
-                seed, begin, room = doc, room, 0
+                seed, begin = int(rest[0]), room
+                used[seed] = True
+                pieces.append((seed, 0, room))
+                room = 0
         filled = window - room
         for size in [window] if not room else [1 << b for b in range(31, -1, -1) if filled >> b & 1]:
             offset = 0
             while offset < size:
-                doc, start, left = pieces[0]
-                take = min(left, size - offset)
+                doc, start, piece = pieces[0]
+                take = min(piece, size - offset)
                 yield doc, start, take, sequence, offset
                 offset += take
-                pieces[0] = (doc, start + take, left - take)
-                if take == left:
+                pieces[0] = (doc, start + take, piece - take)
+                if take == piece:
                     pieces.pop(0)
             sequence += 1
+    left += [(int(d), 0) for d in np.flatnonzero(~used)]
 
 
-def packed(
-    documents: DataFrame,
-    path: str | None = None,
-    window: int = WINDOW,
-    shard_tokens: int = SHARD_TOKENS,
-    shard_documents: int = SHARD_DOCUMENTS,
+def encoded(documents: DataFrame, path: str) -> DataFrame:
+    """Every document with its ids, as REST says, numbered."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end, kind = encoder(path), np.array([END], "<u4").tobytes(), id_type(path)
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            ids = [np.frombuffer(encode(x.as_py() or b"") + end, "<u4") for x in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).cast(pa.int64()),
+                    pa.array(range(row, row + len(ids)), pa.int64()),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([0] * len(ids), pa.int64()),
+                    pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
+                ],
+                names=names(REST),
+            )
+            row += len(ids)
+
+    return documents.select("doc_id", "text").mapInArrow(run, REST)
+
+
+def statistics_of(rests: DataFrame, path: str) -> Statistics:
+    """Counted over all documents; only one count a token id reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = id_type(path)
+        df = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for ids in batch.column(0):
+                terms = np.unique(np.frombuffer(ids.as_py(), kind))
+                if terms[-1] >= len(df):
+                    df = np.concatenate([df, np.zeros(int(terms[-1]) + 1, np.int64)])
+                df[terms] += 1
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], names=["token", "df"])
+
+    counts = rests.select("ids").mapInArrow(run, "token long, df long")
+    found = counts.groupBy("token").agg(F.sum("df").alias("df")).toArrow()
+    n, tokens = rests.agg(F.count("*"), F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()
+    token = found["token"].to_numpy()
+    df = np.zeros(int(token.max()) + 1 if len(token) else 1, np.int64)
+    df[token] = found["df"].to_numpy()
+    return Statistics(n, max(tokens / max(n, 1), 1.0), df)
+
+
+def dealt(rests: DataFrame, shared, skip: int, partitions: int, path: str) -> DataFrame:
+    """The rows with their ``key``, sorted by it over all partitions; rows of one key by number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, statistics = id_type(path), shared.value
+        for batch in batches:
+            ids = batch.column(names(REST).index("ids"))
+            keys = [statistics.key(np.frombuffer(x.as_py(), kind), skip) for x in ids]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*names(REST), "key"])
+
+    keyed = rests.select(*names(REST)).mapInArrow(run, f"{REST}, key long")
+    return keyed.repartitionByRange(partitions, "key", "row").sortWithinPartitions("key", "row")
+
+
+def one_round(
+    rests: DataFrame, shared, number: int, last: bool, path: str, window: int, shard_tokens: int, shard_documents: int
 ) -> DataFrame:
-    """One row per piece of every document."""
-    path = path or public_path()
+    """Pieces, and rows of what is left, which have ids and no sequence."""
+    schema = f"{SCHEMA}, row long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.array([END], "<u4").tobytes()
-        base = TaskContext.get().partitionId() << 33
-        ids: list[int | None] = []
+        kind, statistics = id_type(path), shared.value
+        base = number << 60 | TaskContext.get().partitionId() << 33
+        rows: list[dict] = []
         shard: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal base
-            rows = list(pack(shard, window))
-            if not rows:
-                return
-            doc, start, size, sequence, offset = map(np.array, zip(*rows, strict=True))
-            crc = [zlib.crc32(shard[d][s : s + n].tobytes()) for d, s, n, _, _ in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([ids[d] for d in doc], pa.int64()),
-                    pa.array(start, pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                    pa.array([len(shard[d]) for d in doc], pa.int64()),
-                    pa.array(base + sequence, pa.int64()),
-                    pa.array(offset, pa.int64()),
-                ],
-                names=[c.split()[0] for c in SCHEMA.split(", ")],
-            )
-            base += int(sequence.max()) + 1
-            ids.clear()
+            left: list[tuple[int, int]] = []
+            out = []
+            for d, start, size, sequence, offset in pack(shard, statistics, left, window, last):
+                crc = zlib.crc32(shard[d][start : start + size].astype("<u4").tobytes())
+                own = rows[d]
+                at = own["start"] + start
+                out.append((own["doc_id"], at, size, crc, own["doc_tokens"], base + sequence, offset, own["row"], None))
+            base += max((x[5] - base for x in out), default=-1) + 1
+            for d, start in left:
+                own, ids = rows[d], shard[d][start:]
+                at = own["start"] + start
+                out.append((own["doc_id"], at, len(ids), None, own["doc_tokens"], None, None, own["row"], ids.tobytes()))
+            kinds = [pa.int64()] * 8 + [pa.binary()]
+            if out:
+                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=names(schema))
+            rows.clear()
             shard.clear()
 
         tokens = 0
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                shard.append(np.frombuffer(encode(text.as_py() or b"") + end, "<u4"))
-                ids.append(doc_id)
+            for row in batch.to_pylist():
+                shard.append(np.frombuffer(row.pop("ids"), kind))
+                rows.append(row)
                 tokens += len(shard[-1])
                 if tokens >= shard_tokens or len(shard) >= shard_documents:
                     yield from flush()
                     tokens = 0
-        yield from flush()
+        if shard:
+            yield from flush()
+
+    tokens = rests.agg(F.coalesce(F.sum(F.col("doc_tokens") - F.col("start")), F.lit(0))).first()[0]
+    skip = 0 if last else number
+    return dealt(rests, shared, skip, max(1, math.ceil(tokens / shard_tokens)), path).mapInArrow(run, schema)
 
-    return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+def packed(
+    documents: DataFrame,
+    path: str | None = None,
+    window: int = WINDOW,
+    shard_tokens: int = SHARD_TOKENS,
+    shard_documents: int = SHARD_DOCUMENTS,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """One row per piece of every document."""
+    path = path or public_path()
+    rests = durable(encoded(documents, path), "tokens")
+    shared = documents.sparkSession.sparkContext.broadcast(statistics_of(rests, path))
+    found = []
+    for number in range(rounds):
+        last = number == rounds - 1
+        out = one_round(rests, shared, number, last, path, window, shard_tokens, shard_documents)
+        if not last:
+            out = durable(out, "round")
+            rests = out.where("ids is not null").select(*names(REST))
+        found.append(out.where("ids is null").select(*names(SCHEMA)))
+    pieces = found[0]
+    for more in found[1:]:
+        pieces = pieces.unionByName(more)
+    return pieces

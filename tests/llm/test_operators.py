@@ -80,6 +80,26 @@ def test_packing(frame, texts):
     assert packing.packed(frame({})).count() == 0
 
 
+def test_packing_finds_relatives_in_the_whole_table(frame):
+    """Documents of 8 subjects, dealt over all partitions, thousands of rows apart."""
+    vocabulary = Encoder(public_path()).tokenizer.get_vocab()
+    whole = sorted({w for w in (x.removesuffix("</w>") for x in vocabulary) if w.isascii() and w.isalpha() and len(w) > 5})
+    draw = np.random.default_rng(3)
+    words = draw.permutation(whole)[:3000].tolist()
+    texts = {i: " ".join(draw.choice(words[800:], 12)) for i in range(4000)}
+    subject = {i: i // 10 % 8 for i in range(0, 4000, 10)}
+    texts |= {i: " ".join(draw.choice(words[100 * k : 100 * k + 100], 500)) for i, k in subject.items()}
+    tokens, sequences = dict.fromkeys(range(8), 0), {}
+    for r in packing.packed(frame(texts)).collect():
+        sequences.setdefault(r.sequence_id, []).append((subject.get(r.doc_id), r.length))
+        if r.doc_id in subject:
+            tokens[subject[r.doc_id]] += r.length
+    # no partition holds a window's worth of one subject, the table holds many
+    for k in range(8):
+        alone = [x for x in sequences.values() if {s for s, _ in x} == {k} and sum(n for _, n in x) == 4096]
+        assert len(alone) >= tokens[k] // 4096 - 1 > 4
+
+
 @pytest.mark.parametrize("top", [1, 2, 300, 49408, 2**32, 2**60, 2**64 - 1])
 @pytest.mark.parametrize("size", [0, 1, 239, 241, 4095, 4097, 20_000])
 def test_simple8b(top, size):
