@@ -3,13 +3,16 @@
 A page becomes a tree of its elements. Every node has the characters and tags below it
 (markup of single words aside) and how many of them are links; its density is characters per tag, lowered by a log of
 the share of links. A node's density sum adds its children's densities, and the node of
-the largest sum holds the main text. The smallest density on the path from it up to the
-body is the threshold: another subtree outside that path counts as main text only where
-its density and density sum reach the threshold.
+the largest sum holds the main text; if it lies in an article, the whole outermost
+article does. The smallest density on the path from it up to the body is the threshold:
+every other subtree outside that path, a lone paragraph too, is main text where its
+density reaches the threshold, and so is a heading beside the main text below one parent
+(the body aside).
 
 What cannot be main text is left out before: scripts, styles, forms, menus, headers,
 footers, asides, and elements whose class, id or role names an advert, a notice, reader
-comments and the like.
+comments and the like. A name counts as a whole: all its parts are such words, or words
+for a box around them.
 
 Edge cases: null or empty html gives an empty text; broken markup is read as browsers do
 in the main cases (paragraphs and list items end by themselves, a lone end tag is
@@ -44,7 +47,7 @@ INLINE = frozenset(
 )
 LEFT_OUT = frozenset(
     "head nav footer aside form button select input textarea dialog menu "
-    "figure script style title noscript iframe template svg math object canvas audio video".split()
+    "script style title noscript iframe template svg math object canvas audio video".split()
 )
 # A new one of these ends an open one of the set beside it.
 ENDS = {
@@ -60,6 +63,12 @@ NAMES_LEFT_OUT = frozenset(
     "widget".split()
 )
 
+BOXES = frozenset(
+    "area bar block bottom box button buttons container content form global group inner item "
+    "left list main outer page panel right section site slot top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 
 class Tree:
     """Elements in document order; ``last`` is the last element below each."""
@@ -123,8 +132,12 @@ class Tree:
         if name in ("html", "body", "article", "main") or not attributes:
             return False
         for groups in NAMED.findall(attributes):
-            if not NAMES_LEFT_OUT.isdisjoint(PART.split("".join(groups).lower())):
-                return True
+            for whole in "".join(groups).lower().split():
+                parts = set(PART.split(whole))
+                if not parts.isdisjoint(NAMES_LEFT_OUT) and all(
+                    x in NAMES_LEFT_OUT or x in BOXES or not x or x.isdigit() for x in parts
+                ):
+                    return True
         return False
 
     def close(self, stack: list[int], name: str) -> None:
@@ -181,24 +194,30 @@ def main_nodes(tree: Tree, chars: list[int]) -> list[int]:
     body = next((i for i, t in enumerate(tree.tag) if t == "body"), 0)
     inside = range(body, tree.last[body] + 1)
     best = max(inside, key=lambda i: (sums[i], -i))
+    i = best
+    while i > body:
+        if tree.tag[i] == "article":
+            best = i
+        i = tree.parent[i]
     path, i = set(), best
     while i != -1:
         path.add(i)
         i = tree.parent[i] if i != body else -1
     threshold = min(density[i] for i in path)
-    out, i = [], body
+    out, headings, i = [], [], body
     while i <= tree.last[body]:
-        if i == best:
+        if i == best or i not in path and not tree.out[i] and density[i] >= threshold > 0 and counted(tree.tag[i]):
             out.append(i)
-        elif i in path or not tree.out[i] and density[i] < threshold:
+        elif i in path or not tree.out[i]:
+            if tree.tag[i] in HEADINGS and density[i] and i not in path:
+                headings.append(i)
             i += 1
             continue
-        elif not tree.out[i]:
-            below = max(range(i, tree.last[i] + 1), key=lambda k: (sums[k], -k))
-            if threshold > 0 and sums[below] >= threshold and density[below] >= threshold:
-                out.append(below)
         i = tree.last[i] + 1
-    return out
+    # headings beside what stays
+    holders = {tree.parent[i] for i in out} | path - {best}
+    out += [i for i in headings if tree.parent[i] in holders and tree.parent[i] != body]
+    return sorted(out)
 
 
 def main_text(page: str | None) -> str:

@@ -197,6 +197,21 @@ def test_main_text():
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+def test_main_text_of_sections():
+    """Titles, leads and every section stay, in an article or not; captions and names by parts."""
+    words = lambda w, n: " ".join([w] * (n // (len(w) + 1)))
+    lead, body = words("lead", 400), [words(f"own{i}", 400) for i in range(6)]
+    section = lambda name, own: f"<section><h2>{name}</h2>" + "".join(f"<p>{x}</p>" for x in own) + "</section>"
+    inner = f"<h1>the title of it all</h1><p>{lead}</p>" + section("first", body[:4]) + section("second", body[4:])
+    want = " ".join(["the title of it all", lead, "first", *body[:4], "second", *body[4:]])
+    menu = "<nav><a href=/>home</a></nav><ul>" + "<li><a href=/x>some link</a></li>" * 9 + "</ul>"
+    for tag in ("article", "div", "div class=search-tips", "div id='comment-on-policy'"):
+        page = f"<body>{menu}<{tag}>{inner}</{tag.split()[0]}><div class='ad-slot'>{lead}</div></body>"
+        assert html_text.main_text(page) == want, tag
+    figure = f"<body><article><p>{lead}</p><figure><img src=x><figcaption>what is seen</figcaption></figure></article>"
+    assert html_text.main_text(figure) == f"{lead} what is seen"
+
+
 def test_urls(spark):
     values = [None, "", "no host", "HTTP://A.Example.NET/en/x?q", "http://spam-farm.example.org/a/#x",
               "http://www.spam-farm.example.org/a", "https://x.org/fr/"]
