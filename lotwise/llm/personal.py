@@ -224,18 +224,34 @@ def best_layout(spans: list[Span], scores: list[float]) -> list[Span]:
     return out[::-1]
 
 
+def beside(text: str, at: int, step: int) -> int:
+    """Where the word before (step -1) or after (1) ends that at most two blanks part from ``at``."""
+    char = lambda i: text[i - 1 : i] if step < 0 else text[i : i + 1]
+    end = at
+    while char(end) == " " and abs(end - at) < 2:
+        end += step
+    if not char(end) or char(end).isspace():
+        return at
+    while char(end) and not char(end).isspace():
+        end += step
+    return end
+
+
 def stretches(text: str) -> Iterator[tuple[int, str]]:
-    """Start and text of the stretches around digits and signs, words whole."""
-    end = 0
+    """Start and text of the stretches around digits and signs: whole words, those beside
+    them and a character of white space on each side. Words that two matches share join them."""
+    a = b = -1
     for m in STRETCHES.finditer(text):
-        if m.start() < end:
-            continue
-        a = text.rfind(" ", 0, max(m.start() - 1, 0)) + 1
-        a = max(a, m.start() - 24, end)
-        b = text.find(" ", m.end() + 1)
-        b = min(len(text) if b < 0 else b, m.end() + 24)
-        end = b
-        yield a, text[a:b]
+        # what lies before the last end was walked over once; it is not walked again
+        own = m.start() if m.start() <= b else beside(text, m.start(), -1)
+        if b >= 0 and own >= b and m.start() > b:
+            yield max(a - 1, 0), text[max(a - 1, 0) : b + 1]
+            b = -1
+        if b < 0:
+            a = own
+        b = max(b, beside(text, m.end(), 1)) if m.end() > b else b
+    if b >= 0:
+        yield max(a - 1, 0), text[max(a - 1, 0) : b + 1]
 
 
 def rewritten(text: str, labels: list[Span], draw: random.Random) -> tuple[str, list[Span]]:

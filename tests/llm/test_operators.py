@@ -234,6 +234,22 @@ def test_personal(frame):
     assert personal.personal_data(frame({})).count() == 0
 
 
+@pytest.mark.parametrize("blank", ["\n", "\t", " ", "  ", "\r\n", " and "])
+def test_personal_data_covers_lists(blank):
+    """Each number of a list and each side of a spaced address, whole."""
+    phones = [f"555-{100 + i}-{4000 + i}" for i in range(40)]
+    text = "numbers:" + blank + blank.join(phones)
+    found = personal.spans_of(text, {"phone: phone": -1.0, "phone: groups 3-3-4": 5.0}, [])
+    assert [text[a:b] for a, b, _ in found] == phones
+    covered = "".join(own for _, own in personal.stretches(text))
+    assert all(p in covered for p in phones)
+    for sign in (" @ ", "(at)", " (at) "):
+        mail = f"a.rather.long.name.of.thirty.two{sign}some.very.long.host.of.a.large.house.example.org"
+        text = blank.join(["write to", mail, "or call"])
+        found = personal.spans_of(text, {"email: email": -1.0, "email: right blank": 5.0}, [])
+        assert [text[a:b] for a, b, _ in found][:1] == [mail]
+
+
 def test_personal_data_of_long_texts_takes_linear_time():
     """Words, digits and lists of spans as long as a document."""
     texts = ["ab" * 100_000 + " x1", "1" * 200_000, " ".join(f"+1 (212) 555-{i}" for i in range(1000, 7000))]
