@@ -6,10 +6,10 @@ one over the whole corpus (raw). A document's score is the mean, over its n-gram
 log(target / raw); it is kept when the score reaches a fixed threshold. Nothing is
 drawn at random, so equal texts get equal verdicts.
 
-The trusted documents are those labelled good, at most ``MOST_TRUSTED`` of them (the
-lowest hashes of their ids): the one bounded sample here. The raw multinomial covers
-every document. Its buckets are summed in the tasks before they are shuffled, and only
-the fixed number of buckets reaches the driver.
+The trusted documents are all those labelled good, found by a join that deals texts out
+by id (ids of very many rows are salted). The raw multinomial covers every document.
+Buckets are summed in the tasks before they are shuffled, and only the fixed number of
+buckets reaches the driver.
 
 Edge cases: a null or empty text has no words and fails the base rules; without trusted
 documents every score is 0 and only the base rules decide; repeated rows are judged
@@ -22,14 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.words import ALL_BUT_BLANKS, K, Block, blocks, mix, windows
+from lotwise.operators.skew import salted_left
 
 BUCKETS = 1 << 16
-MOST_TRUSTED = 20_000
 SMOOTHING = 10.0
 THRESHOLD = -0.1
 
@@ -58,52 +57,42 @@ def grams(block: Block, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (both % np.uint64(buckets)).astype(np.int64), where
 
 
-def counts_of(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """bucket, raw, target: n-grams of all texts and of those with ``trusted``."""
+def counts_of(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """n-grams of all texts, by bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        counts = np.zeros(buckets, np.int64)
         for batch in batches:
-            trusted = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
             for block in blocks(batch.column(0)):
                 block.words(ALL_BUT_BLANKS)
-                bucket, text = grams(block, buckets)
-                raw += np.bincount(bucket, minlength=buckets)
-                good = trusted[block.first + text]
-                if good.any():
-                    target += np.bincount(bucket[good], minlength=buckets)
-        seen = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), pa.array(raw[seen]), pa.array(target[seen])],
-            names=["bucket", "raw", "target"],
-        )
+                counts += np.bincount(grams(block, buckets)[0], minlength=buckets)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], names=["bucket", "n"])
 
-    rows = df.select("text", "trusted").mapInArrow(count, "bucket int, raw long, target long")
-    return rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    rows = texts.select("text").mapInArrow(count, "bucket int, n long")
+    table = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(buckets)
+    out[table["bucket"].to_numpy()] = table["n"].to_numpy()
+    return out
 
 
-def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """Distinct ids labelled good, ``most`` at most."""
-    good = labels.where("quality = 1 and doc_id is not null")
-    ids = good.select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The texts of all documents labelled good."""
+    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    named = documents.where("doc_id is not null").select("doc_id", "text")
+    named, (ids,), on = salted_left(named, [ids], ["doc_id"])
+    # dealt out by id at every size: the labels grow with the documents
+    return named.join(ids.hint("merge"), on, "left_semi").select("text")
 
 
 def fit(
     documents: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    most_trusted: int = MOST_TRUSTED,
     smoothing: float = SMOOTHING,
 ) -> np.ndarray:
     """log(target / raw) by bucket; zeros without trusted documents."""
-    # at most most_trusted ids: small enough to broadcast whatever the labels' size
-    ids = trusted_ids(labels, most_trusted).withColumn("trusted", F.lit(True))
-    marked = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left")
-    table = counts_of(marked, buckets).toArrow()
-    raw, target = np.zeros(buckets), np.zeros(buckets)
-    at = table["bucket"].to_numpy()
-    raw[at], target[at] = table["raw"].to_numpy(), table["target"].to_numpy()
+    raw, target = counts_of(documents, buckets), counts_of(trusted(documents, labels), buckets)
     if not target.sum():
         return np.zeros(buckets)
     # the target count that the raw multinomial lets expect; smoothing draws buckets of

@@ -46,6 +46,13 @@ def test_quality(spark, frame, texts):
     assert quality.quality(frame({}), labels).count() == 0
 
 
+def test_quality_counts_every_trusted_document(spark, frame):
+    """With all documents labelled good, however many, target and raw are the same."""
+    documents = frame({i: f"w{i % 50} and x{i % 7}" for i in range(21_000)})
+    labels = spark.range(21_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert np.abs(quality.fit(documents, labels)).max() < 1e-9
+
+
 def test_encoder_agrees_with_library():
     encode = Encoder(public_path())
     for text in ("Don't stop!!", "É à ß ÷", "a\x1cb\x85c", "<|endoftext|>x", "Σς İ 1²½", "it's''s", "中文 😀"):
