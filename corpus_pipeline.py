@@ -37,16 +37,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document of the smallest id stays; rows without an id stay, one
-    for each text, as nothing tells which group they are of."""
+    """Of each group the row of the smallest id stays, of rows of one id the one of the
+    lowest hash; rows without an id stay, one for each text, as nothing tells which group
+    they are of. Rows are known by their own key, as texts of one id may differ."""
     keyed = docs.withColumn("__row", row_key())
-    classes = durable(jaccard.near_duplicates(docs), "classes")
-    leaders = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = keyed.select("doc_id", "__row").join(durable(leaders, "leaders").hint("merge"), "doc_id", "left_semi")
-    # rows of one id: the one of the lowest hash stays
-    first = kept.groupBy("doc_id").agg(F.min("__row").alias("__row"))
-    nameless = keyed.where("doc_id is null").select("doc_id", "__row").distinct()
-    first = durable(first.unionByName(nameless), "first").select("__row")
+    classes = jaccard.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    rows = keyed.select("doc_id", "__row").distinct()
+    named = rows.where("doc_id is not null").join(durable(classes, "classes").hint("merge"), "__row")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    nameless = rows.where("doc_id is null").select("__row")
+    first = durable(first.select("first.__row").unionByName(nameless), "first")
     out = keyed.join(first.hint("merge"), "__row", "left_semi")
     return out.dropDuplicates(["__row"]).select(*docs.columns)
 

@@ -286,6 +286,16 @@ def test_pipeline(spark, sf_dir):
     assert second(spark, docs.limit(0), sf_dir).count() == 0 and last(spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_pipeline_keeps_unlike_texts_of_one_id(spark, frame):
+    """A row that shares its id is dropped only for a copy; its group never goes whole."""
+    text = lambda w: " ".join(f"{w}{i}" for i in range(30))
+    rows = [(1, text("a")), (1, text("b")), (1, text("c")), (2, text("a")), (3, text("b")), (4, text("c")), (4, text("c"))]
+    blank = frame({0: ""}).first().asDict()
+    docs = spark.createDataFrame([blank | {"doc_id": d, "text": t} for d, t in rows], frame({}).schema)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[:3])
+
+
 def test_licences(frame, texts):
     own = {
         1: "intro\nLicensed under the Apache License, Version 2.0.\nRELEASED under the MIT license",
