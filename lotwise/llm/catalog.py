@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import contamination, html_text, jaccard, licences, lines, packing, personal, token_files, urls
+from lotwise.llm import (
+    contamination,
+    conversations,
+    html_text,
+    jaccard,
+    licences,
+    lines,
+    packing,
+    personal,
+    token_files,
+    urls,
+)
 from lotwise.llm import quality as Q
 from lotwise.llm.inputs import table
 
@@ -65,6 +76,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired hash of every conversation."""
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -76,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": op8_personal_data,
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {

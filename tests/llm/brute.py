@@ -72,3 +72,75 @@ def near_duplicates(documents: dict) -> dict:
                 a, b = find(doc), find(other)
                 root[max(a, b)] = min(a, b)
     return {doc: (len(sets[doc]), find(doc)) for doc in documents}
+
+
+def conversation(rows: list[tuple]) -> tuple:
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, hash) of (turn, role, text)
+    rows; scripts are plain strings, held for each state that may follow."""
+    import hashlib
+
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    faults, seen = [], set()
+    for _, role, text in rows:
+        inked = re.findall("[^\x20\x09-\x0d]", text)
+        faults.append(
+            "blank" if not inked else "duplicate" if (role, text) in seen
+            else "truncated" if inked[-1] not in ".!?" else ""
+        )
+        seen.add((role, text))
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    # what stands so far is one of: nothing, s, ...u, ...a
+    best = {"": (0, "", [])}
+
+    def grown(state, initial):
+        return {"": "su", "s": "u", "u": "a", "a": "u"}[state].find(initial) >= 0 and initial != ""
+
+    def offer(table, state, entry):
+        if state not in table or entry[:2] < table[state][:2]:
+            table[state] = entry
+
+    def with_inserts(table):
+        for _ in range(4):
+            for state, (cost, done, kept) in list(table.items()):
+                for initial, role in (("u", "user"), ("a", "assistant")):
+                    if grown(state, initial):
+                        offer(table, initial, (cost + 3, done + "I", [*kept, f"{role}:"]))
+        return table
+
+    for (_, role, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        for state, (cost, done, kept) in with_inserts(best).items():
+            offer(after, state, (cost + 4, done + "D", kept))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 3 if fault == "truncated" else 0
+            if grown(state, role[:1]):
+                offer(after, role[0], (cost + more, done + "K", [*kept, f"{role}:{text}"]))
+            for initial, name in (("u", "user"), ("a", "assistant")):
+                if grown(state, initial):
+                    offer(after, initial, (cost + 3 + more, done + "R", [*kept, f"{name}:{text}"]))
+        best = after
+    ends = [e for state, e in with_inserts(best).items() if state in ("", "a")]
+    cost, audit, kept = min(ends)
+    digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
+
+
+def damage(rows: list[tuple]) -> list[tuple]:
+    """The contract's damage of (conv_id, turn, role, text) rows; dropped rows: no turn cell."""
+    import zlib
+
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 0:
+            out.append((conv,))
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
