@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.llm import (
+    collocations,
     contamination,
     conversations,
     html_text,
@@ -81,6 +82,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language that hold together best."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -93,9 +99,11 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op6_url_filter": urls.SQL,
     "op7_line_dedup": lines.SQL,
+    "op13_collocations": collocations.SQL,
 }
