@@ -40,8 +40,10 @@ ABSORBED = 50
 MOST = 2000
 SCALE = 1_000_000
 FAN = 16
-SHARD_BYTES = 16 << 20
-RANGES_PER_PARTITION = 2
+SHARD_BYTES = 4 << 20
+# n-grams that wait to be united with a range's automaton
+WAITING = 300_000
+RANGES_PER_PARTITION = 4
 
 # Bytes that end a piece, and bytes of words.
 SPLITS = np.zeros(256, bool)
@@ -190,8 +192,8 @@ def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 running, waiting, size = None, [], 0
             current = r
             waiting.append(Counts.unpacked(body))
-            size += len(body)
-            if size >= SHARD_BYTES // 4:
+            size += len(waiting[-1].levels[-1][0])
+            if size >= max(WAITING, len(running.levels[-1][0]) if running else 0):
                 running, waiting, size = folded(), [], 0
     if current is not None:
         yield finished()
