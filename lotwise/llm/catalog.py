@@ -16,6 +16,7 @@ from lotwise.llm import (
     lines,
     packing,
     personal,
+    repeats,
     token_files,
     urls,
 )
@@ -82,6 +83,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that stand twice in the corpus."""
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The phrases of each language that hold together best."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_repeated_strings": op12_repeated_strings,
     "op13_collocations": op13_collocations,
 }
 

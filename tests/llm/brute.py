@@ -144,3 +144,19 @@ def damage(rows: list[tuple]) -> list[tuple]:
         text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
         out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
     return out
+
+
+def repeated_strings(texts: list, width: int = 200) -> list[tuple]:
+    """By text: bytes, removed bytes, removed runs, and what is kept."""
+    data = [(t or "").encode() for t in texts]
+    counts = Counter(d[i : i + width] for d in data for i in range(len(d) - width + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - width + 1):
+            if counts[d[i : i + width]] > 1:
+                gone[i : i + width] = b"\1" * width
+        kept = bytes(b for b, g in zip(d, gone, strict=True) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(d), sum(gone), runs, kept))
+    return out
