@@ -112,5 +112,6 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op6_url_filter": urls.SQL,
     "op7_line_dedup": lines.SQL,
+    "op12_repeated_strings": repeats.SQL,
     "op13_collocations": collocations.SQL,
 }

@@ -448,3 +448,31 @@ def removed(documents: DataFrame, width: int = WIDTH, with_text: bool = True, **
 
 def report(documents: DataFrame) -> DataFrame:
     return removed(documents, with_text=False).drop("kept")
+
+
+SQL = f"""
+with texts as (
+  select row_number() over () as row_no, doc_id, encode(coalesce(text, '')) as data, hex(data) as digits from documents),
+windows as (
+  select row_no, pos, md5_number(data[pos + 1 : pos + {WIDTH}]) as print
+  from (select row_no, data, unnest(range(0, length(digits) // 2 - {WIDTH - 1})) as pos from texts)),
+twice as (
+  select print from windows group by print having count(*) > 1),
+marked as (
+  select row_no, pos, case when pos <= lag(pos) over (partition by row_no order by pos) + {WIDTH} then 0 else 1 end as new
+  from windows semi join twice using (print)),
+numbered as (
+  select row_no, pos, sum(new) over (partition by row_no order by pos) as run from marked),
+runs as (
+  select row_no, run, min(pos) as a, max(pos) + {WIDTH} as b from numbered group by all),
+pieces as (
+  select row_no, a, b, lag(b, 1, 0) over (partition by row_no order by a) as before from runs),
+rests as (
+  select row_no, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last,
+    string_agg(substring(digits, 2 * before + 1, 2 * (a - before)), '' order by a) as head
+  from pieces join texts using (row_no) group by row_no)
+select doc_id, length(digits) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+  coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(head, '') || substring(digits, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from texts left join rests using (row_no)
+"""

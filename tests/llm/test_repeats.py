@@ -1,11 +1,14 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lotwise.llm import repeats as R
 from lotwise.llm.suffixes import BlindTrie, deep_shallow
+from tests.compare import difference
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, id long, start long, place long"
@@ -87,6 +90,9 @@ def test_whole_width_with_odd_rows(spark, frame, texts):
     rows += ["r" * 210 + str(9**50)] * 3 + ["s" + str(7**300)] * 2
     ids += [7, 7, 7, None, None]
     agree(spark, rows, ids)
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(rows, pa.string())}))
+    assert difference(R.report(frame_of(spark, rows, ids)), con, R.SQL) is None
 
 
 def test_empty_table(spark, frame):
