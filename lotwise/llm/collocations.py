@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.automata import Counts, bundled, hashes, sorted_names, unbundled
+from lotwise.llm.automata import DEPTH, Counts, bundled, hashes, sorted_names, unbundled
 from lotwise.llm.words import Block, K, mix
 from lotwise.session import durable
 
@@ -69,12 +69,19 @@ def counted(langs: pa.Array, texts: pa.Array) -> Counts:
     splits = np.concatenate([[0], np.cumsum(SPLITS[data])])
     piece = splits[block.starts] + text
     tag = tag_of_text[text]
-    grams = []
-    for size in (1, 2, 3):
-        n = max(len(word) - size + 1, 0)
-        whole = np.flatnonzero(piece[:n] == piece[size - 1 :][:n])
-        grams.append(([tag[whole], *(word[whole + i] for i in range(size))], np.ones(len(whole), np.int64)))
-    return Counts.built(tags, words, grams)
+    # level by level: a node's key is its parent's number and its last word
+    at = np.arange(len(word))
+    width, state = max(len(words), 1), tag
+    none = np.zeros(len(tags), np.int64)
+    levels = [(none, np.arange(len(tags)), none)]
+    for size in range(1, DEPTH + 1):
+        last = at + size - 1
+        whole = last < len(word)
+        whole[whole] = piece[at[whole]] == piece[last[whole]]
+        at, state = at[whole], state[whole]
+        keys, state = np.unique(state * width + word[at + size - 1], return_inverse=True)
+        levels.append((*np.divmod(keys, width), np.bincount(state, minlength=len(keys))))
+    return Counts(tags, words, levels)
 
 
 def ranges_of(counts: Counts, columns: list[np.ndarray], ranges: int) -> np.ndarray:
