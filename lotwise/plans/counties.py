@@ -201,8 +201,7 @@ def standard_table(
     addresses = addresses.select(county.address_id, "point")
     counted = raw if county.units_first else df
     # a collapse by geometry as the last step leaves no two rows with one shape
-    stacked = county.units_first or not county.collapse
-    units = count_points(counted, addresses, ID, county.address_id, stacked=stacked)
+    units = count_points(counted, addresses, ID, county.address_id)
     tables = [units] + ([latest_year(cards, ID, "YRBLT")] if county.year_from_cards else [])
     return to_srid(left_join_many(df, tables, ID), OHIO_SOUTH)
 

@@ -3,13 +3,17 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import skew, spatial
+from lotwise.operators import cover, skew, spatial
 from lotwise.schema import with_srid
 from tests.shapes import LONG, STRING, closed, covers, point_table, rectangle, shape_table
 
+SHAPES = pa.list_(pa.list_(pa.list_(pa.struct({"x": pa.float64(), "y": pa.float64()}))))
+
 
 def brute(points, shapes):
     return sorted(
@@ -54,26 +58,72 @@ def many_points():
     return points + [(0.0, 0.0), (4.0, 2.0), (8.0, 4.0), (300.0, 300.0), (-300.0, 0.0)]
 
 
-@pytest.mark.parametrize("broadcast", [False, True])
-def test_pairs_equal_brute_force(spark, broadcast):
+def test_pairs_equal_brute_force(spark):
     shapes, points = mixed_shapes(), many_points()
     polygons = shape_table(spark, shapes, ("id", LONG))
-    pairs = spatial.points_in_polygons(point_table(spark, points), polygons, broadcast=broadcast)
+    pairs = spatial.points_in_polygons(point_table(spark, points), polygons)
     assert found(pairs) == brute(points, [s for _, s in shapes])
 
 
-def test_hot_cells_are_salted_and_the_result_is_whole(spark, monkeypatch):
-    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
-    original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda counts, keys: original(counts, keys, 5))
+def test_hot_places_and_hot_shapes_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "LEAST_COPIES", 10)
     shapes = [s for _, s in mixed_shapes() if s]
-    shapes = list(enumerate(shapes + [rectangle(0, 0, 4, 3 + j / 100) for j in range(40)]))
-    points = [(1.0, 1.0)] * 40 + many_points()
-    polygons = shape_table(spark, shapes, ("id", LONG))
-    pairs = spatial.points_in_polygons(point_table(spark, points), polygons)
+    shapes = list(enumerate(shapes + [rectangle(0, 0, 4, 4)] * 150))
+    points = [(1.0, 1.0)] * 400 + many_points()
+    polygons = shape_table(spark, shapes, ("id", LONG)).repartition(5)
+    table = point_table(spark, points).repartition(5)
+    unit = spatial.grid_unit(polygons, "geometry")
+    coded = table.withColumn("_code", spatial.z_order(F.col("point")["x"], F.col("point")["y"], unit))
+    dealt, cells = spatial._dealt(coded, spatial._cells(polygons, "geometry", unit))
+    keys = [spatial.BUCKET, spatial.SALT]
+    assert dealt.where("point.x = 1 and point.y = 1").select(*keys).distinct().count() > 4
+    assert cells.where("id > 100").select(spatial.SALT).distinct().count() > 4
+    pairs = spatial.points_in_polygons(table, polygons)
     assert found(pairs) == brute(points, [s for _, s in shapes])
 
 
+def test_one_row_a_point_whatever_the_sizes(spark):
+    polygons = shape_table(spark, [(i, s) for i, s in mixed_shapes() if s], ("id", LONG))
+    table = point_table(spark, many_points())
+    unit = spatial.grid_unit(polygons, "geometry")
+    coded = table.withColumn("_code", spatial.z_order(F.col("point")["x"], F.col("point")["y"], unit))
+    dealt, _ = spatial._dealt(coded, spatial._cells(polygons, "geometry", unit))
+    assert dealt.count() == table.count() == dealt.select("pid").distinct().count()
+
+
+@pytest.mark.parametrize("edges", [1, 24])
+def test_cells_of_random_shapes_decide_every_point(monkeypatch, edges):
+    """Rings that cross themselves, shared corners, points on corners, edges and borders."""
+    monkeypatch.setattr(cover, "EDGES_PER_CELL", edges)
+    rng = random.Random(5)
+    for _ in range(10):
+        shape = [
+            [closed([(rng.randrange(-8, 9), rng.randrange(-8, 9)) for _ in range(rng.randrange(3, 30))])
+             for _ in range(rng.randrange(1, 3))]
+            for _ in range(rng.randrange(1, 3))
+        ]
+        points = [(x / 2, y / 2) for x in range(-18, 19) for y in range(-18, 19)]
+        rows = [None, [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in shape]]
+        cells = cover.cover(pa.array(rows, SHAPES), 0.25)
+        x, y = np.array(points).T
+        inside = set()
+        for p, _ in cover.Covered(x, y, 0.25, cells.columns()).pairs():
+            assert not inside & set(p.tolist())
+            inside |= set(p.tolist())
+        assert inside == {i for i, q in enumerate(points) if covers(shape, q)}
+
+
+def test_most_points_of_a_region_need_no_edge(spark):
+    turn = [2 * math.pi * i / 5000 for i in range(5000)]
+    circle = closed([(60 + 40 * math.cos(t), 60 + 40 * math.sin(t)) for t in turn])
+    rows = [[[[{"x": x, "y": y} for x, y in circle]]]]
+    cells = cover.cover(pa.array(rows, SHAPES), 2.0**-12)
+    sizes = [len(e) // 32 for e in cells.edges]
+    assert max(sizes) <= cover.EDGES_PER_CELL < 5000
+    whole = sum(4**k for k, e in zip(cells.level, cells.edges, strict=True) if not e)
+    assert whole > 0.8 * sum(4**k for k in cells.level)
+
+
 def test_hot_keys_lists_and_salts(spark):
     key = F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k")
     df = spark.range(1000).select(key, F.col("id").alias("n"))
@@ -109,11 +159,8 @@ def test_join_without_hot_keys_stays_plain(spark):
 
 def test_no_polygons(spark):
     polygons = shape_table(spark, [(1, None)], ("id", LONG))
-    for broadcast in (False, True):
-        pairs = spatial.points_in_polygons(
-            point_table(spark, [(1.0, 1.0)]), polygons, broadcast=broadcast
-        )
-        assert pairs.count() == 0 and pairs.columns == ["pid", "point", "id"]
+    pairs = spatial.points_in_polygons(point_table(spark, [(1.0, 1.0)]), polygons)
+    assert pairs.count() == 0 and pairs.columns == ["pid", "point", "id"]
 
 
 def test_points_that_are_nowhere_are_ignored(spark):
@@ -142,9 +189,6 @@ def test_counts_by_key_with_stacked_shapes(spark):
     want = {"a": 6, "b": 3, "c": 0}
     got = spatial.count_points(polygons, points, "id", "lsn")
     assert {r["id"]: r["UNITS"] for r in got.collect()} == want
-    distinct = polygons.where("id in ('b', 'c')")
-    got = spatial.count_points(distinct, points, "id", "lsn", stacked=False)
-    assert {r["id"]: r["UNITS"] for r in got.collect()} == {"b": 3, "c": 0}
 
 
 def test_systems_are_aligned_or_refused(spark):
@@ -180,15 +224,6 @@ def test_no_nested_loops(spark, threshold):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_edges_are_split_among_flat_cells(spark):
-    wheel = dict(mixed_shapes())[6]
-    df = shape_table(spark, [(6, wheel)], ("id", LONG))
-    leveled = spatial._with_levels(df, "geometry")
-    celled = spatial._with_cells(leveled, "geometry", ["id"])
-    row = celled.agg(F.max(F.size("_edges")).alias("most"), F.count(F.lit(1)).alias("n")).first()
-    assert row["n"] > 1 and row["most"] < 500
-
-
 def test_many_parts_are_cut_one_by_one(spark):
     side = F.col("id") * 3.0
     ring = F.array(*[
@@ -198,8 +233,8 @@ def test_many_parts_are_cut_one_by_one(spark):
     rows = spark.range(10_000).select(F.col("id"), F.array(ring).alias("part"))
     one = rows.agg(F.sort_array(F.collect_list("part")).alias("geometry")).withColumn("k", F.lit("a"))
     shapes = one.unionByName(one)  # equal rows stay two
-    leveled = spatial._with_levels(shapes, "geometry")
-    assert spatial._with_cells(leveled, "geometry", ["k"]).count() <= 2 * 4 * 10_000
+    cells = spatial._cells(shapes, "geometry", spatial.grid_unit(shapes, "geometry"))
+    assert cells.count() <= 2 * 4 * 10_000
     points = spark.range(30_000).select(
         "id", F.struct((F.col("id") + 0.5).alias("x"), F.lit(0.5).alias("y")).alias("point")
     )
