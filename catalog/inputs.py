@@ -142,6 +142,65 @@ def lot_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_srid(df, OHIO_SOUTH)
 
 
+# Two or three rectangles a lot: the lot, its neighbour (overlapping it, beside it or apart),
+# and for every fifth lot one more inside the first.
+OVERLAPPING = """
+select row_id, piece, x0 + dx as xmin, y0 + dy as ymin, x0 + dx + width as xmax, y0 + dy + height as ymax
+from (
+  select row_id, x0, y0, 0 as piece, 0 as dx, 0 as dy, w as width, h as height from lots
+  union all
+  select row_id, x0, y0, 1, case row_id % 3 when 0 then w - 40 when 1 then w else w + 10 end, 20, 60, 50 from lots
+  union all
+  select row_id, x0, y0, 2, 10, 10, 30, 20 from lots where row_id % 5 = 0) q
+"""
+
+# Rectangles (sign -1: holes) of lots, of blocks of many sizes with a hole each, and of
+# zones of twenty parts.
+MIXED = """
+select concat('lot', cast(row_id as string)) as id, 0 as part, 1 as sign,
+  x0 as xmin, y0 as ymin, x0 + w as xmax, y0 + h as ymax from lots
+union all
+select id, 0, sign, x0 + inset, y0 + inset, x0 + side - inset, y0 + side - inset from (
+  select concat('block', cast(s_suppkey as string)) as id, sign,
+    cast(1800000 as double) + 200 * ((s_suppkey * 7) % 90) as x0,
+    cast(700000 as double) + 200 * (s_suppkey % 11) as y0,
+    100 * power(2, s_suppkey % 8) as side, case when sign > 0 then 0 else 30 end as inset
+  from supplier cross join (values (1), (-1)) as signs(sign)) b
+union all
+select concat('zone', cast(n_nationkey as string)), part, 1,
+  cast(1800000 as double) + 1000 * part + 30 * n_nationkey, cast(700000 as double),
+  cast(1800000 as double) + 1000 * part + 30 * n_nationkey + 120, cast(700000 as double) + 400 * (n_nationkey + 1)
+from nation cross join (values (0), (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15), (16), (17), (18), (19)) as parts(part)
+"""
+
+
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived(spark, sf_dir, PARCELS, "customer")
+
+
+def overlapping_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = spark.sql(OVERLAPPING.replace("from lots", "from {lots}"), lots=lots(spark, sf_dir))
+    box = _rectangle(*[F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")])
+    return with_srid(df.select("row_id", "piece", box.alias("geometry")), OHIO_SOUTH)
+
+
+def mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, geometry): lots, holed blocks up to 128 times their size, and zones of parts."""
+    tables = {t: table(spark, sf_dir, t) for t in ("supplier", "nation")} | {"lots": lots(spark, sf_dir)}
+    sql = MIXED
+    for t in tables:
+        sql = sql.replace(f"from {t}", f"from {{{t}}}")
+    df = spark.sql(sql, **tables)
+    rings = F.transform(
+        F.sort_array(F.collect_list(F.struct("part", -F.col("sign"), "box"))), lambda r: r["box"]
+    )
+    boxed = df.withColumn("box", _rectangle(*[F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")])[0][0])
+    grouped = boxed.groupBy("id").agg(rings.alias("rings"), F.min("sign").alias("least"))
+    # a hole stands in its outer ring's part, other rings are parts of their own
+    shape = F.when(F.col("least") < 0, F.array("rings")).otherwise(F.transform("rings", lambda r: F.array(r)))
+    return with_srid(grouped.select("id", shape.alias("geometry")), OHIO_SOUTH)
+
+
 def turned_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, turn, geometry): each lot's ring as it is, and the other way round from
     another corner."""

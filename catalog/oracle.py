@@ -407,6 +407,12 @@ def _morrow() -> str:
 ORACLE: dict[str, str] = {
     "units_per_parcel": with_tables()
     + "select row_id, n as units from lots join shape_units using (g)",
+    "units_mixed_shapes": with_tables(
+        f"mixed as ({I.MIXED})",
+        """inside as (select m.id, a.addr_id, a.lsn, sum(m.sign) as s from mixed m join fx_addr a
+          on a.x >= m.xmin and a.x <= m.xmax and a.y >= m.ymin and a.y <= m.ymax group by all)""",
+    )
+    + "select id, count(lsn) as units from inside where s > 0 group by id",
     "address_parcel_pairs": with_tables()
     + "select row_id, addr_id, lsn from lots join hits using (g)",
     "units_across_systems": with_tables(
@@ -507,6 +513,14 @@ ORACLE: dict[str, str] = {
     + """select row_id, round(cast(w * h as double), 2) as area, 1 as parts from lots""",
     "dissolve_repeats": with_tables()
     + """select row_id, round(area, 2) as area, 1 as parts from lots""",
+    # the second piece lies 40 x 50 ft over the lot, beside it, or 10 ft off; the third inside
+    "dissolve_overlaps": with_tables()
+    + """select row_id, round(cast(w * h as double) + case row_id % 3 when 0 then 1000 else 3000 end, 2) as area,
+      case row_id % 3 when 2 then 2 else 1 end as parts, row_id % 3 = 0 or row_id % 5 = 0 as overlaps from lots""",
+    "covered_area": with_tables()
+    + """select row_id, round(cast(w * h as double) + case row_id % 3 when 0 then 1000 else 3000 end, 2) as area,
+      round(cast(w * h as double) + 3000 + case row_id % 5 when 0 then 600 else 0 end, 2) as summed,
+      row_id % 3 = 0 or row_id % 5 = 0 as overlaps from lots""",
     "dissolve_many_parts": with_tables(
         f"""one as (select g, {firsts("county")} as county from lots group by g),
         county_units as (select county, cast(sum(n) as bigint) as units

@@ -27,6 +27,7 @@ from lotwise.functions.projection import (
 from lotwise.operators import cards as C
 from lotwise.operators import collapse as D
 from lotwise.operators import dissolve as M
+from lotwise.operators import overlay
 from lotwise.operators import joins as J
 from lotwise.operators import profile, spatial
 from lotwise.plans import counties, jobs, region, summary
@@ -65,6 +66,12 @@ def units_per_parcel(spark, sf_dir):
     )
 
 
+def units_mixed_shapes(spark, sf_dir):
+    """Lots, holed blocks of many sizes and zones of twenty parts, in one join."""
+    shapes = I.mixed_shapes(spark, sf_dir)
+    return spatial.count_points(shapes, I.addresses(spark, sf_dir), "id", "lsn", "units")
+
+
 def address_parcel_pairs(spark, sf_dir):
     parcels = I.parcels(spark, sf_dir).select("row_id", "geometry")
     pairs = spatial.points_in_polygons(I.addresses(spark, sf_dir), parcels)
@@ -358,6 +365,22 @@ def dissolve_repeats(spark, sf_dir):
     )
 
 
+def dissolve_overlaps(spark, sf_dir):
+    """Lots whose pieces overlap, touch or lie apart: union area, parts and flag."""
+    merged = overlay.dissolve_exact(I.overlapping_lots(spark, sf_dir), "row_id")
+    return merged.select(
+        "row_id", F.round(G.area("geometry"), 2).alias("area"), F.size("geometry").alias("parts"), "overlaps"
+    )
+
+
+def covered_area(spark, sf_dir):
+    """The same area without tracing rings, against what the pieces sum up to."""
+    lots = I.overlapping_lots(spark, sf_dir)
+    sums = lots.groupBy("row_id").agg(F.round(F.sum(G.area("geometry")), 2).alias("summed"))
+    covered = overlay.covered_area(lots, "row_id").withColumn("area", F.round("area", 2))
+    return covered.join(sums, "row_id")
+
+
 def dissolve_many_parts(spark, sf_dir):
     """All lots of a county as one shape of many parts, and the addresses in it."""
     lots = D.collapse(
@@ -818,6 +841,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         units_per_parcel,
+        units_mixed_shapes,
         address_parcel_pairs,
         units_across_systems,
         units_left_join,
@@ -849,6 +873,8 @@ QUERIES: dict[str, Query] = {
         dissolve_parcels,
         dissolve_tjunctions,
         dissolve_repeats,
+        dissolve_overlaps,
+        covered_area,
         dissolve_many_parts,
         region_union,
         region_table,

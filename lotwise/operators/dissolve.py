@@ -7,7 +7,7 @@ join per round. Keys of a single shape skip all that.
 
 Exact where shapes of one key meet along their edges or do not touch. Overlapping
 shapes keep their edges, as separate rings: containment still holds by any ring,
-but area counts the overlap twice. Drop copies of a shape under other ids first
+but area counts the overlap twice; ``overlay`` finds and unites them. Drop copies of a shape under other ids first
 (``collapse``); copies within one key are dropped here,
 wherever their rings start and whichever way they turn.
 """
