@@ -1,27 +1,29 @@
 """Paged feature services: metadata, page plan, page scan, feature decoding.
 
-The scan is a Spark data source with one input partition per page, so pages are
-fetched in parallel and a lost page is fetched again. What fetches is a small class;
-the one built here reads replies landed in a folder that all executors see:
+Replies lie in a folder of any store that Spark reads:
 
     <root>/count/*           reply to the count request
     <root>/meta/*            service description
     <root>/pages/offset=<n>/*  the page that starts at record n
 
-Pages are decoded in the JVM (``from_json``), not in the fetching Python worker.
+``offset`` is a partition column of the scan, so a filter on it skips pages unread, and
+Spark packs many small pages into a task. Before the scan the landed pages are held
+against the page plan by their names alone; in it the features of each page are counted
+against what the plan says, so a page that is missing, landed twice or short fails the
+job. Pages are decoded in the JVM (``from_json``), of each feature only the wanted fields.
+
+A live service is scanned by ``fetched_pages``: the page plan, dealt out, and a function
+that fetches one page.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lotwise.functions import geometry as G
 from lotwise.functions.values import first_digits
@@ -63,96 +65,79 @@ def service_metadata(reply: Column | str) -> Column:
 # --- page scan ----------------------------------------------------------------
 
 
-class LandedReplies:
-    """Reads replies that were landed as files."""
-
-    def __init__(self, root: str):
-        self.root = root.removeprefix("file:")
-
-    def _text(self, *folders: str) -> str:
-        folder = os.path.join(self.root, *folders)
-        names = sorted(n for n in os.listdir(folder) if not n.startswith((".", "_")))
-        texts = []
-        for name in names:
-            with open(os.path.join(folder, name), encoding="utf-8") as f:
-                texts.append(f.read())
-        return "".join(texts)
-
-    def count(self) -> str:
-        return self._text("count")
-
-    def meta(self) -> str:
-        return self._text("meta")
+def reply(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(reply): the landed reply to one request, one row for each of its files."""
+    return spark.read.option("wholetext", True).text(f"{root}/{name}").withColumnRenamed("value", "reply")
 
-    def page(self, offset: int) -> str:
-        return self._text("pages", f"offset={offset}")
 
+class Service:
+    """What the service said of itself: three values, read on the driver."""
 
-class Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
-
-
-class FeaturePagesReader(DataSourceReader):
-    def __init__(self, replies: LandedReplies, page_size: int | None, columns: list[str]):
-        self.replies = replies
-        self.columns = columns
-        meta = json.loads(replies.meta())
-        self.page_size = page_size or int(meta["maxRecordCount"])
-        if columns:
-            require_columns([f["name"] for f in meta["fields"]], columns)
-
-    def partitions(self) -> list[Page]:
-        digits = re.search("[0-9]+", self.replies.count())
-        if digits is None:
+    def __init__(self, spark: SparkSession, root: str):
+        counted = reply(spark, root, "count").select(record_count("reply").cast("bigint")).first()
+        if counted is None or counted[0] is None:
             raise ValueError("the count reply holds no number")
-        return [Page(o) for o in range(0, int(digits.group()), self.page_size)]
-
-    def read(self, partition: Page | None) -> Iterator[tuple[int, str]]:
-        # a service without records has no pages; Spark then reads once without one
-        if partition is not None:
-            yield partition.offset, self.replies.page(partition.offset)
+        said = reply(spark, root, "meta").select(service_metadata("reply").alias("m")).first()["m"]
+        self.count, self.page_size, self.srid, self.fields = counted[0], *said
 
 
-class FeaturePages(DataSource):
-    """``spark.read.format("feature_pages").option("root", ...)``: one row per page.
-
-    Options: ``page_size`` (default: what the service says), ``columns`` (comma
-    separated, each must be a field of the service).
-    """
-
-    replies = LandedReplies
+def page_plan(spark: SparkSession, count: int, page_size: int) -> DataFrame:
+    """(offset, expected): every page and the number of features it must hold."""
+    offset = F.col("id") * page_size
+    return spark.range(-(-count // page_size)).select(
+        offset.alias("offset"), F.least(F.lit(page_size), F.lit(count) - offset).alias("expected")
+    )
 
-    @classmethod
-    def name(cls) -> str:
-        return "feature_pages"
 
-    def schema(self) -> str:
-        return "offset bigint, body string"
+def reconcile(plan: DataFrame, spark: SparkSession, root: str) -> None:
+    """Raise if a planned page has not landed just once, or one landed that is not planned.
 
-    def reader(self, schema: T.StructType) -> FeaturePagesReader:
-        size = self.options.get("page_size")
-        names = [c for c in self.options.get("columns", "").split(",") if c]
-        return FeaturePagesReader(
-            self.replies(self.options["root"]), int(size) if size else None, names
+    The files are listed, not read.
+    """
+    landed = spark.read.format("binaryFile").load(f"{root}/pages").select(F.col("offset").cast("bigint").alias("offset"))
+    times = landed.groupBy("offset").agg(F.count(F.lit(1)).alias("times"))
+    wrong = plan.withColumn("planned", F.lit(1)).join(times, "offset", "full").where(
+        F.col("planned").isNull() | F.col("times").isNull() | (F.col("times") > 1)
+    )
+    found = wrong.orderBy("offset").limit(5).collect()
+    if found:
+        said = "; ".join(
+            f"offset {r['offset']}: {'not planned' if r['planned'] is None else f'landed {r["times"] or 0} times'}" for r in found
         )
+        raise ValueError(f"landed pages do not agree with the page plan: {said}")
 
 
 def read_pages(
     spark: SparkSession, root: str, columns: list[str] = (), page_size: int | None = None
 ) -> DataFrame:
-    spark.dataSource.register(FeaturePages)
-    reader = spark.read.format("feature_pages").option("root", root)
-    if page_size:
-        reader = reader.option("page_size", str(page_size))
+    """(offset, body, expected): the landed pages. ``columns`` must be fields of the
+    service; ``page_size`` is what the service says unless given."""
+    service = Service(spark, root)
     if columns:
-        reader = reader.option("columns", ",".join(columns))
-    return reader.load()
+        require_columns(list(service.fields), list(columns))
+    size = page_size or service.page_size
+    plan = page_plan(spark, service.count, size)
+    if not service.count:
+        return plan.select("offset", F.lit(None).cast("string").alias("body"), "expected")
+    reconcile(plan, spark, root)
+    pages = spark.read.option("wholetext", True).text(f"{root}/pages")
+    offset = F.col("offset").cast("bigint")
+    expected = F.least(F.lit(size).cast("bigint"), F.lit(service.count) - offset)
+    return pages.select(offset.alias("offset"), F.col("value").alias("body"), expected.alias("expected"))
+
 
+def fetched_pages(plan: DataFrame, fetch: Callable[[int, int], str], tasks: int) -> DataFrame:
+    """(offset, body, expected): pages of a live service. ``fetch(offset, expected)`` runs in
+    ``tasks`` tasks, page by page; a lost task fetches its pages again."""
 
-def service_srid(root: str) -> int:
-    """Reference system the service declares."""
-    return int(json.loads(LandedReplies(root).meta())["extent"]["spatialReference"]["latestWkid"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for offset, expected in zip(batch.offset, batch.expected, strict=True):
+                body = fetch(int(offset), int(expected))
+                yield pd.DataFrame({"offset": [offset], "body": [body], "expected": [expected]})
+
+    dealt = plan.repartitionByRange(tasks, "offset")
+    return dealt.mapInPandas(run, "offset bigint, body string, expected bigint")
 
 
 # --- decoding -------------------------------------------------------------------
@@ -164,6 +149,11 @@ def _inline(pages: DataFrame, body: str, member: str, members: str, geometry: st
     features = F.from_json(F.col(body), schema, {"mode": "FAILFAST"})["features"]
     missing = F.raise_error(F.concat(F.lit("page without features: "), F.substring(F.col(body), 1, 200)))
     features = F.coalesce(features, F.when(F.col(body).isNotNull(), missing))
+    if "expected" in pages.columns:
+        short = F.concat_ws(
+            " ", F.lit("page at offset"), "offset", F.lit("holds"), F.size(features), F.lit("features, not"), "expected"
+        )
+        features = F.when(F.size(features) == F.col("expected"), features).otherwise(F.raise_error(short))
     return pages.select(F.inline(features)).select(f"{member}.*", F.col("geometry").alias("_g"))
 
 
@@ -232,10 +222,14 @@ def read_service(
 
     ``srid``: ``"from_service"``, a number, or None to leave it undeclared.
     """
+    if columns:  # what is not wanted is not decoded
+        known = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(fields)}
+        require_columns(list(known), list(columns))
+        fields = ",".join(f"`{c}`:{known[c]}" for c in columns)
     df = geojson_features(read_pages(spark, root, columns, page_size), fields, kind)
     if columns:
         df = df.select(*columns, df.columns[-1])
     if srid is None:
         return df
-    code = service_srid(root) if srid == "from_service" else int(srid)
+    code = Service(spark, root).srid if srid == "from_service" else int(srid)
     return with_srid(df, code, df.columns[-1])

@@ -188,7 +188,9 @@ def test_service_scan(spark, tmp_path):
     root = landed(tmp_path / "svc", features, 3)
     pages = service.read_pages(spark, root)
     assert sorted(r["offset"] for r in pages.collect()) == [0, 3, 6]
-    assert pages.rdd.getNumPartitions() == 3
+    assert pages.where("offset >= 3").count() == 2
+    plan = pages.where("offset >= 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "offset" in plan.split("PartitionFilters: [")[1].split("]")[0]
     df = service.read_service(spark, root, "LSN:bigint,NAME:string", kind="point", columns=["LSN"])
     assert df.columns == ["LSN", "point"] and srid_of(df, "point") == 4269
     assert sorted((r["LSN"], r["point"]["y"]) for r in df.collect()) == [
@@ -198,6 +200,61 @@ def test_service_scan(spark, tmp_path):
         service.read_service(spark, root, "NOPE:string", columns=["NOPE"]).collect()
 
 
+def point_features(n):
+    return [
+        {"properties": {"LSN": i, "NAME": f"n{i}"}, "geometry": {"type": "Point", "coordinates": [float(i), 0.0]}}
+        for i in range(n)
+    ]
+
+
+def test_small_pages_share_a_task(spark, tmp_path):
+    root = landed(tmp_path / "svc", point_features(60), 1)
+    assert service.read_pages(spark, root).rdd.getNumPartitions() <= 20
+
+
+def test_only_wanted_fields_are_decoded(spark, tmp_path):
+    root = landed(tmp_path / "svc", point_features(7), 3)
+    df = service.read_service(spark, root, "LSN:bigint,NAME:string", kind="point", columns=["LSN"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "NAME" not in plan
+    assert sorted(r["LSN"] for r in df.collect()) == list(range(7))
+
+
+def test_pages_that_do_not_add_up_fail(spark, tmp_path):
+    features = point_features(7)
+    short = landed(tmp_path / "short", features, 3)
+    (tmp_path / "short/pages/offset=3/reply.json").write_text(json.dumps({"features": features[3:5]}))
+    with pytest.raises(PySparkException, match="page at offset 3 holds 2 features, not 3"):
+        service.read_service(spark, short, "LSN:bigint", kind="point").collect()
+    twice = landed(tmp_path / "twice", features, 3)
+    (tmp_path / "twice/pages/offset=3/again.json").write_text(json.dumps({"features": features[3:6]}))
+    with pytest.raises(ValueError, match="offset 3: landed 2 times"):
+        service.read_pages(spark, twice)
+    missing = landed(tmp_path / "missing", features, 3)
+    (tmp_path / "missing/pages/offset=6/reply.json").rename(tmp_path / "missing/pages/offset=6/_gone")
+    with pytest.raises(ValueError, match="offset 6: landed 0 times"):
+        service.read_pages(spark, missing)
+    more = landed(tmp_path / "more", features, 3)
+    (tmp_path / "more/count/reply.json").write_text('{"count": 6}')
+    with pytest.raises(ValueError, match="offset 6: not planned"):
+        service.read_pages(spark, more)
+    (tmp_path / "more/count/reply.json").write_text("none")
+    with pytest.raises(ValueError, match="no number"):
+        service.read_pages(spark, more)
+
+
+def test_live_pages_are_fetched_in_tasks(spark):
+    def fetch(offset, n):
+        made = [{"properties": {"LSN": i}, "geometry": None} for i in range(offset, offset + n)]
+        return json.dumps({"features": made})
+
+    plan = service.page_plan(spark, 95, 10)
+    pages = service.fetched_pages(plan, fetch, tasks=3)
+    assert pages.rdd.getNumPartitions() == 3
+    rows = service.geojson_features(pages, "LSN:bigint", kind="point").collect()
+    assert sorted(r["LSN"] for r in rows) == list(range(95))
+
+
 def test_empty_service(spark, tmp_path):
     root = landed(tmp_path / "svc", [], 3)
     assert service.read_pages(spark, root).count() == 0
