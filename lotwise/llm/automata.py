@@ -205,8 +205,12 @@ class Counts:
 
 
 def name_arrays(values: pa.Array) -> list[np.ndarray]:
-    lengths = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
-    return [lengths, np.frombuffer(b"".join(values.to_pylist()), np.uint8)]
+    if not len(values):
+        return [np.zeros(0, np.int64), np.zeros(0, np.uint8)]
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int64)[values.offset : values.offset + len(values) + 1]
+    own = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+    return [np.diff(ends), own]
 
 
 def array_names(lengths: np.ndarray, data: np.ndarray) -> pa.Array:
