@@ -607,6 +607,8 @@ ORACLE: dict[str, str] = {
       group by kind, parcel_id, card, yrblt, yreff""",
     "geojson_roundtrip": with_tables()
     + f"select row_id, parcelid, class, {measures()} from lots",
+    "geojson_collection": with_tables()
+    + f"select row_id, parcelid, class, {measures()} from lots",
     "table_write_append": with_tables()
     + """select row_id, parcelid, county, cast(1 as bigint) as n from lots
       where county in ('franklin', 'union')

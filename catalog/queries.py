@@ -33,7 +33,7 @@ from lotwise.operators import profile, spatial
 from lotwise.plans import counties, jobs, region, summary
 from lotwise.schema import srid_of, to_parcel_schema, with_srid
 from lotwise.session import durable, new_folder
-from lotwise.sources import archives, geojson, listing, service, sinks, tables
+from lotwise.sources import archives, collection, geojson, listing, service, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -745,6 +745,23 @@ def geojson_roundtrip(spark, sf_dir):
     return measured(back)
 
 
+def geojson_collection(spark, sf_dir):
+    """Parcels written as one FeatureCollection file and read in several tasks, at blocks
+    of 64 KB; the reference system comes back with them."""
+    parcels = I.parcels(spark, sf_dir).select("row_id", "parcelid", "class", "geometry")
+    path = new_folder(spark, "collection")
+    collection.write_collection(parcels.coalesce(1), path)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        back = collection.read_collection(spark, path, "row_id:bigint,parcelid:string,class:string")
+        rows = durable(back, "features")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert srid_of(back) == OHIO_SOUTH
+    return measured(rows)
+
+
 def table_write_append(spark, sf_dir):
     """Raw copy, county folders written twice (same result), rows appended once more."""
     lots = I.parcels(spark, sf_dir).withColumnRenamed("county", "COUNTY")
@@ -755,6 +772,10 @@ def table_write_append(spark, sf_dir):
     sinks.write_counties(raw.where(F.col("COUNTY") == "union"), f"{root}/counties")
     sinks.append_rows(raw.select("row_id", "parcelid"), f"{root}/points")
     sinks.append_rows(raw.select("row_id", "parcelid"), f"{root}/points")
+    for _ in range(2):  # the second time nothing is added
+        sinks.append_rows(raw.select("row_id"), f"{root}/batches", batch="2024-01")
+    sinks.append_rows(raw.select("row_id").limit(0), f"{root}/batches", batch="2024-02")
+    assert spark.read.parquet(f"{root}/batches").count() == raw.count()
     some = tables.read_counties(spark, f"{root}/counties", ["franklin", "union"])
     twice = spark.read.parquet(f"{root}/points")
     return (
@@ -896,6 +917,7 @@ QUERIES: dict[str, Query] = {
         archive_entries,
         text_tables,
         geojson_roundtrip,
+        geojson_collection,
         table_write_append,
         county_madison,
         county_knox,
