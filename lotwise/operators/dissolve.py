@@ -14,7 +14,9 @@ wherever their rings start and whichever way they turn.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions import geometry as G
@@ -157,42 +159,53 @@ def _successors(edges: DataFrame, key: str) -> DataFrame:
     return ins.join(outs, [*vertex, "rank"]).select("id", "next")
 
 
+def _doubled(state: DataFrame, r: int) -> DataFrame:
+    """One round: each edge's window of 2^r edges is joined by the one that follows it.
+    ``same``: both have the same lowest edge."""
+    ahead = state.select(
+        F.col("id").alias("next"),
+        F.col("next").alias("_next"),
+        F.col("low").alias("_low"),
+        F.col("off").alias("_off"),
+    )
+    nearer = F.col("low") <= F.col("_low")
+    return state.join(ahead, "next").select(
+        "id",
+        F.col("_next").alias("next"),
+        F.least("low", "_low").alias("low"),
+        F.when(nearer, F.col("off")).otherwise(F.col("_off") + 2**r).alias("off"),
+        (F.col("low") == F.col("_low")).alias("same"),
+    )
+
+
 def trace_rings(edges: DataFrame, key: str) -> DataFrame:
     """One row per closed ring (key, ring) from directed border edges.
 
     Pointer doubling: after round r every edge knows the lowest edge among the next
     2^r of its ring and how far away it is. The lowest edge of the whole ring names
-    the ring, the distance orders its points. Rounds grow with the logarithm of the
-    longest ring. Each round is written to the shared folder, so a lost executor
-    costs no more than that round.
+    the ring, the distance orders its points. Where two windows that follow each other
+    have the same lowest edge, they reach around the ring, so all its edges know that
+    name: the ring is closed and leaves, and later rounds see open rings alone. Rounds
+    grow with the logarithm of the longest ring. Each is written to the shared folder, so
+    a lost executor costs no more than that round.
     """
+    columns = ["id", "next", "low", "off"]
     state = durable(
         _successors(edges, key).select(
             "id", "next", F.col("id").alias("low"), F.lit(0).cast("bigint").alias("off")
         ),
         "rings",
     )
+    closed = []
     for r in range(MAX_ROUNDS):
-        ahead = state.select(
-            F.col("id").alias("next"),
-            F.col("next").alias("_next"),
-            F.col("low").alias("_low"),
-            F.col("off").alias("_off"),
-        )
-        nearer = F.col("low") <= F.col("_low")
-        state = durable(
-            state.join(ahead, "next").select(
-                "id",
-                F.col("_next").alias("next"),
-                F.least("low", "_low").alias("low"),
-                F.when(nearer, F.col("off")).otherwise(F.col("_off") + 2**r).alias("off"),
-                (F.col("low") != F.col("_low")).alias("moved"),
-            ),
-            "rings",
-        )
-        settled = state.where("moved").isEmpty()
-        state = state.drop("moved")
-        if settled:
+        # edges of one name so far are part of one ring
+        of_name = F.max("same").over(Window.partitionBy("low"))
+        seen = Observation()
+        doubled = _doubled(state, r).select(*columns, of_name.alias("closed"))
+        state = durable(doubled.observe(seen, F.count_if(~F.col("closed")).alias("open")), "rings")
+        closed.append(state.where("closed").drop("closed"))
+        state = state.where("not closed").drop("closed")
+        if not seen.get["open"]:
             break
     else:
         raise RuntimeError(f"rings not closed after {MAX_ROUNDS} rounds")
@@ -201,8 +214,9 @@ def trace_rings(edges: DataFrame, key: str) -> DataFrame:
     order = F.when(F.col("off") == 0, F.lit(-(2**62))).otherwise(-F.col("off"))
     start = F.struct(order.alias("o"), F.col("id.ax").alias("x"), F.col("id.ay").alias("y"))
     points = F.transform(F.sort_array(F.collect_list(start)), lambda s: F.struct(s["x"], s["y"]))
+    whole = reduce(DataFrame.unionByName, closed)
     return (
-        state.groupBy("low")
+        whole.groupBy("low")
         .agg(points.alias("open"))
         .select(
             F.col("low.k").alias(key),

@@ -8,6 +8,7 @@ from lotwise.functions import geometry as G
 from lotwise.operators import dissolve as M
 from lotwise.operators import skew
 from lotwise.schema import with_srid
+from lotwise.session import durable
 from tests.shapes import LONG, STRING, closed, covers, rectangle, ring_area, shape_table
 
 
@@ -154,3 +155,24 @@ def test_copies_with_other_starts(spark):
     rows = [(1, "k", None, [[ring]]), (2, "k", None, [[turned]]), (3, "k", None, [[ring[::-1]]])]
     row = M.dissolve(table(spark, rows), "k").select(G.area("geometry"), F.size("geometry")).first()
     assert tuple(row) == (10_000.0, 1)
+
+
+def test_closed_rings_leave(spark, monkeypatch):
+    """Each round writes fewer edges: small rings do not wait for the long one."""
+    from lotwise.operators import dissolve as module
+
+    written = []
+
+    def recording(df, label="table"):
+        out = durable(df, label)
+        written.append(out.count())
+        return out
+
+    corners = [(float(i), 0.0) for i in range(100)] + [(99.0, 5.0), (0.0, 5.0)]
+    rows = [("a", [[closed(corners)]])] + [(f"s{i}", rectangle(0, 0, 1, 1)) for i in range(30)]
+    df = shape_table(spark, rows, ("k", STRING))
+    edges = durable(module.border_edges(df, "k"), "edges")
+    monkeypatch.setattr(module, "durable", recording)
+    rings = module.trace_rings(edges, "k")
+    assert rings.count() == 31
+    assert written[0] == 30 * 4 + 102 and written[-1] == 102 and sorted(written, reverse=True) == written
