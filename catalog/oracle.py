@@ -10,7 +10,6 @@ import math
 
 from catalog import inputs as I
 from catalog.queries import LINK, YEARS
-from lotwise.functions import projection as P
 from lotwise.plans.counties import FRANKLIN
 
 # A lot's trapezoid: t is the length of its top edge.
@@ -99,40 +98,50 @@ def _num(v: float) -> str:
     return f"cast('{v!r}' as double)"
 
 
+# Fixed values, nothing shared with the code that is tested. GRS80 (a = 6378137 m,
+# 1/f = 298.257222101), the US survey foot, and the cone constants of EPSG 3735 (parallels
+# 38 44' and 40 02', origin 38 N 82.5 W, easting 600000 m) and EPSG 5070 (29.5, 45.5, 23 N
+# 96 W), worked out from these parameters in extended precision; and the series from the
+# conformal to the geodetic latitude (Snyder 3-5).
+AXIS, ECCENTRICITY, ECCENTRICITY_2 = 6378137.0, 0.08181919104281579, 0.006694380022900787
+FOOT = 0.3048006096012192
+SOUTH_N, SOUTH_AF, SOUTH_RHO0, SOUTH_EASTING, SOUTH_LON0 = (
+    0.6345195367883056, 12478096.253413424, 7932869.037382869, 600000.0, -82.5,
+)
+ALBERS_N, ALBERS_C, ALBERS_RHO0, ALBERS_LON0 = 0.60290276906576, 1.3491820315609702, 9928937.004248783, -96.0
+CONFORMAL = (0.0033565514853511422, 6.571872775293961e-06, 1.7645643646781633e-08, 5.3284785490533954e-11)
+
+
 def project_ctes(corners: str) -> str:
     """From (row_id, corner, x, y) in Ohio South feet: degrees, and back to both planes."""
-    south, albers = P.SYSTEMS[P.OHIO_SOUTH], P.SYSTEMS[P.EQUAL_AREA]
-    k, a = P.conic_constants(south), P.conic_constants(albers)
-    e = _num(P.E1)
-    e2 = _num(P.E2)
-    series = " + ".join(
-        f"{_num(c)} * sin({2 * i} * chi)" for i, c in enumerate(P.CONFORMAL_SERIES, 1)
-    )
+    e = _num(ECCENTRICITY)
+    e2 = _num(ECCENTRICITY_2)
+    series = " + ".join(f"{_num(c)} * sin({2 * i} * chi)" for i, c in enumerate(CONFORMAL, 1))
     rate = f"((1 - {e} * sin(phi)) / (1 + {e} * sin(phi)))"
     q = f"((1 - {e2}) * (sin(phi) / (1 - {e2} * sin(phi) * sin(phi)) - ln({rate}) / (2 * {e})))"
     return f"""
-offsets as (select row_id, corner, x * {_num(P.US_FOOT)} - {_num(south.easting)} as dx,
-  {_num(k.rho0)} - y * {_num(P.US_FOOT)} as dy from {corners}),
+offsets as (select row_id, corner, x * {_num(FOOT)} - {_num(SOUTH_EASTING)} as dx,
+  {_num(SOUTH_RHO0)} - y * {_num(FOOT)} as dy from {corners}),
 chis as (select row_id, corner,
-  {_num(math.pi / 2)} - 2 * atan(pow(sqrt(dx * dx + dy * dy) / {_num(P.SEMI_MAJOR * k.scale)},
-    {_num(1.0 / k.n)})) as chi,
-  degrees(atan2(dx, dy) / {_num(k.n)}) + {_num(south.lon0)} as lon from offsets),
+  {_num(math.pi / 2)} - 2 * atan(pow(sqrt(dx * dx + dy * dy) / {_num(SOUTH_AF)},
+    {_num(1.0 / SOUTH_N)})) as chi,
+  degrees(atan2(dx, dy) / {_num(SOUTH_N)}) + {_num(SOUTH_LON0)} as lon from offsets),
 series as (select row_id, corner, lon, chi, sin(chi + {series}) as s from chis),
 latitudes as (select row_id, corner, lon,
   degrees(2 * atan(tan({_num(math.pi / 4)} + chi / 2)
-    * pow((1 + {e} * s) / (1 - {e} * s), {_num(P.E1 / 2)})) - {_num(math.pi / 2)}) as lat
+    * pow((1 + {e} * s) / (1 - {e} * s), {_num(ECCENTRICITY / 2)})) - {_num(math.pi / 2)}) as lat
   from series),
 radian as (select row_id, corner, lon, lat, radians(lat) as phi from latitudes),
 polar as (select row_id, corner, lon, lat,
-  {_num(P.SEMI_MAJOR * k.scale)} * pow(tan({_num(math.pi / 4)} - phi / 2)
-    / pow({rate}, {_num(P.E1 / 2)}), {_num(k.n)}) as rho_s,
-  {_num(k.n)} * (radians(lon) - {_num(math.radians(south.lon0))}) as theta_s,
-  {_num(P.SEMI_MAJOR)} * sqrt({_num(a.scale)} - {_num(a.n)} * {q}) / {_num(a.n)} as rho_a,
-  {_num(a.n)} * (radians(lon) - {_num(math.radians(albers.lon0))}) as theta_a from radian),
+  {_num(SOUTH_AF)} * pow(tan({_num(math.pi / 4)} - phi / 2)
+    / pow({rate}, {_num(ECCENTRICITY / 2)}), {_num(SOUTH_N)}) as rho_s,
+  {_num(SOUTH_N)} * (radians(lon) - {_num(math.radians(SOUTH_LON0))}) as theta_s,
+  {_num(AXIS)} * sqrt({_num(ALBERS_C)} - {_num(ALBERS_N)} * {q}) / {_num(ALBERS_N)} as rho_a,
+  {_num(ALBERS_N)} * (radians(lon) - {_num(math.radians(ALBERS_LON0))}) as theta_a from radian),
 planes as (select row_id, corner, lon, lat,
-  ({_num(south.easting)} + rho_s * sin(theta_s)) / {_num(P.US_FOOT)} as x_back,
-  ({_num(k.rho0)} - rho_s * cos(theta_s)) / {_num(P.US_FOOT)} as y_back,
-  rho_a * sin(theta_a) as x_metres, {_num(a.rho0)} - rho_a * cos(theta_a) as y_metres from polar)"""
+  ({_num(SOUTH_EASTING)} + rho_s * sin(theta_s)) / {_num(FOOT)} as x_back,
+  ({_num(SOUTH_RHO0)} - rho_s * cos(theta_s)) / {_num(FOOT)} as y_back,
+  rho_a * sin(theta_a) as x_metres, {_num(ALBERS_RHO0)} - rho_a * cos(theta_a) as y_metres from polar)"""
 
 
 CORNERS = """corners as (
