@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotwise.schema import require_columns
+from lotwise.sources import delimited
 
 # Cell texts that stand for a missing value in text tables.
 MISSING_WORDS = (
@@ -45,13 +46,14 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited text with a header, every column as text. Missing words become null.
 
-    A quoted cell may hold line breaks, so a file is read by one task; pass
-    ``line_breaks=False`` for files known to have none, which Spark then splits. Files
-    of another header than the first are an error, not read by position.
+    A quoted cell may hold line breaks: one more pass over the files finds where each
+    split stands. Pass ``line_breaks=False`` for files known to have none, to spare it.
+    Files of another header than the first are an error, not read by position.
     """
-    raw = spark.read.csv(
-        path, sep=sep, header=True, escape='"', multiLine=line_breaks, enforceSchema=False
-    )
+    if line_breaks:
+        raw = delimited.read(spark, path, sep)
+    else:
+        raw = spark.read.csv(path, sep=sep, header=True, escape='"', enforceSchema=False)
     df = pick(raw, columns)
     return df.select(*[known(c) for c in df.columns])
 
