@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 from catalog import inputs as I
-from catalog.queries import LINK, YEARS
+from catalog.queries import LINK, WINDOW, YEARS
 from lotwise.plans.counties import FRANKLIN
 
 # A lot's trapezoid: t is the length of its top edge.
@@ -618,6 +618,12 @@ ORACLE: dict[str, str] = {
     + f"select row_id, parcelid, class, {measures()} from lots",
     "geojson_collection": with_tables()
     + f"select row_id, parcelid, class, {measures()} from lots",
+    "quoted_line_breaks": """select cast(doc_id as varchar) as doc_id, lang, md5(text) as text_md5,
+      cast(length(text) as integer) as n_chars
+      from (select doc_id, nullif(lang, '') as lang, nullif(text, '') as text from documents) q""",
+    "layer_window": with_tables()
+    + f"""select row_id, class, {measures()} from lots where x0 <= {WINDOW[2]} and x0 + w >= {WINDOW[0]}
+      and y0 <= {WINDOW[3]} and y0 + h >= {WINDOW[1]}""",
     "table_write_append": with_tables()
     + """select row_id, parcelid, county, cast(1 as bigint) as n from lots
       where county in ('franklin', 'union')

@@ -33,7 +33,7 @@ from lotwise.operators import profile, spatial
 from lotwise.plans import counties, jobs, region, summary
 from lotwise.schema import srid_of, to_parcel_schema, with_srid
 from lotwise.session import durable, new_folder
-from lotwise.sources import archives, collection, geojson, listing, service, sinks, tables
+from lotwise.sources import archives, collection, geojson, layers, listing, service, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -762,6 +762,36 @@ def geojson_collection(spark, sf_dir):
     return measured(rows)
 
 
+def quoted_line_breaks(spark, sf_dir):
+    """Whole texts, line breaks and all, written as one comma file with quotes and read in
+    several tasks, at blocks of 64 KB."""
+    texts = I.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path = new_folder(spark, "quoted")
+    texts.coalesce(1).write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = durable(tables.read_delimited(spark, path), "quoted")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    return rows.select("doc_id", "lang", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
+
+
+# Corners of the window that is read, in feet.
+WINDOW = (1804000.0, 700250.0, 1809090.0, 702000.0)
+
+
+def layer_window(spark, sf_dir):
+    """Parcels written as a layer in Z-order, and those whose bounds meet a window."""
+    path = new_folder(spark, "layer")
+    layers.write_layer(I.parcels(spark, sf_dir).select("row_id", "class", "geometry"), path, files=32)
+    rows = layers.read_window(spark, path, WINDOW)
+    assert srid_of(rows) == OHIO_SOUTH
+    return measured(rows)
+
+
 def table_write_append(spark, sf_dir):
     """Raw copy, county folders written twice (same result), rows appended once more."""
     lots = I.parcels(spark, sf_dir).withColumnRenamed("county", "COUNTY")
@@ -918,6 +948,8 @@ QUERIES: dict[str, Query] = {
         text_tables,
         geojson_roundtrip,
         geojson_collection,
+        quoted_line_breaks,
+        layer_window,
         table_write_append,
         county_madison,
         county_knox,
