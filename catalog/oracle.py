@@ -341,13 +341,13 @@ def _union() -> str:
     )
 
 
-def _madison() -> str:
+def _madison(land_use: str = "class") -> str:
     padded = "concat('0', lpad(cast(row_id as string), 9, '0'))"
     return (
         with_tables(
             MERGED.format(key="parcelid", source="lots", firsts=""),
             YEARS_OF_CARDS,
-            f"""facts as (select {padded} as id, class,
+            f"""facts as (select {padded} as id, {land_use} as class,
               cast(floor(aprbldg) as bigint) + cast(floor(coalesce(aprland, 0)) as bigint) as apprtot,
               cast(cast(round(acres * 10000) as bigint) as string) as acres from lots)""",
             """joined as (select m.id, shape, class, acres, apprtot, yreff as yrbuilt, units
@@ -638,6 +638,11 @@ ORACLE: dict[str, str] = {
     "county_knox": _knox(),
     "county_logan": _logan(),
     "county_morrow": _morrow(),
+    "county_madison_from_files": f"""select objectid, class, cast(apprtot as double) as apprtot,
+      try_cast(acres as double) as acres, try_cast(yrbuilt as double) as yrbuilt, units, area, cx, cy
+      from ({_madison("nullif(trim(class), '')")}) q""",
+    "county_knox_from_files": f"select objectid, class, acres, units, type, x, y from ({_knox()}) q",
+    "county_morrow_from_files": _morrow(),
     "apartment_buildings": with_tables()
     + """select distinct parcel_id as propertynumber, use_code as usecode,
       cast(unit_count as double) as unitcount from fx_building where starts_with(use_code, '40')""",

@@ -30,7 +30,7 @@ from lotwise.operators import dissolve as M
 from lotwise.operators import overlay
 from lotwise.operators import joins as J
 from lotwise.operators import profile, spatial
-from lotwise.plans import counties, jobs, region, summary
+from lotwise.plans import counties, files, jobs, region, summary
 from lotwise.schema import srid_of, to_parcel_schema, with_srid
 from lotwise.session import durable, new_folder
 from lotwise.sources import archives, collection, geojson, layers, listing, service, sinks, tables
@@ -880,6 +880,83 @@ def county_morrow(spark, sf_dir):
     return measured(df)
 
 
+def _from_files(spark, name: str, layers_of: dict, texts: dict, write) -> str:
+    """A county's files written, and its table built from them; the second run must find
+    nothing to do. Returns where the tables are."""
+    root = new_folder(spark, name)
+    raw = f"{root}/raw"
+    for table, df in layers_of.items():
+        sinks.write_raw(df, f"{raw}/{name}/{table}")
+    for table, df in texts.items():
+        write(df, f"{raw}/{name}/{table}")
+    assert files.build_changed(spark, raw, root, [name]) == [name]
+    assert files.build_changed(spark, raw, root, [name]) == []
+    return root
+
+
+def _pipe_text(df: DataFrame, path: str) -> None:
+    df.write.csv(
+        path, sep="|", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
+def _records(df: DataFrame, path: str) -> None:
+    attributes = df.toDF(*[f"_{c}" for c in df.columns])
+    attributes.write.format("xml").option("rowTag", "Card").option("rootTag", "Cards").save(path)
+
+
+def county_madison_from_files(spark, sf_dir):
+    """The standard table, from layers and four XML tables. Land uses are trimmed, as the
+    XML reader does."""
+    root = _from_files(
+        spark,
+        "madison",
+        {"parcels": S.madison(spark, sf_dir), "addresses": S.addresses(spark, sf_dir)},
+        {
+            "building": S.madison_cards(I.building(spark, sf_dir)),
+            "dwelling": S.madison_cards(I.dwelling(spark, sf_dir)),
+            "appraisal": S.madison_appraisal(spark, sf_dir).withColumn(
+                "Land_Use_Code", F.expr("nullif(trim(Land_Use_Code), '')")
+            ),
+            "parcel_table": S.madison_parcel_table(spark, sf_dir),
+        },
+        _records,
+    )
+    return lower(measured(jobs.county_tables(spark, root, ["madison"]).drop("COUNTY")))
+
+
+def county_knox_from_files(spark, sf_dir):
+    """Housing-type points, from layers and three tables of pipe text."""
+    root = _from_files(
+        spark,
+        "knox",
+        {"parcels": S.knox(spark, sf_dir), "addresses": S.addresses(spark, sf_dir, "GlobalID")},
+        {
+            "extract": S.knox_extract(spark, sf_dir),
+            "building": S.knox_cards(I.building(spark, sf_dir)),
+            "dwelling": S.knox_cards(I.dwelling(spark, sf_dir)),
+        },
+        _pipe_text,
+    )
+    df = lower(spark.read.parquet(f"{root}/points").where("batch = 'knox'").drop("batch"))
+    return df.withColumn("x", feet(F.col("x"))).withColumn("y", feet(F.col("y")))
+
+
+def county_morrow_from_files(spark, sf_dir):
+    """Cards with their parcels, from a layer and two tables of pipe text."""
+    root = _from_files(
+        spark,
+        "morrow",
+        {"parcels": S.morrow(spark, sf_dir)},
+        {
+            "building": S.morrow_cards(I.building(spark, sf_dir)),
+            "dwelling": S.morrow_cards(I.dwelling(spark, sf_dir)),
+        },
+        _pipe_text,
+    )
+    return measured(spark.read.parquet(f"{root}/cards/morrow"))
+
+
 def apartment_buildings(spark, sf_dir):
     return lower(counties.apartment_buildings(S.morrow_cards(I.building(spark, sf_dir))))
 
@@ -955,6 +1032,9 @@ QUERIES: dict[str, Query] = {
         county_knox,
         county_logan,
         county_morrow,
+        county_madison_from_files,
+        county_knox_from_files,
+        county_morrow_from_files,
         apartment_buildings,
         cards_per_property,
     )
