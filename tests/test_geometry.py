@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -35,6 +36,20 @@ def test_area_and_centroid_of_parts_and_holes(spark):
     assert math.isclose(row["c"]["y"], (100 * 5 - 4 * 3 + 100 * 5) / 196)
 
 
+def test_centroid_of_many_parts_grows_with_their_number(spark):
+    side = 4000
+    lots = F.transform(
+        F.sequence(F.lit(0), F.lit(side - 1)),
+        lambda i: F.array(G.ring(*[G.point(x, y) for x, y in ((i, i), (i + 1, i), (i + 1, i + 1), (i, i + 1), (i, i))])),
+    )
+    df = spark.range(1).select(lots.alias("geometry"))
+    begun = time.monotonic()
+    c = df.select(G.centroid("geometry").alias("c")).first()["c"]
+    # all points looked up for every edge took minutes
+    assert time.monotonic() - begun < 20
+    assert math.isclose(c["x"], side / 2) and math.isclose(c["y"], side / 2)
+
+
 def test_flat_and_missing_shapes(spark):
     flat = [[closed([(0, 0), (1, 1), (2, 2)])]]
     df = shape_table(spark, [(1, flat), (2, None), (3, [])], ("id", LONG))
