@@ -89,3 +89,29 @@ def test_sides_follow_the_quotes(rows):
         side = delimited.side_after(line, side, ",") if line else side
         ends += side is delimited.OUTSIDE
     assert (side, ends) == (delimited.OUTSIDE, len(rows))
+
+
+def test_small_blocks_share_tasks_and_stay_blocks(spark, tmp_path, split_size):
+    rows = table(7, 300)
+    (tmp_path / "t.csv").write_text(written([("k", "v", "w"), *rows]))
+    split_size(16)
+    lines = delimited._lines(spark, str(tmp_path / "t.csv"))
+    assert lines.rdd.getNumPartitions() > 200
+    gathered = delimited._gathered(lines)
+    assert gathered.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert gathered.select("file_block_start").distinct().count() > 100
+    texts, _ = delimited.records(spark, str(tmp_path / "t.csv"), ",")
+    assert texts.rdd.getNumPartitions() <= 3 * spark.sparkContext.defaultParallelism
+    assert rows_of(delimited.read(spark, str(tmp_path / "t.csv"), ",")) == sorted(rows)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_lines_without_quotes_come_as_they_are(spark, tmp_path, split_size, end):
+    rows = [(f"k{i}", "ä" * (i % 5), "x") for i in range(200)]
+    text = end.join("|".join(r) for r in [("k", "v", "w"), *rows, ("",)])
+    (tmp_path / "t.csv").write_text(text.replace(f"k50|", f"{end}{end}k50|"), newline="")
+    split_size(100)
+    expected = sorted((k, v or None, w) for k, v, w in rows)
+    assert sorted(rows_of(delimited.read(spark, str(tmp_path / "t.csv"), "|").na.fill("")), key=str) == sorted(
+        ((k, v or "", w) for k, v, w in expected), key=str
+    )
