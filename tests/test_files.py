@@ -4,6 +4,7 @@ import pytest
 
 from lotwise.plans import files
 from lotwise.schema import with_srid
+from lotwise.sources import tables
 from tests.shapes import STRING, rectangle, shape_table
 
 HEAD = "PropertyNumber|UseCode|YearBuilt\n"
@@ -59,3 +60,20 @@ def test_missing_tables_fail(spark, raw, tmp_path):
 
 def test_every_county_has_a_job():
     assert len(files.JOBS) == 10
+
+
+def test_text_tables_of_a_county_are_parsed_once(spark, tmp_path):
+    rows = [(f"p{i}", "510" if i % 2 else None) for i in range(50)]
+    spark.createDataFrame(rows, "k string, u string").write.csv(str(tmp_path / "t"), sep="|", header=True)
+    df = files.pipe_text(spark, str(tmp_path / "t"))
+    assert sorted(map(tuple, df.na.fill("").collect())) == sorted((k, u or "") for k, u in rows)
+    # what is read from here on is the written table, not the text
+    assert all(f.endswith(".parquet") for f in df.inputFiles())
+
+
+def test_filters_on_cells_do_not_parse_again(spark, tmp_path):
+    spark.createDataFrame([("a", "b")], "k string, u string").write.csv(str(tmp_path / "t"), header=True)
+    df = tables.read_delimited(spark, str(tmp_path / "t")).dropna(how="any")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # one for records that lie in a block, one for those put together
+    assert 1 <= plan.count("from_csv") <= 2
