@@ -4,6 +4,7 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -109,9 +110,17 @@ def test_small_blocks_share_tasks_and_stay_blocks(spark, tmp_path, split_size):
 def test_lines_without_quotes_come_as_they_are(spark, tmp_path, split_size, end):
     rows = [(f"k{i}", "ä" * (i % 5), "x") for i in range(200)]
     text = end.join("|".join(r) for r in [("k", "v", "w"), *rows, ("",)])
-    (tmp_path / "t.csv").write_text(text.replace(f"k50|", f"{end}{end}k50|"), newline="")
+    (tmp_path / "t.csv").write_text(text.replace("k50|", f"{end}{end}k50|"), newline="")
     split_size(100)
     expected = sorted((k, v or None, w) for k, v, w in rows)
     assert sorted(rows_of(delimited.read(spark, str(tmp_path / "t.csv"), "|").na.fill("")), key=str) == sorted(
         ((k, v or "", w) for k, v, w in expected), key=str
     )
+
+
+def test_lines_without_quotes_are_not_walked(monkeypatch):
+    monkeypatch.setattr(delimited, "side_after", lambda *a: pytest.fail("a line was walked"))
+    of_block = {"block": [1] * 3, "start": [64] * 3, "side": [False] * 3, "opener": [1] * 3, "returning": [False] * 3}
+    batch = pa.RecordBatch.from_pydict({**of_block, "value": ["a|b", "", "c|d"]})
+    out = [text for b in delimited.records_of("|")(iter([batch])) for text in b.column("text").to_pylist()]
+    assert out == ["a|b", "c|d"]
