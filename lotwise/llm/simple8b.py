@@ -46,7 +46,7 @@ def selectors(bits: np.ndarray) -> np.ndarray:
         top[size] = largest[:, :n]
     out = np.full((bits.shape[0], n), ESCAPE, np.uint8)
     for s in range(ESCAPE - 1, -1, -1):
-        out[top[int(COUNTS[s])] <= WIDTHS[s]] = s
+        np.copyto(out, np.uint8(s), where=top[int(COUNTS[s])] <= int(WIDTHS[s]))
     return out
 
 
@@ -62,23 +62,25 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     bits = np.frexp(padded.astype(np.float64))[1].astype(np.uint8)
     chosen = selectors(bits)
     sizes = np.minimum(n - np.arange(blocks) * block, block)
-    at, active, taken = np.zeros(blocks, np.int64), np.arange(blocks), []
-    while len(active):  # all blocks advance by one word
-        where = at[active]
-        taken.append(active * block + where)
-        at[active] = where + COUNTS[chosen[active, where]]
-        active = active[at[active] < sizes[active]]
-    place = np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+    taken = []
+    counts = COUNTS.astype(np.uint8)[chosen]
+    for i, size in enumerate(sizes.tolist()):  # where a block's words begin
+        step, at = counts[i].tobytes(), 0
+        while at < size:
+            taken.append(i * block + at)
+            at += step[at]
+    place = np.array(taken, np.int64)
     row, column = place // block, place % block
     selector = chosen[row, column].astype(np.int64)
     words = selector.astype(np.uint64) << np.uint64(60)
+    flat, first = padded.ravel(), row * padded.shape[1] + column
     for s in range(1, ESCAPE + 1):
         mine = np.flatnonzero(selector == s)
         if len(mine):
-            span = np.arange(COUNTS[s])
-            values = padded[row[mine, None], column[mine, None] + span] & LOW
-            shift = (span * WIDTHS[s]).astype(np.uint64) if s < ESCAPE else np.zeros(1, np.uint64)
-            words[mine] |= np.bitwise_or.reduce(values << shift, axis=1)
+            begin, found = first[mine], words[mine]
+            for i in range(int(COUNTS[s])):
+                found |= (flat[begin + i] & LOW) << np.uint64(i * int(WIDTHS[s]))
+            words[mine] = found
     escaped = selector == ESCAPE
     escapes = (padded[row[escaped], column[escaped]] >> np.uint64(60)).astype(np.uint8)
     edges = np.arange(blocks + 1)

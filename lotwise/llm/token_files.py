@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import simple8b
-from lotwise.llm.tokens import END, encoder, public_path
+from lotwise.llm.tokens import encoder, public_path
 from lotwise.session import new_folder
 
 SEGMENT_IDS = 1 << 18
@@ -39,15 +39,15 @@ def write(documents: DataFrame, folder: str, path: str | None = None) -> None:
     path = path or public_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, end = encoder(path), np.array([END], "<u4").tobytes()
+        code = encoder(path)
         part, segment, start = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
-        pieces: list[bytes] = []
+        pieces: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(pieces), "<u4")
-            row = [part, segment, start, list(doc_ids), [len(x) // 4 for x in pieces], len(ids)]
+            ids = np.concatenate(pieces)
+            row = [part, segment, start, list(doc_ids), [len(x) for x in pieces], len(ids)]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([x], kind)
@@ -62,11 +62,10 @@ def write(documents: DataFrame, folder: str, path: str | None = None) -> None:
             )
 
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                pieces.append(code(text.as_py() or b"") + end)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), code.each(batch.column(1)), strict=True):
+                pieces.append(ids)
                 doc_ids.append(doc_id)
-                size += len(pieces[-1]) // 4
+                size += len(ids)
                 if size >= SEGMENT_IDS:
                     yield flush()
                     segment, start, size = segment + 1, start + size, 0

@@ -1,7 +1,8 @@
 """Token ids of whole texts, by a public tokenizer of the tokenizers library.
 
 Words repeat, so their ids are kept: a text is cut at ASCII blanks, which the tokenizer
-drops and no token crosses. A word that is not known yet and consists of plain Latin
+drops and no token crosses. Texts are taken in blocks of some megabytes, of which each
+different word is looked up once. A word that is not known yet and consists of plain Latin
 characters is cut by the tokenizer's own split pattern, and each piece goes to the
 library's model; any other word goes through the library whole. The kept words are
 bounded; the older half is forgotten when the bound is reached.
@@ -13,14 +14,23 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END = 2
-MOST_KEPT = 300_000
+MOST_KEPT = 150_000
+BLOCK_BYTES = 1 << 22
 
 # Fixed values of the tokenizer file: its split pattern, written for the characters of
 # PLAIN, and the byte alphabet's shift for the bytes that Latin letters consist of.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+\Z")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+LETTERS_AND_ONE = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-@\[-`{-~]?$"
+OTHER_BYTES = frozenset(b for b in range(0x21, 0x7F) if not chr(b).isalpha())
+OTHERS = "".join(map(chr, sorted(OTHER_BYTES)))
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -52,6 +62,24 @@ class Kept(dict):
         return value
 
 
+def buffers(texts: pa.Array) -> tuple[bytes, list[int]]:
+    """The bytes of all texts, and where each begins and the last ends."""
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)])
+    first = int(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset]) if len(texts) else 0
+    return texts.buffers()[2].slice(first, int(ends[-1])).to_pybytes() if ends[-1] else b"", ends.tolist()
+
+
+def joined(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int64, len(values)) // 4
+
+
+def taken(ids: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of these rows, of which ``sizes`` says how many each has."""
+    counts = sizes[rows]
+    start = (np.cumsum(sizes) - sizes)[rows] - (np.cumsum(counts) - counts)
+    return ids[np.repeat(start, counts) + np.arange(int(counts.sum()))], counts
+
+
 class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes, END not appended."""
 
@@ -61,7 +89,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.alphabet = {b: c for b, c in byte_alphabet().items()}
+        self.alphabet = byte_alphabet()
         self.words, self.pieces = Kept(self.word), Kept(self.piece)
         self.special = re.compile(
             "|".join(re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values())
@@ -70,7 +98,7 @@ class Encoder:
 
     def piece(self, text: str) -> bytes:
         if not text.isascii():
-            text = "".join(map(self.alphabet.__getitem__, text.encode()))
+            text = text.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
 
     def word(self, raw: bytes) -> bytes:
@@ -87,6 +115,54 @@ class Encoder:
     def __call__(self, text: bytes) -> bytes:
         return b"".join(map(self.words.__getitem__, text.split()))
 
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. Words of Latin letters, with one more
+        character at most, are parted as a whole array."""
+        plain = pc.match_substring_regex(words, LETTERS_AND_ONE)
+        lower = pc.utf8_lower(words.filter(plain))
+        coded = pc.utf8_rtrim(lower, OTHERS).dictionary_encode()
+        data, ends = buffers(coded.dictionary)
+        heads = [data[i:j].decode() for i, j in zip(ends[:-1], ends[1:], strict=True)]
+        data, ends = buffers(lower)
+        tails = np.frombuffer(data, np.uint8)[np.array(ends[1:], np.int64) - 1] if len(lower) else np.zeros(0, np.uint8)
+        rest = [self.words[w] if w else b"" for w in words.filter(pc.invert(plain)).cast(pa.binary()).to_pylist()]
+        ones = [self.pieces[chr(b)] if b in OTHER_BYTES else b"" for b in range(256)]
+        known = [*map(self.pieces.__getitem__, heads), *ones, *rest]
+        # each word is one of the known and a tail
+        sides = np.full((len(words), 2), len(heads))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        sides[is_plain, 0] = coded.indices.to_numpy()
+        sides[is_plain, 1] += tails
+        sides[~is_plain, 0] = len(heads) + 256 + np.arange(len(rest))
+        ids, sizes = taken(*joined(known), sides.ravel())
+        return ids, sizes.reshape(-1, 2).sum(axis=1)
+
+    def ended(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, END after each text, and where the ids of each end."""
+        words = pc.ascii_split_whitespace(texts)  # with empty words at the ends
+        coded = words.flatten().dictionary_encode()
+        ids, sizes = self.of_words(coded.dictionary)
+        ids, sizes = np.append(ids, np.uint32(END)), np.append(sizes, 1)
+        last = np.cumsum(pc.list_value_length(words).to_numpy() + 1) - 1
+        word = np.full(len(coded) + len(texts), len(sizes) - 1)
+        of_text = np.ones(len(word), bool)
+        of_text[last] = False
+        word[of_text] = coded.indices.to_numpy()
+        ids, sizes = taken(ids, sizes, word)
+        return ids, np.cumsum(sizes)[last]
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (null: empty), with END."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        total = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+        first = 0
+        while first < len(texts):
+            before = int(total[first - 1]) if first else 0
+            after = max(first + 1, int(np.searchsorted(total, before + BLOCK_BYTES, "right")))
+            ids, ends = self.ended(texts.slice(first, after - first))
+            yield from np.split(ids, ends[:-1])
+            first = after
+
 
 _encoders: dict[str, Encoder] = {}
 

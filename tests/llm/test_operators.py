@@ -5,6 +5,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -21,6 +22,7 @@ from lotwise.llm import (
     quality,
     simple8b,
     token_files,
+    tokens,
     urls,
 )
 from lotwise.llm.tokens import Encoder, public_path
@@ -308,3 +310,24 @@ def test_licences(frame, texts):
     assert [rows[i].families for i in own] == ["apache,mit", "", "", "", "proprietary"]
     assert [rows[i].n_paragraphs for i in own] == [3, 2, 0, 0, 1]
     assert licences.scan(frame({})).count() == 0
+
+
+@pytest.mark.parametrize("block", [1 << 22, 40])
+def test_encoder_of_whole_batches_agrees_with_single_texts(block, monkeypatch):
+    """Words that are parted as arrays, blanks of all kinds, special tokens, nulls; slices."""
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", block)
+    signs = [*"abXYéÀßÿ÷×øØ.,!'12²\n\t\x0b\x0c\x1c\x85 Σς中😀<|>`@[{~", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "  "]
+    draw = np.random.default_rng(2)
+    texts = ["".join(draw.choice(signs, draw.integers(0, 30))) for _ in range(2000)] + [None, "", " ", "a", "."]
+    found = [x.tolist() for x in Encoder(public_path()).each(pa.array(["z", *texts, "q"]).slice(1, len(texts)))]
+    assert found == [x.tolist() for x in ids_of(dict(enumerate(texts))).values()]
+    assert list(Encoder(public_path()).each(pa.array([], pa.string()))) == []
+
+
+def test_encoder_cuts_repeated_words_once_a_batch(monkeypatch):
+    encode, seen = Encoder(public_path()), []
+    keep = encode.piece
+    encode.pieces.compute = lambda x: seen.append(x) or keep(x)
+    list(encode.each(pa.array(["Alpha alpha. beta", "ALPHA, beta!"])))
+    assert sorted(x for x in seen if x.isalpha()) == ["alpha", "beta"]
+    assert not encode.words
