@@ -36,12 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.tokens import END, encoder, public_path
+from lotwise.llm.tokens import encoder, public_path
 from lotwise.session import durable
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
 SHARD_DOCUMENTS = 1 << 14
+ROWS_AT_ONCE = 2000
 ROUNDS = 3
 RELATED = 0.25
 K1, B = 1.2, 0.75
@@ -217,22 +218,23 @@ def encoded(documents: DataFrame, path: str) -> DataFrame:
     """Every document with its ids, as REST says, numbered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, kind = encoder(path), np.array([END], "<u4").tobytes(), id_type(path)
+        encode, kind = encoder(path), id_type(path)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            ids = [np.frombuffer(encode(x.as_py() or b"") + end, "<u4") for x in texts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).cast(pa.int64()),
-                    pa.array(range(row, row + len(ids)), pa.int64()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([0] * len(ids), pa.int64()),
-                    pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
-                ],
-                names=names(REST),
-            )
-            row += len(ids)
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(first, ROWS_AT_ONCE)
+                ids = list(encode.each(part.column(1)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).cast(pa.int64()),
+                        pa.array(range(row, row + len(ids)), pa.int64()),
+                        pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([0] * len(ids), pa.int64()),
+                        pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
+                    ],
+                    names=names(REST),
+                )
+                row += len(ids)
 
     return documents.select("doc_id", "text").mapInArrow(run, REST)
 
@@ -262,7 +264,8 @@ def statistics_of(rests: DataFrame, path: str) -> Statistics:
 
 
 def dealt(rests: DataFrame, shared, skip: int, partitions: int, path: str) -> DataFrame:
-    """The rows with their ``key``, sorted by it over all partitions; rows of one key by number."""
+    """The rows with their ``key``, sorted by it over all partitions; rows of one key by number.
+    What a round left has its key already, and bounds are found without reading ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, statistics = id_type(path), shared.value
@@ -271,15 +274,19 @@ def dealt(rests: DataFrame, shared, skip: int, partitions: int, path: str) -> Da
             keys = [statistics.key(np.frombuffer(x.as_py(), kind), skip) for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*names(REST), "key"])
 
-    keyed = rests.select(*names(REST)).mapInArrow(run, f"{REST}, key long")
+    keyed = rests
+    if "key" not in rests.columns:
+        keyed = rests.select(*names(REST)).mapInArrow(run, f"{REST}, key long")
     return keyed.repartitionByRange(partitions, "key", "row").sortWithinPartitions("key", "row")
 
 
 def one_round(
-    rests: DataFrame, shared, number: int, last: bool, path: str, window: int, shard_tokens: int, shard_documents: int
+    rests: DataFrame, shared, number: int, rounds: int, path: str, window: int, shard_tokens: int, shard_documents: int
 ) -> DataFrame:
-    """Pieces, and rows of what is left, which have ids and no sequence."""
-    schema = f"{SCHEMA}, row long, ids binary"
+    """Pieces, and rows of what is left, which have ids, the next round's key and no sequence."""
+    schema = f"{SCHEMA}, row long, ids binary, key long"
+    last = number == rounds - 1
+    skip, following = (0 if n >= rounds - 1 else n for n in (number, number + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, statistics = id_type(path), shared.value
@@ -295,13 +302,14 @@ def one_round(
                 crc = zlib.crc32(shard[d][start : start + size].astype("<u4").tobytes())
                 own = rows[d]
                 at = own["start"] + start
-                out.append((own["doc_id"], at, size, crc, own["doc_tokens"], base + sequence, offset, own["row"], None))
+                out.append((own["doc_id"], at, size, crc, own["doc_tokens"], base + sequence, offset, own["row"], None, None))
             base += max((x[5] - base for x in out), default=-1) + 1
             for d, start in left:
                 own, ids = rows[d], shard[d][start:]
                 at = own["start"] + start
-                out.append((own["doc_id"], at, len(ids), None, own["doc_tokens"], None, None, own["row"], ids.tobytes()))
-            kinds = [pa.int64()] * 8 + [pa.binary()]
+                key = statistics.key(ids, following)
+                out.append((own["doc_id"], at, len(ids), None, own["doc_tokens"], None, None, own["row"], ids.tobytes(), key))
+            kinds = [pa.int64()] * 8 + [pa.binary(), pa.int64()]
             if out:
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names(schema))
@@ -321,7 +329,6 @@ def one_round(
             yield from flush()
 
     tokens = rests.agg(F.coalesce(F.sum(F.col("doc_tokens") - F.col("start")), F.lit(0))).first()[0]
-    skip = 0 if last else number
     return dealt(rests, shared, skip, max(1, math.ceil(tokens / shard_tokens)), path).mapInArrow(run, schema)
 
 
@@ -339,11 +346,10 @@ def packed(
     shared = documents.sparkSession.sparkContext.broadcast(statistics_of(rests, path))
     found = []
     for number in range(rounds):
-        last = number == rounds - 1
-        out = one_round(rests, shared, number, last, path, window, shard_tokens, shard_documents)
-        if not last:
+        out = one_round(rests, shared, number, rounds, path, window, shard_tokens, shard_documents)
+        if number < rounds - 1:
             out = durable(out, "round")
-            rests = out.where("ids is not null").select(*names(REST))
+            rests = out.where("ids is not null").select(*names(REST), "key")
         found.append(out.where("ids is null").select(*names(SCHEMA)))
     pieces = found[0]
     for more in found[1:]:

@@ -331,3 +331,14 @@ def test_encoder_cuts_repeated_words_once_a_batch(monkeypatch):
     list(encode.each(pa.array(["Alpha alpha. beta", "ALPHA, beta!"])))
     assert sorted(x for x in seen if x.isalpha()) == ["alpha", "beta"]
     assert not encode.words
+
+
+def test_packing_keys_of_what_is_left_are_stored(frame):
+    """Rows that a round leaves carry the next round's key: their ids are not read for it again."""
+    own = durable(packing.encoded(frame({i: f"w{i} x{i % 7} y{i % 5} z" for i in range(40)}), public_path()), "own")
+    statistics = packing.statistics_of(own, public_path())
+    shared = own.sparkSession.sparkContext.broadcast(statistics)
+    out = packing.one_round(own, shared, 0, 3, public_path(), 4096, 1 << 20, 1 << 14)
+    left = out.where("ids is not null").collect()
+    assert len(left) == 40
+    assert all(r.key == statistics.key(np.frombuffer(r.ids, "<u2"), 1) for r in left)
