@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lotwise.llm import (
@@ -342,3 +343,15 @@ def test_packing_keys_of_what_is_left_are_stored(frame):
     left = out.where("ids is not null").collect()
     assert len(left) == 40
     assert all(r.key == statistics.key(np.frombuffer(r.ids, "<u2"), 1) for r in left)
+
+
+def test_licences_are_fitted_on_all_documents(frame):
+    """Every paragraph with an anchor counts; one template's text among them weighs on its family."""
+    mit, other = "Released under the MIT License.", "a licence for the driver of this work"
+    docs = frame({i: f"{mit}\nplain\n{other} {i}" for i in range(40)} | {40: None, 41: ""})
+    per_class = licences.of_templates(docs.sparkSession).groupBy("class").agg(F.sum("weight").alias("of_class"))
+    rows = licences.of_documents(docs, per_class).collect()
+    kinds = {r["class"] for r in rows}
+    assert kinds == {0, licences.CLASSES.index("mit")}
+    total = {r["class"]: r.of_class for r in per_class.collect()}
+    assert all(abs(sum(r.weight for r in rows if r["class"] == k) - total[k]) < 1e-6 for k in kinds)
