@@ -16,6 +16,7 @@ from lotwise.functions import geometry as G
 from lotwise.functions.once import with_computed
 from lotwise.functions.projection import OHIO_SOUTH
 from lotwise.schema import with_srid
+from lotwise.session import dealt
 
 PARCELS = """
 select c_custkey as row_id,
@@ -95,16 +96,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str, source: str) -> DataFrame:
+def derived(spark: SparkSession, sf_dir: str, sql: str, source: str, spread: bool = False) -> DataFrame:
     configure(spark)
+    rows = table(spark, sf_dir, source)
     return spark.sql(
         sql.replace(f"from {source}", f"from {{{source}}}").replace(
             f"{source}.*", f"{{{source}}}.*"
         ),
-        **{source: table(spark, sf_dir, source)},
+        **{source: dealt(rows) if spread else rows},
     )
 
 
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a small file is one split, whatever its rows grow to
+    return derived(spark, sf_dir, PARCELS, "customer", spread=True)
+
+
 def ring_of_lot() -> list:
     x0, y0, w, h, cut = (F.col(c) for c in ("x0", "y0", "w", "h", "cut"))
     start = G.point(x0, y0)
@@ -118,7 +125,7 @@ def ring_of_lot() -> list:
 
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derived(spark, sf_dir, PARCELS, "customer")
+    df = lots(spark, sf_dir)
     df = with_computed(df, geometry=G.polygon(G.ring(*ring_of_lot())))
     return with_srid(df, OHIO_SOUTH)
 
@@ -131,7 +138,7 @@ def _rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 def lot_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, piece, geometry): the lot's w x h rectangle as a strip of 40 ft on the
     left and two pieces of different heights beside it."""
-    df = derived(spark, sf_dir, PARCELS, "customer")
+    df = lots(spark, sf_dir)
     x0, y0, w, h = (F.col(c) for c in ("x0", "y0", "w", "h"))
     pieces = [
         _rectangle(x0, y0, x0 + 40, y0 + h),
@@ -174,10 +181,6 @@ from nation cross join (values (0), (1), (2), (3), (4), (5), (6), (7), (8), (9),
 """
 
 
-def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, PARCELS, "customer")
-
-
 def overlapping_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.sql(OVERLAPPING.replace("from lots", "from {lots}"), lots=lots(spark, sf_dir))
     box = _rectangle(*[F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax")])
@@ -206,7 +209,7 @@ def turned_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     another corner."""
     ring = ring_of_lot()
     other = [*ring[2::-1], ring[3], ring[2]]
-    df = derived(spark, sf_dir, PARCELS, "customer")
+    df = lots(spark, sf_dir)
     shapes = F.array(G.polygon(G.ring(*ring)), G.polygon(G.ring(*other)))
     df = df.select("row_id", F.posexplode(shapes).alias("turn", "geometry"))
     return with_srid(df, OHIO_SOUTH)

@@ -176,3 +176,38 @@ def test_closed_rings_leave(spark, monkeypatch):
     rings = module.trace_rings(edges, "k")
     assert rings.count() == 31
     assert written[0] == 30 * 4 + 102 and written[-1] == 102 and sorted(written, reverse=True) == written
+
+
+def in_pieces(i, n=0):
+    """A strip and two pieces beside it, whose corner lies on the strip's side; n more corners."""
+    top = [(100 * i + 1 + j / 64, 2) for j in range(n)]
+    low = [[closed([(100 * i + 1, 0), (100 * i + 3, 0), (100 * i + 3, 1), (100 * i + 1, 1)])]]
+    high = [[closed([(100 * i + 1, 1), (100 * i + 3, 1), (100 * i + 3, 2), *top[::-1]] + [(100 * i + 1, 2)] * (not n))]]
+    return [rectangle(100 * i, 0, 100 * i + 1, 2), low, high]
+
+
+def test_few_edges_need_no_point_join(spark, monkeypatch):
+    def refused(*args, **kwargs):
+        raise AssertionError("point join of small keys")
+
+    rows = [(3 * i + j, f"k{i}", None, s) for i in range(3) for j, s in enumerate(in_pieces(i))]
+    monkeypatch.setattr(M, "points_in_polygons", refused)
+    got = by_key(M.dissolve(table(spark, rows), "k").withColumn("area", G.area("geometry")))
+    assert {k: (r["area"], len(r["geometry"])) for k, r in got.items()} == {f"k{i}": (6.0, 1) for i in range(3)}
+
+
+def test_few_and_many_edges_are_cut_alike(spark, monkeypatch):
+    shapes = [in_pieces(0), in_pieces(1, 60), in_pieces(2)]
+    rows = [(10 * i + j, f"k{i}", None, s) for i, own in enumerate(shapes) for j, s in enumerate(own)]
+    rows.append((99, "k2", None, rectangle(0, 50, 1, 51)))
+    mixed = {k: plain(r["geometry"]) for k, r in by_key(M.dissolve(table(spark, rows), "k")).items()}
+    monkeypatch.setattr(M, "FEW_EDGES", 0)
+    by_place = {k: plain(r["geometry"]) for k, r in by_key(M.dissolve(table(spark, rows), "k")).items()}
+    assert mixed == by_place
+    assert {k: sum(ring_area(r) for p in shape for r in p) for k, shape in mixed.items()} == {"k0": 6, "k1": 6, "k2": 7}
+
+
+def test_small_files_are_dealt(spark, sf_dir):
+    from catalog import inputs
+
+    assert inputs.lots(spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
