@@ -61,6 +61,15 @@ def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, ascending, and how often each occurs."""
+    ranked = np.sort(ids)
+    new = np.ones(len(ids) + 1, bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:-1])
+    first = np.flatnonzero(new)
+    return ranked[first[:-1]], first[1:] - first[:-1]
+
+
 def id_type(path: str) -> str:
     return "<u2" if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
@@ -82,17 +91,21 @@ class Statistics:
         norm = K1 * (1 - B + B * length / self.mean)
         return self.idf[terms] * (tf * (K1 + 1) / (tf + norm)).astype(np.float32)
 
-    def heaviest(self, ids: np.ndarray) -> np.ndarray:
-        """The useful terms of a document, by falling weight; of equal ones the lower id."""
-        terms, tf = np.unique(ids, return_counts=True)
+    def heaviest(self, ids: np.ndarray, n: int) -> np.ndarray:
+        """The first ``n`` useful terms of a document, by falling weight; of equal ones the lower id."""
+        terms, tf = counted(ids)
         keep = self.useful[terms]
         terms, tf = terms[keep], tf[keep]
-        return terms[np.argsort(-self.weights(terms, tf, len(ids)), kind="stable")]
+        weights = -self.weights(terms, tf, len(ids))
+        if n < len(terms):  # only what may be among the first is sorted
+            keep = weights <= np.partition(weights, n)[n]
+            terms, weights = terms[keep], weights[keep]
+        return terms[np.argsort(weights, kind="stable")][:n]
 
     def key(self, ids: np.ndarray, skip: int) -> int:
         """What deals a document out: KEY_TERMS of its heaviest terms, after ``skip``."""
         out = 0
-        chosen = self.heaviest(ids)[skip : skip + KEY_TERMS].tolist()
+        chosen = self.heaviest(ids, skip + KEY_TERMS)[skip:].tolist()
         for t in [t + 1 for t in chosen] + [0] * (KEY_TERMS - len(chosen)):
             out = out << KEY_BITS | t
         return out
@@ -102,7 +115,7 @@ class Index:
     """BM25 over the documents of a shard; every score is final, as they don't change."""
 
     def __init__(self, documents: list[np.ndarray], statistics: Statistics):
-        found = [np.unique(x, return_counts=True) for x in documents]
+        found = [counted(x) for x in documents]
         keep = [statistics.useful[t] for t, _ in found]
         self.terms = [t[k] for (t, _), k in zip(found, keep, strict=True)]
         term = np.concatenate(self.terms)
@@ -215,48 +228,52 @@ def pack(
 
 
 def encoded(documents: DataFrame, path: str) -> DataFrame:
-    """Every document with its ids, as REST says, numbered."""
+    """Every document with its ids, as REST says, numbered; and of each task a row without
+    number, whose ``df`` counts the task's documents by token id."""
+    columns = [*names(REST), "df"]
+    kinds = [*[pa.int64()] * 4, pa.binary(), pa.binary()]
+
+    def rows(*values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(values, kinds, strict=True)], names=columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, kind = encoder(path), id_type(path)
         row = TaskContext.get().partitionId() << 33
+        df, last = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(first, ROWS_AT_ONCE)
                 ids = list(encode.each(part.column(1)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).cast(pa.int64()),
-                        pa.array(range(row, row + len(ids)), pa.int64()),
-                        pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([0] * len(ids), pa.int64()),
-                        pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()),
-                    ],
-                    names=names(REST),
-                )
-                row += len(ids)
-
-    return documents.select("doc_id", "text").mapInArrow(run, REST)
+                for own in ids:
+                    while own.max() >= len(df):
+                        df, last = np.append(df, np.zeros_like(df)), np.append(last, last)
+                    place = np.arange(len(own))
+                    last[own] = place  # an id counts once, at one of its places
+                    df[own[last[own] == place]] += 1
+                n = len(ids)
+                numbers, sizes = range(row, row + n), [len(x) for x in ids]
+                held = [x.astype(kind).tobytes() for x in ids]
+                yield rows(part.column(0).cast(pa.int64()), numbers, sizes, [0] * n, held, [None] * n)
+                row += n
+        yield rows([None], [None], [None], [None], [None], [df[: np.flatnonzero(df).max(initial=-1) + 1].tobytes()])
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"{REST}, df binary")
 
 
 def statistics_of(rests: DataFrame, path: str) -> Statistics:
-    """Counted over all documents; only one count a token id reaches the driver."""
+    """Counted over all documents while they were encoded (``path``: by which tokenizer);
+    only one count a token id reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = id_type(path)
-        df = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                terms = np.unique(np.frombuffer(ids.as_py(), kind))
-                if terms[-1] >= len(df):
-                    df = np.concatenate([df, np.zeros(int(terms[-1]) + 1, np.int64)])
-                df[terms] += 1
-        seen = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], names=["token", "df"])
-
-    counts = rests.select("ids").mapInArrow(run, "token long, df long")
+            for own in batch.column(0):
+                df = np.frombuffer(own.as_buffer(), np.int32).astype(np.int64)
+                seen = np.flatnonzero(df)
+                yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(df[seen])], names=["token", "df"])
+
+    counts = rests.where("row is null").select("df").mapInArrow(run, "token long, df long")
     found = counts.groupBy("token").agg(F.sum("df").alias("df")).toArrow()
-    n, tokens = rests.agg(F.count("*"), F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()
+    n, tokens = rests.agg(F.count("row"), F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()
     token = found["token"].to_numpy()
     df = np.zeros(int(token.max()) + 1 if len(token) else 1, np.int64)
     df[token] = found["df"].to_numpy()
@@ -276,7 +293,7 @@ def dealt(rests: DataFrame, shared, skip: int, partitions: int, path: str) -> Da
 
     keyed = rests
     if "key" not in rests.columns:
-        keyed = rests.select(*names(REST)).mapInArrow(run, f"{REST}, key long")
+        keyed = rests.where("row is not null").select(*names(REST)).mapInArrow(run, f"{REST}, key long")
     return keyed.repartitionByRange(partitions, "key", "row").sortWithinPartitions("key", "row")
 
 

@@ -4,8 +4,9 @@ Words repeat, so their ids are kept: a text is cut at ASCII blanks, which the to
 drops and no token crosses. Texts are taken in blocks of some megabytes, of which each
 different word is looked up once. A word that is not known yet and consists of plain Latin
 characters is cut by the tokenizer's own split pattern, and each piece goes to the
-library's model; any other word goes through the library whole. The kept words are
-bounded; the older half is forgotten when the bound is reached.
+library's model; any other word goes through the library whole. What is kept is bounded:
+letter pieces are arrays, of which those of the latest block stay when the bound is
+reached; of other words the older half is forgotten.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END = 2
-MOST_KEPT = 150_000
+MOST_KEPT = 50_000
+MOST_PIECES = 400_000
 BLOCK_BYTES = 1 << 22
 
 # Fixed values of the tokenizer file: its split pattern, written for the characters of
@@ -80,6 +82,32 @@ def taken(ids: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndar
     return ids[np.repeat(start, counts) + np.arange(int(counts.sum()))], counts
 
 
+class Pieces:
+    """Letter pieces and their ids as flat arrays: some bytes a piece, looked up at once.
+    What is new is computed as ``kept`` does it."""
+
+    def __init__(self, kept: Kept, most: int = MOST_PIECES):
+        self.kept, self.most = kept, most
+        self.known = pa.array([], pa.string())
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where ``sizes`` has each of these different pieces."""
+        at = pc.index_in(pieces, value_set=self.known)
+        missing = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        new = pieces.filter(pa.array(missing))
+        if len(self.known) + len(new) > self.most:
+            self.ids, self.sizes = taken(self.ids, self.sizes, at[~missing])
+            self.known = pieces.filter(pa.array(~missing))
+            at[~missing] = np.arange(len(self.known))
+        at[missing] = len(self.known) + np.arange(len(new))
+        ids, sizes = joined([*map(self.kept.compute, new.to_pylist())])
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        self.known = pa.concat_arrays([self.known, new])
+        return at
+
+
 class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes, END not appended."""
 
@@ -91,6 +119,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
         self.words, self.pieces = Kept(self.word), Kept(self.piece)
+        self.heads = Pieces(self.pieces)
         self.special = re.compile(
             "|".join(re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values())
             or "(?!)"
@@ -121,20 +150,21 @@ class Encoder:
         plain = pc.match_substring_regex(words, LETTERS_AND_ONE)
         lower = pc.utf8_lower(words.filter(plain))
         coded = pc.utf8_rtrim(lower, OTHERS).dictionary_encode()
-        data, ends = buffers(coded.dictionary)
-        heads = [data[i:j].decode() for i, j in zip(ends[:-1], ends[1:], strict=True)]
+        heads = self.heads.places(coded.dictionary)
         data, ends = buffers(lower)
         tails = np.frombuffer(data, np.uint8)[np.array(ends[1:], np.int64) - 1] if len(lower) else np.zeros(0, np.uint8)
         rest = [self.words[w] if w else b"" for w in words.filter(pc.invert(plain)).cast(pa.binary()).to_pylist()]
         ones = [self.pieces[chr(b)] if b in OTHER_BYTES else b"" for b in range(256)]
-        known = [*map(self.pieces.__getitem__, heads), *ones, *rest]
+        ids, sizes = joined([*ones, *rest])
         # each word is one of the known and a tail
-        sides = np.full((len(words), 2), len(heads))
+        known = len(self.heads.sizes)
+        sides = np.full((len(words), 2), known)
         is_plain = plain.to_numpy(zero_copy_only=False)
-        sides[is_plain, 0] = coded.indices.to_numpy()
+        sides[is_plain, 0] = heads[coded.indices.to_numpy()]
         sides[is_plain, 1] += tails
-        sides[~is_plain, 0] = len(heads) + 256 + np.arange(len(rest))
-        ids, sizes = taken(*joined(known), sides.ravel())
+        sides[~is_plain, 0] = known + 256 + np.arange(len(rest))
+        ids, sizes = np.concatenate([self.heads.ids, ids]), np.concatenate([self.heads.sizes, sizes])
+        ids, sizes = taken(ids, sizes, sides.ravel())
         return ids, sizes.reshape(-1, 2).sum(axis=1)
 
     def ended(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

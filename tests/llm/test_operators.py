@@ -355,3 +355,40 @@ def test_licences_are_fitted_on_all_documents(frame):
     assert kinds == {0, licences.CLASSES.index("mit")}
     total = {r["class"]: r.of_class for r in per_class.collect()}
     assert all(abs(sum(r.weight for r in rows if r["class"] == k) - total[k]) < 1e-6 for k in kinds)
+
+
+def test_pieces_are_kept_as_arrays():
+    """Of words of letters no dictionary is kept, and what is kept is bounded."""
+    encode, computed = Encoder(public_path()), []
+    encode.heads.most = 300
+    encode.pieces.compute = lambda x: computed.append(x) or encode.piece(x)
+    for first in (0, 0, 100, 250, 0):
+        words = ["ab" * (i % 5) + f"q{'xyzw'[i % 4]}" + "abcdefghij"[i // 10 % 10] * (1 + i // 100) for i in range(first, first + 200)]
+        words = [w + end for w, end in zip(words, ["", ".", "é", "!"] * 50, strict=True)]
+        ids, sizes = encode.of_words(pa.array(words))
+        want = [encode.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        assert (ids.tolist(), sizes.tolist()) == ([x for w in want for x in w], [len(w) for w in want])
+        assert len(encode.heads.known) == len(encode.heads.sizes) <= 300
+        assert not any(x.isalpha() for x in encode.pieces)
+    computed = [x for x in computed if x.isalpha()]
+    assert len(computed) < 1000 and len(set(computed[:200])) == 200
+
+
+def test_packing_statistics_need_no_second_pass(spark, frame):
+    """Every task that encodes leaves its counts of documents by token id."""
+    texts = {i: f"w{i % 9} w{i % 9} x{i % 7}" for i in range(60)} | {90: None, 91: ""}
+    own = durable(packing.encoded(frame(texts).repartition(3), public_path()), "own")
+    assert own.where("row is null").count() >= 3 and own.where("row is not null").count() == len(texts)
+    statistics, want = packing.statistics_of(own, public_path()), {}
+    encode = Encoder(public_path())
+    held = list(encode.each(pa.array(list(texts.values()), pa.string())))
+    for ids in held:
+        for t in set(ids.tolist()):
+            want[t] = want.get(t, 0) + 1
+    assert statistics.n == len(texts) and statistics.mean == sum(map(len, held)) / len(texts)
+    assert {t: n for t, n in enumerate(statistics.df.tolist()) if n} == want
+    for ids in held:
+        terms, tf = np.unique(ids, return_counts=True)
+        terms, tf = terms[statistics.useful[terms]], tf[statistics.useful[terms]]
+        order = np.argsort(-statistics.weights(terms, tf, len(ids)), kind="stable")
+        assert all(statistics.heaviest(ids, n).tolist() == terms[order][:n].tolist() for n in range(8))
