@@ -22,7 +22,8 @@ components; then only pairs of different components matter. In signatures of man
 those are found by comparing bitmaps within blocks, first the best pair of each two
 components, in the end all that are left; in signatures of few sets they are joined.
 A parity bitmap of two bits a token bounds the overlap from above, so whole sets travel
-only for pairs that may be links, and every link is settled by comparing whole sets.
+only for pairs that may be links, and every link is settled by comparing whole sets;
+they are made anew from the texts whose hash says that they may be wanted.
 
 Edge cases: null texts and texts without words have an empty set, no link, and are a
 component of their own (their doc_id); texts of fewer than five words have one shingle;
@@ -52,7 +53,7 @@ SMALL = 32
 BLOCK = 4096
 ROUNDS = 2
 
-SETS = "doc_id long, n_shingles long, node long, bits binary"
+SETS = "doc_id long, n_shingles long, node long, bits binary, text_hash long"
 SIGNED = "key long, signature long, node long, size int, kind byte"
 SINGLE, MARKER, PASSED = 0, 1, 2
 FILTER_WORDS = 1 << 18
@@ -122,7 +123,7 @@ def similar(overlap: int, sizes: int) -> bool:
 
 
 def sets_of(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set), bits."""
+    """doc_id, n_shingles, node (null for an empty set), bits, and the text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,11 +137,12 @@ def sets_of(documents: DataFrame) -> DataFrame:
                         pa.array(own.sizes),
                         pa.array(own.nodes, mask=empty),
                         pa.array(bits, pa.binary()),
+                        batch.column(2).slice(block.first, block.n),
                     ],
                     names=[c.split()[0] for c in SETS.split(", ")],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, SETS)
+    return documents.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, SETS)
 
 
 def fresh(own: Sets, seen: set[int]) -> np.ndarray:
@@ -370,13 +372,12 @@ def possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def sets_by_node(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, tokens of the ``wanted`` nodes.
+    """node, tokens of the ``wanted`` nodes, each with the hash of a text that has its set.
 
-    A filter of fixed size, one bit a node, keeps most other sets from being shuffled;
+    A filter of fixed size, one bit a text hash, keeps most other sets from being made;
     the join afterwards is exact.
     """
-    # a node is a hash already: its low bits are its place
-    place = F.col("node").bitwiseAND(F.lit(64 * FILTER_WORDS - 1))
+    place = F.col("text_hash").bitwiseAND(F.lit(64 * FILTER_WORDS - 1))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
     words = wanted.select(F.shiftright(place, 6).alias("word"), one.alias("bit"))
     # at most FILTER_WORDS rows
@@ -388,12 +389,12 @@ def sets_by_node(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for batch in batches:
-            for block in blocks(batch.column(0), lower=True):
+            place = batch.column(1).to_numpy().view(np.uint64) % np.uint64(64 * FILTER_WORDS)
+            word = (place >> np.uint64(6)).astype(np.int64)
+            held = (bits[word] >> (place & np.uint64(63))) & np.uint64(1) > 0
+            for block in blocks(batch.column(0).filter(pa.array(held)), lower=True):
                 own = Sets(block)
-                place = own.nodes.view(np.uint64) % np.uint64(64 * FILTER_WORDS)
-                word = (place >> np.uint64(6)).astype(np.int64)
-                held = (bits[word] >> (place & np.uint64(63))) & np.uint64(1) > 0
-                rows = np.flatnonzero(held & fresh(own, seen))
+                rows = np.flatnonzero(fresh(own, seen))
                 if len(rows):
                     tokens = [own.of(i).tobytes() for i in rows]
                     yield pa.RecordBatch.from_arrays(
@@ -401,15 +402,16 @@ def sets_by_node(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                         names=["node", "tokens"],
                     )
 
-    sets = documents.select("text").mapInArrow(run, "node long, tokens binary")
+    sets = documents.select("text", F.xxhash64("text")).mapInArrow(run, "node long, tokens binary")
     return sets.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def links(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+def links(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
     """a, b: the pairs that are links, by comparing their whole sets."""
     pairs = durable(pairs.select("a", "b"), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    sets = durable(sets_by_node(documents, durable(wanted.distinct(), "wanted")), "sets")
+    wanted = wanted.distinct().join(nodes.select("node", "text_hash"), "node")
+    sets = durable(sets_by_node(documents, durable(wanted, "wanted")), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -559,7 +561,7 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     frequent = Frequent(*frequent_tokens(documents, int(counted or 0)))
     shared = durable(shared_signatures(documents, frequent), "shared")
     nodes = durable(
-        sets.where("node is not null").select("node", "n_shingles", "bits").dropDuplicates(["node"]),
+        sets.where("node is not null").select("node", "n_shingles", "bits", "text_hash").dropDuplicates(["node"]),
         "nodes",
     )
 
@@ -576,7 +578,7 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     stars = joined.where(F.col("a") != F.col("node")).where(fits("n", "size"))
     stars = durable(stars.select("a", F.col("node").alias("b")).distinct(), "stars")
     best = possible(stars, nodes).groupBy("b").agg(F.max(F.struct("bound", "a")).alias("best"))
-    found = durable(links(best.select(F.col("best.a").alias("a"), "b"), documents), "first")
+    found = durable(links(best.select(F.col("best.a").alias("a"), "b"), documents, nodes), "first")
     roots = durable(components(found), "roots")
 
     # 2. in signatures of many rows, the best pair of each two components
@@ -584,13 +586,13 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     many = joined.where(F.col("rows") > SMALL).select("signature", "node", "size")
     many = durable(many.join(nodes.select("node", "bits"), "node"), "many")
     for _ in range(ROUNDS):
-        more = links(pairs_of_large(with_roots(many, roots), best_only=True), documents)
+        more = links(pairs_of_large(with_roots(many, roots), best_only=True), documents, nodes)
         roots = durable(extended(roots, more), "roots")
 
     # 3. whatever is left between components
     rest = possible(durable(pairs_of_small(with_roots(few, roots)), "cross"), nodes).select("a", "b")
     rest = rest.unionByName(pairs_of_large(with_roots(many, roots), best_only=False)).distinct()
-    return extended(roots, links(rest, documents))
+    return extended(roots, links(rest, documents, nodes))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -392,3 +392,27 @@ def test_packing_statistics_need_no_second_pass(spark, frame):
         terms, tf = terms[statistics.useful[terms]], tf[statistics.useful[terms]]
         order = np.argsort(-statistics.weights(terms, tf, len(ids)), kind="stable")
         assert all(statistics.heaviest(ids, n).tolist() == terms[order][:n].tolist() for n in range(8))
+
+
+def test_jaccard_makes_only_wanted_sets_anew(spark, frame, texts, monkeypatch):
+    """Of texts that are not wanted no set is made; a set that several texts have is found."""
+    texts = texts | {95: texts[40].upper(), 96: texts[40] + " "}
+    documents = frame(texts).repartition(2)
+    sets = durable(jaccard.sets_of(documents), "sets")
+    nodes = sets.where("node is not null").dropDuplicates(["node"])
+    of = {r.doc_id: r.node for r in sets.collect()}
+    assert of[95] == of[96] == of[40] and of[0] != of[40]
+    pairs = spark.createDataFrame([(of[40], of[0])], "a long, b long")
+    assert [tuple(r) for r in jaccard.links(pairs, documents, nodes).collect()] == [(of[40], of[0])]
+    wanted = nodes.where(F.col("node").isin(of[40], of[0])).select("node", "text_hash")
+    made = spark.sparkContext.accumulator(0)
+    plain = jaccard.blocks
+
+    def watched(column, **options):
+        made.add(len(column))
+        return plain(column, **options)
+
+    monkeypatch.setattr(jaccard, "blocks", watched)
+    found = jaccard.sets_by_node(documents, durable(wanted, "wanted")).collect()
+    assert {r.node for r in found} == {of[40], of[0]}
+    assert 2 <= made.value <= 3  # of 40 and 41, which are equal, and of 0
