@@ -192,6 +192,8 @@ class Encoder:
             ids, ends = self.ended(texts.slice(first, after - first))
             yield from np.split(ids, ends[:-1])
             first = after
+        # a block's arrays are many times its texts: what they took is given back
+        pa.default_memory_pool().release_unused()
 
 
 _encoders: dict[str, Encoder] = {}

@@ -416,3 +416,15 @@ def test_jaccard_makes_only_wanted_sets_anew(spark, frame, texts, monkeypatch):
     found = jaccard.sets_by_node(documents, durable(wanted, "wanted")).collect()
     assert {r.node for r in found} == {of[40], of[0]}
     assert 2 <= made.value <= 3  # of 40 and 41, which are equal, and of 0
+
+
+def test_encoder_gives_the_memory_of_blocks_back(monkeypatch):
+    """Workers live on for other stages: unused Arrow memory does not stay with them."""
+    freed, encode = [], Encoder(public_path())
+
+    class Pool:
+        def release_unused(self):
+            freed.append(True)
+
+    monkeypatch.setattr(tokens.pa, "default_memory_pool", Pool)
+    assert len(list(encode.each(pa.array(["one two", None])))) == 2 and freed
