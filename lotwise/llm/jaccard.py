@@ -19,11 +19,13 @@ one marker a task is dealt out by signature, so a signature of very many sets ar
 one row a task. Links are found without making all pairs of a group: first each set is
 compared with the best of its signatures' leaders, and the links found join sets to
 components; then only pairs of different components matter. In signatures of many sets
-those are found by comparing bitmaps within blocks, first the best pair of each two
-components, in the end all that are left; in signatures of few sets they are joined.
+those are found by comparing bitmaps within blocks, first the best pair of each
+component, in the end all that are left; in signatures of few sets they are joined.
 A parity bitmap of two bits a token bounds the overlap from above, so whole sets travel
 only for pairs that may be links, and every link is settled by comparing whole sets;
-they are made anew from the texts whose hash says that they may be wanted.
+they are made anew from the texts whose hash says that they may be wanted. No table of
+pairs grows with the square of a group: of a block only the sets that have a pair are
+named, they are sent there whole, and the block hands on a forest of its links.
 
 Edge cases: null texts and texts without words have an empty set, no link, and are a
 component of their own (their doc_id); texts of fewer than five words have one shingle;
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.components import components, extended
@@ -51,7 +53,8 @@ MOST_FREQUENT = 1 << 20
 CHUNK = 1 << 19
 SMALL = 32
 BLOCK = 4096
-ROUNDS = 2
+TOKENS = 512
+ROUNDS = 1
 
 SETS = "doc_id long, n_shingles long, node long, bits binary, text_hash long"
 SIGNED = "key long, signature long, node long, size int, kind byte"
@@ -406,12 +409,19 @@ def sets_by_node(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def links(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b: the pairs that are links, by comparing their whole sets."""
-    pairs = durable(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    """node: those of the pairs."""
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
+def whole_sets(documents: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, tokens of the wanted nodes, written."""
     wanted = wanted.distinct().join(nodes.select("node", "text_hash"), "node")
-    sets = durable(sets_by_node(documents, durable(wanted, "wanted")), "sets")
+    return durable(sets_by_node(documents, durable(wanted, "wanted")), "sets")
+
+
+def settled_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: the pairs that are links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -428,6 +438,12 @@ def links(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
+def links(pairs: DataFrame, documents: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b: the pairs that are links, by comparing their whole sets."""
+    pairs = durable(pairs.select("a", "b"), "pairs")
+    return settled_pairs(pairs, whole_sets(documents, nodes_of(pairs), nodes))
+
+
 def fits(n: str, m: str):
     """The sizes alone leave room for a link."""
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
@@ -435,14 +451,29 @@ def fits(n: str, m: str):
 
 def with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of signatures whose nodes are of several components, with ``root``, the
-    component of most rows (``main``) and the number of rows (``n``)."""
+    component of most rows (``main``), the number of rows (``n``), and the blocks that all
+    rows (``blocks``) and those outside ``main`` (``others``) are dealt to."""
     held = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     held = durable(held, "held")
-    per_root = held.groupBy("signature", "root").agg(F.count("*").alias("n"))
+    per_root = held.groupBy("signature", "root").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
     whole = per_root.groupBy("signature").agg(
-        F.max(F.struct("n", "root")).alias("largest"), F.count("*").alias("roots"), F.sum("n").alias("n")
+        F.max(F.struct("n", "root", "w")).alias("largest"),
+        F.count("*").alias("roots"),
+        F.sum("n").alias("n"),
+        F.sum("w").alias("w"),
+    )
+
+    def dealt_to(n: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(w / (BLOCK * TOKENS))).cast("int")
+
+    n, w = F.col("n"), F.col("w")
+    mixed = whole.where("roots > 1").select(
+        "signature",
+        F.col("largest.root").alias("main"),
+        "n",
+        dealt_to(n, w).alias("blocks"),
+        dealt_to(n - F.col("largest.n"), w - F.col("largest.w")).alias("others"),
     )
-    mixed = whole.where("roots > 1").select("signature", F.col("largest.root").alias("main"), "n")
     return durable(held.join(durable(mixed, "mixed"), "signature"), "rows")
 
 
@@ -466,91 +497,147 @@ class Shelf:
         self.half = self.whole[:, :half] ^ self.whole[:, half:]
 
 
-def compare(table: pa.Table, best_only: bool) -> pa.RecordBatch:
-    """Pairs of a bucket that may be links: each ``minor`` row with the other rows."""
-    columns = ("minor", "node", "size", "root")
-    minor, node, size, root = (table[c].to_numpy() for c in columns)
-    bits = table["bits"].to_pylist()
-    length = np.array([len(x) for x in bits])
-    rows = np.flatnonzero(~minor)
-    shelves = {
-        int(n): Shelf([bits[i] for i in rows[length[rows] == n]], rows[length[rows] == n])
-        for n in np.unique(length[rows])
-    }
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i in np.flatnonzero(minor).tolist():
-        own = np.frombuffer(bits[i], np.uint8)
-        n = len(own)
-        for shelf, theirs, mine in (
-            (n, "whole", own),
-            (2 * n, "half", own),
-            (n // 2, "whole", own[: n // 2] ^ own[n // 2 :]),
-        ):
-            if shelf not in shelves or not len(mine):
+class Bucket:
+    """Rows of one bucket: ``minor`` ones are compared with the other ones."""
+
+    def __init__(self, table: pa.Table):
+        columns = ("minor", "node", "size", "root")
+        self.minor, self.node, size, self.root = (
+            table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in columns
+        )
+        self.size = size.astype(np.int64)
+        self.bits = table["bits"].to_pylist()
+        length = np.array([len(x) for x in self.bits])
+        rows = np.flatnonzero(~self.minor)
+        self.shelves = {
+            int(n): Shelf([self.bits[i] for i in rows[length[rows] == n]], rows[length[rows] == n])
+            for n in np.unique(length[rows])
+        }
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Each minor row, the rows of other components with which its bitmap leaves room
+        for a link, and the bounds of their similarity."""
+        for i in np.flatnonzero(self.minor).tolist():
+            own = np.frombuffer(self.bits[i], np.uint8)
+            n, found = len(own), []
+            for shelf, theirs, mine in (
+                (n, "whole", own),
+                (2 * n, "half", own),
+                (n // 2, "whole", own[: n // 2] ^ own[n // 2 :]),
+            ):
+                if shelf not in self.shelves or not len(mine):
+                    continue
+                at = self.shelves[shelf].at
+                apart = np.bitwise_count(getattr(self.shelves[shelf], theirs) ^ mine).sum(axis=1, dtype=np.int64)
+                both = self.size[at] + self.size[i]
+                bound = np.minimum((both - apart) // 2, np.minimum(self.size[at], self.size[i]))
+                keep = (100 * bound >= PERCENT * (both - bound)) & (self.root[at] != self.root[i])
+                if keep.any():
+                    found.append((at[keep], bound[keep] / (both[keep] - bound[keep])))
+            if found:
+                yield i, *(np.concatenate(v) for v in zip(*found, strict=True))
+
+
+def best_of(table: pa.Table) -> pa.Table:
+    """r, bound, a, b: the best pair of each component of a bucket's minor rows."""
+    bucket, best = Bucket(table), {}
+    for i, at, share in bucket.candidates():
+        j, r = int(np.argmax(share)), int(bucket.root[i])
+        if r not in best or share[j] > best[r][0]:
+            best[r] = (share[j], bucket.node[i], bucket.node[at[j]])
+    share, a, b = zip(*best.values(), strict=True) if best else ((), (), ())
+    kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    values = [pa.array(v, k) for v, k in zip((list(best), share, a, b), kinds, strict=True)]
+    return pa.table(values, names=["r", "bound", "a", "b"])
+
+
+def asked_of(table: pa.Table) -> pa.Table:
+    """bucket, digest, node: the nodes of a bucket that are in a pair that may be a link,
+    each once, with a digest of all such pairs."""
+    bucket, held, digest = Bucket(table), np.zeros(table.num_rows, bool), np.zeros(1, np.uint64)
+    for i, at, _ in bucket.candidates():
+        held[at] = held[i] = True
+        a, b = (f(bucket.node[at], bucket.node[i]).view(np.uint64) for f in (np.minimum, np.maximum))
+        digest += mix(mix(a) + b).sum(dtype=np.uint64)
+    node = np.unique(bucket.node[held])
+    values = (np.full(len(node), table["bucket"][0].as_py()), np.repeat(digest.view(np.int64), len(node)), node)
+    return pa.table([pa.array(v) for v in values], names=["bucket", "digest", "node"])
+
+
+def forest_of(table: pa.Table) -> pa.Table:
+    """a, b: links that join the components of a bucket as far as whole sets do, one link
+    less than components are joined."""
+    bucket = Bucket(table)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["tokens"]]
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    sets = np.split(number, np.cumsum([len(x) for x in sets])[:-1])
+    held, label = np.zeros(len(number), bool), bucket.root.copy()
+    a, b = [], []
+    for i, at, _ in bucket.candidates():
+        held[sets[i]] = True
+        # in lots of a bounded number of tokens
+        cuts = np.flatnonzero(np.diff(np.cumsum(bucket.size[at]) // CHUNK)) + 1
+        for lot in np.split(at, cuts):
+            lot = lot[label[lot] != label[i]]
+            if not len(lot):
                 continue
-            at = shelves[shelf].at
-            apart = np.bitwise_count(getattr(shelves[shelf], theirs) ^ mine).sum(axis=1, dtype=np.int64)
-            both = size[at].astype(np.int64) + int(size[i])
-            bound = np.minimum((both - apart) // 2, np.minimum(size[at], size[i]))
-            keep = (100 * bound >= PERCENT * (both - bound)) & (root[at] != root[i])
-            at = at[keep]
-            if len(at):
-                share = bound[keep] / (both[keep] - bound[keep])
-                found.append((np.full(len(at), i), at, share))
-    x, y, share = (
-        (np.concatenate(v) for v in zip(*found, strict=True))
-        if found
-        else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    )
-    low, high = np.where(root[x] < root[y], x, y), np.where(root[x] < root[y], y, x)
-    if best_only and len(low):
-        order = np.lexsort((-share, root[high], root[low]))
-        low, high, share = low[order], high[order], share[order]
-        first = np.ones(len(low), bool)
-        first[1:] = (root[low[1:]] != root[low[:-1]]) | (root[high[1:]] != root[high[:-1]])
-        low, high, share = low[first], high[first], share[first]
-    values = (root[low], root[high], share, node[low], node[high])
-    return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=["r", "s", "bound", "a", "b"])
-
-
-def pairs_of_large(rows: DataFrame, best_only: bool) -> DataFrame:
-    """a, b: pairs of different components, in signatures of many rows, that may be links.
-
-    A signature's rows are dealt out in blocks of about BLOCK; the rows outside its
-    largest component go to each of its blocks and are compared there by their bitmaps.
+            starts = np.cumsum(bucket.size[lot]) - bucket.size[lot]
+            overlap = np.add.reduceat(held[np.concatenate([sets[j] for j in lot])], starts, dtype=np.int64)
+            both = bucket.size[lot] + bucket.size[i]
+            lot = lot[100 * overlap >= PERCENT * (both - overlap)]
+            joined, first = np.unique(label[lot], return_index=True)
+            a += [bucket.node[i]] * len(first)
+            b += bucket.node[lot[first]].tolist()
+            label[np.isin(label, joined)] = label[i]
+        held[sets[i]] = False
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def bucketed(rows: DataFrame) -> DataFrame:
+    """The rows of signatures of many rows, dealt to buckets.
+
+    A signature's rows are dealt out in blocks of about BLOCK, and once more those outside
+    its largest component, the minor ones; each two blocks are a bucket.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     many = rows.where(F.col("n") > SMALL)
     columns = ("node", "size", "root", "bits")
-    dealt = many.select(
-        F.xxhash64("signature", F.pmod(F.xxhash64("node"), blocks)).alias("bucket"),
-        F.lit(False).alias("minor"),
-        *columns,
-    )
+
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("node"), count).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    dealt = many.select("signature", own("blocks").alias("x"), each("others").alias("y"), F.lit(False).alias("minor"), *columns)
     minors = many.where("root <> main").select(
-        "signature", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *columns
-    )
-    minors = minors.select(
-        F.xxhash64("signature", F.col("block").cast("long")).alias("bucket"),
-        F.lit(True).alias("minor"),
-        *columns,
+        "signature", each("blocks").alias("x"), own("others").alias("y"), F.lit(True).alias("minor"), *columns
     )
+    return dealt.unionByName(minors).select(F.xxhash64("signature", "x", "y").alias("bucket"), "minor", *columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if held:
-            table = pa.Table.from_batches(held)
-            order, start, count = groups(table["bucket"].to_numpy())
-            for a, n in zip(start.tolist(), count.tolist(), strict=True):
-                yield compare(table.take(pa.array(order[a : a + n])), best_only)
 
-    out = dealt.unionByName(minors).repartition("bucket").mapInArrow(
-        run, "r long, s long, bound double, a long, b long"
+def best_pairs(rows: DataFrame) -> DataFrame:
+    """a, b: of each component in signatures of many rows the pair with another one that
+    is most likely a link. Components that are the largest in all their signatures need none."""
+    best = bucketed(rows).groupBy("bucket").applyInArrow(best_of, "r long, bound double, a long, b long")
+    best = best.groupBy("r").agg(F.max(F.struct("bound", "a", "b")).alias("best"))
+    a, b = F.col("best.a"), F.col("best.b")
+    return best.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def asked(rows: DataFrame) -> DataFrame:
+    """bucket, node: the nodes that are in pairs that may be links, in signatures of many
+    rows. Of buckets with the same pairs, as sets share many signatures, one is asked."""
+    found = durable(
+        bucketed(rows).groupBy("bucket").applyInArrow(asked_of, "bucket long, digest long, node long"), "asked"
     )
-    if best_only:  # one pair for each two components
-        best = out.groupBy("r", "s").agg(F.max(F.struct("bound", "a", "b")).alias("best"))
-        out = best.select("best.a", "best.b")
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one = found.groupBy("digest").agg(F.min("bucket").alias("bucket"))
+    return durable(found.join(durable(one, "buckets"), ["digest", "bucket"]).select("bucket", "node"), "asked")
+
+
+def forests(rows: DataFrame, asked: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links between the components of the ``asked`` buckets: all that are needed."""
+    whole = bucketed(rows).join(asked, ["bucket", "node"]).join(sets, "node")
+    return whole.groupBy("bucket").applyInArrow(forest_of, "a long, b long")
 
 
 def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
@@ -581,18 +668,23 @@ def node_components(documents: DataFrame, sets: DataFrame) -> DataFrame:
     found = durable(links(best.select(F.col("best.a").alias("a"), "b"), documents, nodes), "first")
     roots = durable(components(found), "roots")
 
-    # 2. in signatures of many rows, the best pair of each two components
+    # 2. in signatures of many rows, the best pair of each component
     few = joined.where(F.col("rows") <= SMALL).select("signature", "node", "size")
     many = joined.where(F.col("rows") > SMALL).select("signature", "node", "size")
     many = durable(many.join(nodes.select("node", "bits"), "node"), "many")
     for _ in range(ROUNDS):
-        more = links(pairs_of_large(with_roots(many, roots), best_only=True), documents, nodes)
-        roots = durable(extended(roots, more), "roots")
+        pairs = durable(best_pairs(with_roots(many, roots)), "best")
+        if pairs.isEmpty():
+            break
+        roots = durable(extended(roots, links(pairs, documents, nodes)), "roots")
 
     # 3. whatever is left between components
-    rest = possible(durable(pairs_of_small(with_roots(few, roots)), "cross"), nodes).select("a", "b")
-    rest = rest.unionByName(pairs_of_large(with_roots(many, roots), best_only=False)).distinct()
-    return extended(roots, links(rest, documents, nodes))
+    cross = durable(pairs_of_small(with_roots(few, roots)), "cross")
+    pairs = durable(possible(cross, nodes).select("a", "b"), "pairs")
+    rows = with_roots(many, roots)
+    held = asked(rows)
+    sets = whole_sets(documents, nodes_of(pairs).unionByName(held.select("node")), nodes)
+    return extended(roots, settled_pairs(pairs, sets).unionByName(forests(rows, held, sets)))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -164,6 +164,33 @@ def test_jaccard(frame, texts, small, monkeypatch):
         assert jaccard.near_duplicates(frame({})).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_jaccard_hands_on_no_table_of_all_pairs(spark, frame, monkeypatch, rounds):
+    """A group of sets of which each two are a little too unlike (0.72), and some copies of
+    one that are near: what travels does not grow with the square of the group."""
+    words = [f"w{i}" for i in range(400)]
+    texts = {}
+    for d in range(120):
+        own = list(words)
+        for i in range(15, 400, 30):
+            own[i] = f"x{d}y{i}"
+        texts[d] = " ".join(own)
+    texts |= {200 + i: texts[7].replace(f"w{5 + i * 40} ", f"z{i} ") for i in range(8)}
+    rows = {}
+
+    def counted(df, name):
+        out = durable(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "durable", counted)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK", 50)
+    found = jaccard.near_duplicates(frame(texts).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.near_duplicates(texts)
+    assert max(rows["pairs"]) <= 4 * len(texts)  # of 8,128
+
+
 def test_components(spark):
     """Chains, hubs, rings; then links that join what was found and new nodes."""
     first = [(i, i + 1) for i in range(1, 30)] + [(100, i) for i in range(101, 140)] + [(50, 51), (51, 52), (52, 50)]
