@@ -113,6 +113,53 @@ def test_cells_of_random_shapes_decide_every_point(monkeypatch, edges):
         assert inside == {i for i, q in enumerate(points) if covers(shape, q)}
 
 
+@pytest.mark.parametrize(
+    "unit, points_per_cell, at_once", [(0.25, 0, 1000), (0.25, 3, 1 << 17), (2.0**-20, 16, 1 << 17)]
+)
+def test_counts_of_cells_equal_their_pairs(monkeypatch, points_per_cell, at_once, unit):
+    """Rings that cross themselves, holes, several parts, also beyond the grid's end."""
+    monkeypatch.setattr(cover, "POINTS_PER_CELL", points_per_cell)
+    monkeypatch.setattr(cover, "PIECES_AT_ONCE", at_once)
+    rng = random.Random(9)
+    shapes = [None, []]
+    for n in (4, 7, 30) if unit == 0.25 else (4, 7):
+        rings = [closed([(rng.randrange(-8, 9), rng.randrange(-8, 9)) for _ in range(n)]) for _ in range(3)]
+        shapes.append([[[{"x": x, "y": y} for x, y in ring] for ring in rings[:2]], [[{"x": x, "y": y} for x, y in rings[2]]]])
+        shapes.append([[[{"x": x, "y": y} for x, y in rings[0]]]])
+    x, y = np.array([(x / 2, y / 2) for x in range(-18, 19) for y in range(-18, 19)]).T
+    ones = np.array([rng.randrange(2) for _ in x])
+    covered = cover.Covered(x, y, unit, cover.cover(pa.array(shapes, SHAPES), unit).columns())
+    want = np.zeros((2, len(covered.level)), np.int64)
+    for p, c in covered.pairs():
+        np.add.at(want, (0, c), ones[p])
+        np.add.at(want, (1, c), 1)
+    assert want.any() and np.array_equal(covered.counted(ones), want)
+    nowhere = np.zeros(0)
+    assert not np.any(cover.Covered(nowhere, nowhere, unit, cover.cover(pa.array(shapes, SHAPES), unit).columns()).counted(ones[:0]))
+
+
+def test_counting_tests_points_near_edges_only(monkeypatch):
+    """Shapes piled up over many points: most points are inside or outside with a whole part."""
+    rng = np.random.default_rng(3)
+    x, y = rng.uniform(0, 1000, (2, 20_000))
+    boxes = []
+    for i in range(50):
+        ring = closed([(10.0 + i, 5.0 + i), (900.0 + i, 5.0 + i), (900.0 + i, 910.0 + i), (10.0 + i, 910.0 + i)])
+        boxes.append([[[{"x": p, "y": q} for p, q in ring]]])
+    covered = cover.Covered(x, y, 0.5, cover.cover(pa.array(boxes, SHAPES), 0.5).columns())
+    made, plain = [], cover.tested
+
+    def watched(x, *more):
+        made.append(len(x))
+        return plain(x, *more)
+
+    monkeypatch.setattr(cover, "tested", watched)
+    total, seen = covered.counted(np.ones(len(x), np.int64))
+    want = sum(int(((x >= 10 + i) & (x <= 900 + i) & (y >= 5 + i) & (y <= 910 + i)).sum()) for i in range(50))
+    assert total.sum() == seen.sum() == want > 750_000
+    assert sum(made) < want / 4
+
+
 def test_most_points_of_a_region_need_no_edge(spark):
     turn = [2 * math.pi * i / 5000 for i in range(5000)]
     circle = closed([(60 + 40 * math.cos(t), 60 + 40 * math.sin(t)) for t in turn])
